@@ -85,10 +85,14 @@ def append_aligned(df: DataFrame, path: str) -> str:
     return "appended"
 
 
-def write_routed(selected: DataFrame, path: str, by: Sequence[str] = ("lob", "run_date", "feed")) -> None:
+def write_routed(
+    selected: DataFrame, path: str, by: Sequence[str] = ("lob", "run_date", "feed"), mode: str = "overwrite"
+) -> None:
     """Selected documents laid out by line of business, run date and feed.
 
+    Overwriting replaces only the partitions written, so a rerun of a day leaves one copy; ``append`` adds.
     The rebalance hint gathers small partitions and splits a hot one, so neither many tiny files nor one
     giant writer results.
     """
-    selected.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
+    writer = selected.hint("rebalance", *by).write.mode(mode).partitionBy(*by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
