@@ -56,7 +56,7 @@ def _all_feeds(spark: SparkSession, folder: str) -> DataFrame:
 
 def _audit(spark: SparkSession, folder: str) -> DataFrame:
     names = F.create_map(*[F.lit(x) for pair in SOURCES.items() for x in pair])
-    return route.audit_rows(_all_feeds(spark, folder), names.getItem(F.col("feed")), F.col("run_date"))
+    return route.audit_rows(_all_feeds(spark, folder), names[F.col("feed")], F.col("run_date"))
 
 
 def latest_lob(spark: SparkSession, folder: str) -> DataFrame:

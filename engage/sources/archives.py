@@ -16,10 +16,9 @@ ENTRY_SCHEMA = "archive string, entry string, body string, error string"
 
 
 def _open(path: str) -> zipfile.ZipFile:
-    store, inside = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (
-        fs.LocalFileSystem(),
-        path,
-    )
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    store, inside = fs.FileSystem.from_uri(path)
     return zipfile.ZipFile(store.open_input_file(inside))
 
 
