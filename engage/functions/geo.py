@@ -16,6 +16,6 @@ def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
         + F.cos(a_lat) * F.cos(b_lat) * F.pow(F.sin((b_lon - a_lon) / 2), F.lit(2))
     )
     # rounding can push the square a hair over 1 for antipodes
-    h = F.least(half_chord, F.lit(1.0))
+    h = F.when(half_chord > 1, F.lit(1.0)).otherwise(half_chord)
     angle = 2 * F.atan2(F.sqrt(h), F.sqrt(1 - h))
     return F.abs(angle * EARTH_RADIUS_MILES)

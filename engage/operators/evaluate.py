@@ -10,17 +10,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from engage.operators.ranking import BITS, quantiles, running_totals
+from engage.operators.ranking import ACCURACY, BITS, quantiles, running_totals
 
 
-def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def _score_counts(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), bits: int = BITS
+) -> DataFrame:
     """Positives and negatives per distinct score, with inclusive running totals from the top and group totals."""
     by = list(by)
     per_score = df.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     )
-    return running_totals(per_score, "threshold", {"pos": "tp", "neg": "fp"}, by, descending=True)
+    return running_totals(per_score, "threshold", {"pos": "tp", "neg": "fp"}, by, descending=True, bits=bits)
 
 
 def _with_sizes(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -33,12 +35,12 @@ def _with_sizes(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def roc_points(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+def roc_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
     """Per distinct score as threshold: true and false positives at or above it, and their rates.
 
     The first point of the curve, above every score, has a NULL threshold.
     """
-    points = _with_sizes(_score_counts(df, label, score)).select(
+    points = _with_sizes(_score_counts(df, label, score, bits=bits)).select(
         "threshold",
         "tp",
         "fp",
@@ -51,11 +53,11 @@ def roc_points(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     return points.unionByName(origin)
 
 
-def pr_points(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+def pr_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
     """Precision, recall and F1 per distinct score as threshold; the end point has a NULL threshold."""
     # Fixed value: keeps the F1 denominator off zero.
     tiny = 1e-8
-    points = _with_sizes(_score_counts(df, label, score)).select(
+    points = _with_sizes(_score_counts(df, label, score, bits=bits)).select(
         "threshold",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.try_divide("tp", "p_total").alias("recall"),
@@ -66,17 +68,19 @@ def pr_points(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     )
 
 
-def auc(df: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = ()) -> DataFrame:
+def auc(
+    df: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = (), bits: int = BITS
+) -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
-    points = _score_counts(df, label, score, by)
+    points = _score_counts(df, label, score, by, bits)
     wins = F.sum(F.col("neg").cast("double") * (F.col("tp") - F.col("pos") + F.col("pos") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return points.groupBy(*by).agg(F.try_divide(wins, pairs).alias("auc"))
 
 
-def ks(df: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
+def ks(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
     """Largest gap between the score distributions of the two classes."""
-    points = _with_sizes(_score_counts(df, label, score))
+    points = _with_sizes(_score_counts(df, label, score, bits=bits))
     gap = F.abs(F.try_divide("tp", "p_total") - F.try_divide("fp", "n_total"))
     return points.agg(F.max(gap).alias("ks"))
 
@@ -151,11 +155,11 @@ def report(df: DataFrame, threshold: float = 0.5, label: str = "y", score: str =
     return scored.select(F.inline(rows))
 
 
-def deciles(df: DataFrame, score: str = "p", bins: int = 10, name: str = "decile", bits: int = BITS) -> DataFrame:
+def deciles(df: DataFrame, score: str = "p", bins: int = 10, name: str = "decile", accuracy: int = ACCURACY) -> DataFrame:
     """Bin rows by quantile edges of the score, right-closed, from 0; repeated edges merge their bins."""
     probs = [i / bins for i in range(bins)]
     edges = (
-        quantiles(df, [score], probs, "linear", bits)
+        quantiles(df, [score], probs, "linear", accuracy)
         # prob 0 is the minimum: an edge equal to it makes no bin of its own
         .agg(F.array_sort(F.collect_set(F.round("value", 9))).alias("e"))
         .select(F.slice("e", 2, bins).alias("e"))
@@ -169,10 +173,10 @@ def deciles(df: DataFrame, score: str = "p", bins: int = 10, name: str = "decile
 
 
 def lift_table(
-    df: DataFrame, label: str = "y", score: str = "p", bins: int = 10, bits: int = BITS
+    df: DataFrame, label: str = "y", score: str = "p", bins: int = 10, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Per decile, lowest scores first: size, events, mean score, event rate, running events and their share."""
-    per_bin = deciles(df, score, bins, "decile", bits).groupBy("decile").agg(
+    per_bin = deciles(df, score, bins, "decile", accuracy).groupBy("decile").agg(
         F.count(F.lit(1)).alias("count"),
         F.sum(F.col(label).cast("long")).alias("events"),
         F.avg(score).alias("avg_prob"),
@@ -201,10 +205,10 @@ def permutation_scores(
 
 
 def dependence(
-    scored: DataFrame, feature: str, score: str = "p", bins: int = 10, bits: int = BITS
+    scored: DataFrame, feature: str, score: str = "p", bins: int = 10, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Mean score per quantile bin of a numeric feature."""
-    binned = deciles(scored.where(F.col(feature).isNotNull()), feature, bins, "bin", bits)
+    binned = deciles(scored.where(F.col(feature).isNotNull()), feature, bins, "bin", accuracy)
     return binned.groupBy("bin").agg(
         F.lit(feature).alias("feature"),
         F.min(F.col(feature).cast("double")).alias("low"),

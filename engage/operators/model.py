@@ -241,10 +241,8 @@ def permuted_scores(
     donors = hash_rank(reseeded, "_k2", rank="_r", total="_n").select(
         "_r", *[F.col(f).alias(f"_d_{f}") for f in features]
     )
-    paired = receivers.join(donors, "_r")
-    out = None
-    for feature in features:
-        swapped = paired.withColumn(feature, F.col(f"_d_{feature}")).select(*df.columns)
-        part = score(model, swapped).select(*keep, F.lit(feature).alias("feature"), "p")
-        out = part if out is None else out.unionByName(part)
-    return out
+    each = receivers.join(donors, "_r").withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    swapped = each.withColumns(
+        {f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features}
+    )
+    return score(model, swapped.select(*df.columns, "feature")).select(*keep, "feature", "p")

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from engage.functions import haversine_miles, is_blank
-from engage.operators.ranking import BITS, quantile_value, quantiles
+from engage.operators.ranking import ACCURACY, quantile_value, quantiles
 
 # Name parts of columns kept out of the feature table.
 PRIVATE_PATTERNS = (
@@ -105,9 +105,9 @@ def drop_empty_columns(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     return df.select(*[c for c in df.columns if c not in empty])
 
 
-def impute_median(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> DataFrame:
+def impute_median(df: DataFrame, cols: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """Replace NULL and NaN by the column's median element; all medians come from the same three passes."""
-    medians = quantiles(df, cols, [0.5], "disc", bits)
+    medians = quantiles(df, cols, [0.5], "disc", accuracy)
     # one row per column
     table = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "value")))).scalar()
     changes = {}
@@ -119,14 +119,14 @@ def impute_median(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> DataF
     return df.withColumns(changes)
 
 
-def quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], bits: int = BITS) -> DataFrame:
+def quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """Exact element quantiles, rows (column, prob, value)."""
-    return quantiles(df, cols, probs, "disc", bits)
+    return quantiles(df, cols, probs, "disc", accuracy)
 
 
 def approx_quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], error: float = 0.01) -> DataFrame:
     """Sketched quantiles in one pass, rank error at most ``error``."""
-    accuracy = int(1 / error)
+    accuracy = round(1 / error)
     sketched = df.agg(
         *[F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols]
     ).unpivot([], list(cols), "column", "values")
@@ -134,7 +134,7 @@ def approx_quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return keyed.toDF("column", "z").select("column", F.inline("z").alias("prob", "value"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """Per column count, mean, standard deviation, min, quartiles and max."""
     values = (
         df.select(*[F.col(c).cast("double").alias(c) for c in cols])
@@ -149,7 +149,7 @@ def describe(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> DataFrame:
         F.max("value").alias("max"),
     )
     quartiles = (
-        quantiles(df, cols, [0.25, 0.5, 0.75], "disc", bits)
+        quantiles(df, cols, [0.25, 0.5, 0.75], "disc", accuracy)
         .groupBy("column")
         .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
                for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
@@ -161,11 +161,11 @@ def describe(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> DataFrame:
 
 
 def trim_quantiles(
-    df: DataFrame, col: str, low: float = 0.01, high: float = 0.95, bits: int = BITS
+    df: DataFrame, col: str, low: float = 0.01, high: float = 0.95, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Keep rows between two quantiles, ends included; NULLs drop out."""
     ends = (
-        quantiles(df, [col], [low, high], "disc", bits)
+        quantiles(df, [col], [low, high], "disc", accuracy)
         .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
     return df.where(F.col(col).between(ends.select("lo").scalar(), ends.select("hi").scalar()))
@@ -190,10 +190,10 @@ def distance_feature(
     flag: str = "provider_flag",
     coordinates: Sequence[str] = ("latitude", "longitude", "home_latitude", "home_longitude"),
     name: str = "pcp_distance",
-    bits: int = BITS,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Miles between two places for flagged rows; the flagged rows' median for the others."""
     miles = haversine_miles(*[F.col(c) for c in coordinates])
     flagged = df.where(F.col(flag) == 1).select(miles.alias("miles"))
-    median = quantile_value(flagged, "miles", 0.5, "disc", bits)
+    median = quantile_value(flagged, "miles", 0.5, "disc", accuracy)
     return df.withColumn(name, F.when(F.col(flag) == 1, miles).otherwise(median))

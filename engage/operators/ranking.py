@@ -1,17 +1,20 @@
 """Global order statistics without a single-task sort.
 
-Every function cuts the order into a fixed number of buckets, counts the buckets (a small table), and sorts
-only inside a bucket, so no task sees more than its bucket.
+The order is cut into buckets or narrowed to brackets, these are counted (a small table), and sorting happens
+only inside one, so no task sees more than its share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BITS = 8
+ACCURACY = 10_000
 
 
 def _split_points(value: str, bits: int) -> Column:
@@ -77,12 +80,13 @@ def quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     kind: str = "disc",
-    bits: int = BITS,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Exact quantiles of several numeric columns: rows (column, prob, value).
 
-    ``disc`` returns an element, ``linear`` interpolates.  NULL and NaN are ignored.  A sketch only chooses
-    bucket borders; buckets are then counted exactly and just the ones holding a wanted rank are sorted.
+    ``disc`` returns an element, ``linear`` interpolates.  NULL and NaN are ignored.  A sketch brackets each
+    quantile with values of slightly lower and higher rank; the rows below a bracket are counted and only those
+    inside, about ``8 / accuracy`` of all, are sorted.  Should a bracket miss its rank the job fails.
     """
     if kind not in ("disc", "linear"):
         raise ValueError("kind is disc or linear")
@@ -91,63 +95,73 @@ def quantiles(
         .unpivot([], list(cols), "column", "value")
         .where("value is not null and not isnan(value)")
     )
-    # one row per requested column, hence safe to broadcast
-    splits = values.groupBy("column").agg(_split_points("value", bits).alias("_splits"))
-    bucketed = values.join(F.broadcast(splits), "column").select(
-        "column", "value", _bucket(F.col("_splits"), F.col("value"), bits).alias("bucket")
-    )
-    per_column = Window.partitionBy("column")
-    counts = (
-        bucketed.groupBy("column", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "column",
-            "bucket",
-            "n",
-            (F.sum("n").over(per_column.orderBy("bucket")) - F.col("n")).alias("before"),
-            F.sum("n").over(per_column).alias("total"),
-        )
+    slack = 4 / accuracy
+    ends = [end for p in probs for end in (max(0.0, p - slack), min(1.0, p + slack))]
+    whole = [end for _ in probs for end in (float("-inf"), float("inf"))]
+    sketch = values.groupBy("column").agg(
+        F.percentile_approx("value", ends, accuracy).alias("ends"), F.count(F.lit(1)).alias("total")
+    )
+    # few rows need no bracket, and for them a rank may be wider than the slack
+    brackets = sketch.select(
+        "column",
+        "total",
+        F.when(F.col("total") > accuracy, F.col("ends")).otherwise(F.array(*[F.lit(e) for e in whole])).alias("ends"),
     )
-    wanted = F.array(*[F.lit(Decimal(str(p))).cast("decimal(12,10)") for p in probs])
+    # one row per requested column, hence safe to broadcast
+    bracketed = values.join(F.broadcast(brackets), "column")
+    low = [F.col("ends")[2 * i] for i in range(len(probs))]
+    high = [F.col("ends")[2 * i + 1] for i in range(len(probs))]
+    inside = [(F.col("value") >= lo) & (F.col("value") <= hi) for lo, hi in zip(low, high)]
+
     position = F.col("prob") * F.col("total") if kind == "disc" else F.col("prob") * (F.col("total") - 1) + 1
-    low = F.greatest(F.ceil(position) if kind == "disc" else F.floor(position), F.lit(1)).cast("long")
-    ranks = (
-        counts.select("column", "bucket", "n", "before", "total", F.explode(wanted).alias("prob"))
-        .select("*", position.cast("double").alias("position"), low.alias("low"))
-        .select(
-            "*",
-            F.explode(F.array(F.col("low"), F.ceil("position").cast("long"))).alias("rank")
-            if kind == "linear"
-            else F.col("low").alias("rank"),
-        )
-        .where("rank > before and rank <= before + n")
-        .distinct()
+    first = F.greatest(F.ceil(position) if kind == "disc" else F.floor(position), F.lit(1)).cast("long")
+    below = bracketed.groupBy("column", "total").agg(*[F.count_if(F.col("value") < lo).alias(f"b{i}") for i, lo in enumerate(low)])
+    exact = [F.lit(Decimal(str(p))).cast("decimal(12,10)") for p in probs]
+    wanted = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), p.alias("prob"), F.col(f"b{i}").alias("before"))
+            for i, p in enumerate(exact)
+        ]
     )
-    # at most 2 ranks per column and probability
-    needed = F.broadcast(ranks.select("column", "bucket").distinct())
-    inside = Window.partitionBy("column", "bucket").orderBy("value")
+    ranks = (
+        below.select("column", "total", F.inline(wanted))
+        .select("column", "i", "prob", "before", position.cast("double").alias("position"), first.alias("first"))
+        .withColumn("rank", F.explode(F.array_distinct(F.array("first", F.ceil("position").cast("long")))))
+        .where((F.col("rank") == F.col("first")) | F.lit(kind == "linear"))
+    )
+    nothing = F.lit(None).cast("int")
+    hits = [F.when(here, F.lit(i)).otherwise(nothing) for i, here in enumerate(inside)]
+    in_bracket = Window.partitionBy("column", "i").orderBy("value")
     candidates = (
-        bucketed.join(needed, ["column", "bucket"], "left_semi")
-        .groupBy("column", "bucket", "value")
+        bracketed.where(reduce(or_, inside))
+        .select("column", "value", F.explode(F.array_compact(F.array(*hits))).alias("i"))
+        .groupBy("column", "i", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .select("column", "bucket", "value", "copies", F.sum("copies").over(inside).alias("upto"))
+        .select("column", "i", "value", "copies", F.sum("copies").over(in_bracket).alias("upto"))
     )
-    hit = F.broadcast(ranks).join(candidates, ["column", "bucket"]).where(
-        "rank - before <= upto and rank - before > upto - copies"
+    # at most two ranks per column and probability on the left
+    found = ranks.alias("r").join(
+        candidates.alias("c"),
+        (F.col("r.column") == F.col("c.column"))
+        & (F.col("r.i") == F.col("c.i"))
+        & (F.col("rank") - F.col("before") <= F.col("upto"))
+        & (F.col("rank") - F.col("before") > F.col("upto") - F.col("copies")),
+        "left",
     )
     value = F.min("value")
     if kind == "linear":
-        value = F.min("value") + (F.max("value") - F.min("value")) * (F.first("position") - F.first("low"))
-    return hit.groupBy("column", "prob").agg(value.alias("value")).select(
-        "column", F.col("prob").cast("double").alias("prob"), "value"
-    )
+        value = F.min("value") + (F.max("value") - F.min("value")) * (F.first("position") - F.first("first"))
+    complete = F.count("value") == F.count(F.lit(1))
+    return found.groupBy(F.col("r.column").alias("column"), "prob").agg(
+        F.when(complete, value).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")).alias("value")
+    ).select("column", F.col("prob").cast("double").alias("prob"), "value")
 
 
 def quantile_value(
-    df: DataFrame, col: str, prob: float, kind: str = "disc", bits: int = BITS
+    df: DataFrame, col: str, prob: float, kind: str = "disc", accuracy: int = ACCURACY
 ) -> Column:
     """One exact quantile as a scalar subquery, usable inside filters and projections."""
-    return quantiles(df, [col], [prob], kind, bits).select("value").scalar()
+    return quantiles(df, [col], [prob], kind, accuracy).select("value").scalar()
 
 
 def hashed_key(key: str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import evaluate, labels, model
 from engage.plans.fixtures import table
-from engage.session import shared_dir
+from engage.session import materialise, shared_dir
 
 NUMERIC = ["n_orders", "spent", "biggest", "recency", "balance"]
 TEXT = ["segment", "priority", "nation"]
@@ -42,8 +42,9 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Training rows, test rows of the training cycle, and the other cycles."""
-    current, others = model.split_cycles(features(spark, folder), "cycle", TRAIN_CYCLE)
-    split = model.stratified_split(current, "key", "churn_flag").persist()
+    written = materialise(features(spark, folder), "features")
+    current, others = model.split_cycles(written, "cycle", TRAIN_CYCLE)
+    split = model.stratified_split(current, "key", "churn_flag")
     return split.where("is_test = 0"), split.where("is_test = 1"), others
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "engage", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,3 +38,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="engage-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it back, so later jobs start from the table."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

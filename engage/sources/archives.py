@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyarrow import fs
@@ -15,11 +16,30 @@ BATCH_BYTES = 8 * 1024 * 1024
 ENTRY_SCHEMA = "archive string, entry string, body string, error string"
 
 
-def _open(path: str) -> zipfile.ZipFile:
+class _Seekable:
+    """A store's file whose impossible seeks raise OSError, which zipfile looks for."""
+
+    def __init__(self, handle):
+        self.handle = handle
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self.handle.seek(offset, whence)
+        except ValueError as error:
+            raise OSError(str(error)) from error
+
+    def __getattr__(self, name: str):
+        return getattr(self.handle, name)
+
+
+@contextmanager
+def _open(path: str) -> Iterator[zipfile.ZipFile]:
+    """A zip on any store pyarrow reads, opened at random access."""
     if path.startswith("file:/") and not path.startswith("file://"):
         path = path.removeprefix("file:")
     store, inside = fs.FileSystem.from_uri(path)
-    return zipfile.ZipFile(store.open_input_file(inside))
+    with store.open_input_file(inside) as handle, zipfile.ZipFile(_Seekable(handle)) as archive:
+        yield archive
 
 
 def list_archives(spark: SparkSession, folder: str, name_contains: str = "", recursive: bool = False) -> DataFrame:
