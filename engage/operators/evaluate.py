@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from engage.operators.ranking import ACCURACY, BITS, quantiles, running_totals
+from engage.operators.ranking import ACCURACY, BITS, one_row, quantiles, running_totals
 
 
 def _score_counts(
@@ -30,9 +30,8 @@ def _with_sizes(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     sizes = points.groupBy(*by).agg(F.sum("pos").alias("p_total"), F.sum("neg").alias("n_total"))
     if by:
         return points.join(sizes, list(by))
-    return points.withColumns(
-        {"p_total": sizes.select("p_total").scalar(), "n_total": sizes.select("n_total").scalar()}
-    )
+    found = one_row(sizes)
+    return points.withColumns({"p_total": found["p_total"], "n_total": found["n_total"]})
 
 
 def roc_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:

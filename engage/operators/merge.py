@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from engage.operators.skew import join_lookup
+
 
 def _has_key(keys: Sequence[str]) -> Column:
     out = F.lit(True)
@@ -39,7 +41,8 @@ def upsert(
     ``update`` names the columns to take, or maps a column to an expression over the target's own columns and
     the source's as ``_src_<name>``.  ``insert=False`` only updates.  As in a MERGE, a NULL key matches
     nothing: such target rows stay and such source rows are inserted.  They skip the join, so they cannot
-    pile up in one task.  Write the result to a new path; never over the path being read.
+    pile up in one task.  A source of counted-small size is broadcast, and the target is then not shuffled.
+    Write the result to a new path; never over the path being read.
     """
     keys = [on] if isinstance(on, str) else list(on)
     values = [c for c in source.columns if c not in keys]
@@ -52,27 +55,30 @@ def upsert(
     side = _one_per_key(source, keys, values).select(
         *keys, *[F.col(v).alias(f"_src_{v}") for v in values], "_in_source"
     )
-    known = target.where(_has_key(keys)).withColumn("_in_target", F.lit(True))
-    joined = known.join(side, keys, "full" if insert else "left")
-    matched = F.col("_in_source") & F.col("_in_target")
-
-    def merged(name: str) -> Column:
-        old = F.col(name)
+    known = target.where(_has_key(keys))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    joined = join_lookup(known, side, keys, "left")
+    out = joined.select(
+        *[
+            (F.when(F.col("_in_source"), update[c]).otherwise(F.col(c)) if c in update else F.col(c)).cast(types[c]).alias(c)
+            for c in columns
+        ]
+    ).unionByName(target.where(~_has_key(keys)))
+    if not insert:
+        return out
+
+    def new_row(name: str) -> Column:
         if name in keys:
-            return old
-        kept = old
-        if insert and name in values:
-            kept = F.when(F.col("_in_target").isNull(), F.col(f"_src_{name}")).otherwise(old)
-        if name in update:
-            return F.when(matched, update[name]).otherwise(kept).cast(target.schema[name].dataType)
-        return kept.cast(target.schema[name].dataType)
-
-    out = joined.select(*[merged(c).alias(c) for c in columns])
-    out = out.unionByName(target.where(~_has_key(keys)))
-    if insert:
-        loose = source.where(~_has_key(keys)).select(*[c for c in source.columns if c in columns])
-        out = out.unionByName(loose, allowMissingColumns=True).select(*columns)
-    return out
+            return F.col(name)
+        return F.col(f"_src_{name}") if name in values else F.lit(None)
+
+    # at most as many rows as the source has keys
+    matched = join_lookup(known.select(*keys), side.select(*keys), keys, "left_semi").distinct()
+    added = side.join(matched, keys, "left_anti").select(*[new_row(c).cast(types[c]).alias(c) for c in columns])
+    loose = source.where(~_has_key(keys)).select(
+        *[(F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns]
+    )
+    return out.unionByName(added).unionByName(loose)
 
 
 def change_feed(before: DataFrame, after: DataFrame, on: str | Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from engage.operators.prep import column_types
 from engage.operators.ranking import hash_cut, hash_rank, hashed_key
@@ -24,6 +24,17 @@ HIGH_RISK, MEDIUM_RISK = 0.8, 0.5
 # A text column with more values than this is hashed instead of indexed, so no long value list is collected.
 MAX_CATEGORIES = 30
 
+# More classes than this are no class label.
+MAX_CLASSES = 100
+
+
+def _per_class(table: DataFrame, label: str, value: str) -> Column:
+    """The class's entry of a table with one row per class, without a join; a label is no free-form column."""
+    entries = F.map_from_entries(F.collect_list(F.struct(label, value)))
+    many = F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes"))
+    limited = table.agg(F.when(F.count(F.lit(1)) <= MAX_CLASSES, entries).otherwise(many.cast("void"))).scalar()
+    return F.element_at(limited, F.col(label))
+
 
 def split_cycles(df: DataFrame, cycle: str, train: object) -> tuple[DataFrame, DataFrame]:
     """Rows of the training cycle, and rows of the others."""
@@ -39,9 +50,8 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
 
     Only the border hash per class is computed; rows are then compared to it where they are.
     """
-    # one row per class of a 0/1 label
-    cuts = F.broadcast(hash_cut(df, key, test_share, [label]))
-    return df.join(cuts, label).select(*df.columns, (hashed_key(key) <= F.col("cut")).cast("int").alias("is_test"))
+    cut = _per_class(hash_cut(df, key, test_share, [label]), label, "cut")
+    return df.withColumn("is_test", (hashed_key(key) <= cut).cast("int"))
 
 
 def folds(df: DataFrame, key: str, label: str, k: int = 5) -> DataFrame:
@@ -58,8 +68,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    # one row per class of a 0/1 label
-    return df.join(F.broadcast(class_weights(df, label).select(label, F.col("weight").alias(name))), label)
+    return df.withColumn(name, _per_class(class_weights(df, label), label, "weight"))
 
 
 def _stages(df: DataFrame, features: Sequence[str], max_categories: int) -> tuple[list, list[str]]:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from engage.functions import haversine_miles, is_blank
-from engage.operators.ranking import ACCURACY, quantile_value, quantiles
+from engage.operators.ranking import ACCURACY, one_row, quantile_value, quantiles
 
 # Name parts of columns kept out of the feature table.
 PRIVATE_PATTERNS = (
@@ -164,11 +164,9 @@ def trim_quantiles(
     df: DataFrame, col: str, low: float = 0.01, high: float = 0.95, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Keep rows between two quantiles, ends included; NULLs drop out."""
-    ends = (
-        quantiles(df, [col], [low, high], "disc", accuracy)
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    )
-    return df.where(F.col(col).between(ends.select("lo").scalar(), ends.select("hi").scalar()))
+    found = quantiles(df, [col], [low, high], "disc", accuracy)
+    ends = one_row(found.agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
+    return df.where(F.col(col).between(ends["lo"], ends["hi"]))
 
 
 def tenure(

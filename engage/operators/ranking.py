@@ -157,6 +157,11 @@ def quantiles(
     ).select("column", F.col("prob").cast("double").alias("prob"), "value")
 
 
+def one_row(df: DataFrame) -> Column:
+    """A one-row frame as a struct-valued scalar subquery, computed once however many fields are used."""
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def quantile_value(
     df: DataFrame, col: str, prob: float, kind: str = "disc", accuracy: int = ACCURACY
 ) -> Column:

@@ -47,16 +47,18 @@ def salted_join(
     how: str = "left",
     salts: int = 32,
     share: float = HOT_SHARE,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join whose hot left keys are spread over ``salts`` tasks.
 
     Only the right rows of hot keys are repeated, so the extra traffic is bounded by
-    ``salts * (right rows of at most 1/share keys)``.  NULL keys count as a key like any other.
+    ``salts * (right rows of at most 1/share keys)``.  NULL keys count as a key like any other.  ``probe`` is a
+    frame cheaper to read than ``left`` with about the same keys, in which hot ones are looked for.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = hot_key_hashes(left, keys, share)
+    hot = hot_key_hashes(left if probe is None else probe, keys, share)
     key_hash = F.xxhash64(*keys)
     spread_left = left.withColumn(
         "_salt",

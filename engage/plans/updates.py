@@ -10,6 +10,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import audit, merge, rag, score
+from engage.operators.ranking import one_row
 from engage.plans.fixtures import derive, table, with_ctes
 from engage.session import shared_dir
 from engage.sources import archives, documents, folders, sinks
@@ -171,8 +172,9 @@ def stage_log(spark: SparkSession, folder: str) -> DataFrame:
     log.write(out)
     stages = {"NLP Processing": "nlp", "Additional data points processing": "data_points"}
     times = audit.stage_times(audit.read_stage_log(spark, out), stages)
+    found = one_row(times)
     source = customers.select(F.col("c_mktsegment").alias("lob")).distinct().withColumns(
-        {c: times.select(c).scalar() for c in times.columns}
+        {c: found[c] for c in times.columns}
     )
     target = sinks.ensure_columns(
         customers.groupBy(F.col("c_mktsegment").alias("lob")).agg(F.count(F.lit(1)).alias("n")),
