@@ -30,7 +30,7 @@ def prefix_semi_join(
     both only set a flag, and repeated member rows stay.
     """
     wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    flagged = members.withColumns(
+    flagged = keyed = members.withColumns(
         {
             "_p9": F.left(subscriber, F.lit(9)),
             "_p11": F.left(F.concat(subscriber, suffix), F.lit(11)),
@@ -38,7 +38,7 @@ def prefix_semi_join(
     )
     for prefix in ("_p9", "_p11"):
         hits = wanted.select(F.col(key).alias(prefix), F.lit(True).alias(f"{prefix}_hit"))
-        flagged = salted_join(flagged, hits, prefix, "left")
+        flagged = salted_join(flagged, hits, prefix, "left", probe=keyed)
     return flagged.where("_p9_hit or _p11_hit").select(*members.columns)
 
 
@@ -89,7 +89,7 @@ def with_finance_lob(
         by_prefix = lobs.groupBy(F.left("member_id", F.lit(9)).alias(key)).agg(
             F.min("finance_lob").alias("_prefix_lob")
         )
-        out = salted_join(out, by_prefix, key, "left")
+        out = salted_join(out, by_prefix, key, "left", probe=calls)
         out = out.withColumn("finance_lob", F.coalesce("finance_lob", "_prefix_lob")).drop("_prefix_lob")
     return out.select(
         *calls.columns, "finance_lob", F.col("finance_lob").isNotNull().alias("finance_known")

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from engage.operators.ranking import ACCURACY, BITS, one_row, quantiles, running_totals
+from engage.operators.ranking import ACCURACY, BITS, one_row, quantile_values, running_totals
+from engage.session import materialise
 
 
 def _score_counts(
@@ -22,6 +23,8 @@ def _score_counts(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     )
+    # written once: the passes below read distinct scores, not the rows again
+    per_score = materialise(per_score, "scores")
     return running_totals(per_score, "threshold", {"pos": "tp", "neg": "fp"}, by, descending=True, bits=bits)
 
 
@@ -156,19 +159,11 @@ def report(df: DataFrame, threshold: float = 0.5, label: str = "y", score: str =
 
 def deciles(df: DataFrame, score: str = "p", bins: int = 10, name: str = "decile", accuracy: int = ACCURACY) -> DataFrame:
     """Bin rows by quantile edges of the score, right-closed, from 0; repeated edges merge their bins."""
-    probs = [i / bins for i in range(bins)]
-    edges = (
-        quantiles(df, [score], probs, "linear", accuracy)
-        # prob 0 is the minimum: an edge equal to it makes no bin of its own
-        .agg(F.array_sort(F.collect_set(F.round("value", 9))).alias("e"))
-        .select(F.slice("e", 2, bins).alias("e"))
-        .scalar()
-    )
-    return (
-        df.withColumn("_edges", edges)
-        .withColumn(name, F.size(F.filter("_edges", lambda e: e < F.col(score))))
-        .drop("_edges")
-    )
+    found = quantile_values(df, [score], [i / bins for i in range(bins)], "linear", accuracy)[score]
+    # the minimum, and an edge equal to it, makes no bin of its own
+    lowest, *edges = [round(e, 9) for e in found.values() if e is not None] or [0.0]
+    inner = F.array(*[F.lit(e) for e in sorted(set(edges) - {lowest})]).cast("array<double>")
+    return df.withColumn(name, F.size(F.filter(inner, lambda e: e < F.col(score))))
 
 
 def lift_table(

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from engage.functions import haversine_miles, is_blank
-from engage.operators.ranking import ACCURACY, one_row, quantile_value, quantiles
+from engage.operators.ranking import ACCURACY, quantile_values
 
 # Name parts of columns kept out of the feature table.
 PRIVATE_PATTERNS = (
@@ -107,21 +107,22 @@ def drop_empty_columns(df: DataFrame, cols: Sequence[str] | None = None) -> Data
 
 def impute_median(df: DataFrame, cols: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """Replace NULL and NaN by the column's median element; all medians come from the same three passes."""
-    medians = quantiles(df, cols, [0.5], "disc", accuracy)
-    # one row per column
-    table = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "value")))).scalar()
+    medians = quantile_values(df, cols, [0.5], "disc", accuracy)
     changes = {}
     for name in cols:
         value = F.col(name)
         if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
             value = F.nanvl(value, F.lit(None).cast("double"))
-        changes[name] = F.coalesce(value, F.element_at(table, name)).cast(df.schema[name].dataType)
+        median = F.lit(medians[name][0.5]).cast("double")
+        changes[name] = F.coalesce(value, median).cast(df.schema[name].dataType)
     return df.withColumns(changes)
 
 
 def quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """Exact element quantiles, rows (column, prob, value)."""
-    return quantiles(df, cols, probs, "disc", accuracy)
+    found = quantile_values(df, cols, probs, "disc", accuracy)
+    rows = [(c, float(p), v) for c, per_prob in found.items() for p, v in per_prob.items() if v is not None]
+    return df.sparkSession.createDataFrame(rows, "column string, prob double, value double")
 
 
 def approx_quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float], error: float = 0.01) -> DataFrame:
@@ -136,37 +137,31 @@ def approx_quantile(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 def describe(df: DataFrame, cols: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
     """Per column count, mean, standard deviation, min, quartiles and max."""
-    values = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        .unpivot([], list(cols), "column", "value")
-        .where("value is not null")
-    )
-    basics = values.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = (
-        quantiles(df, cols, [0.25, 0.5, 0.75], "disc", accuracy)
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
-               for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
-    )
-    # one row per column on both sides
-    return basics.join(quartiles, "column", "left").select(
-        "column", "n", "mean", "stddev", "min", "p25", "p50", "p75", "max"
-    )
+    quartiles = quantile_values(df, cols, [0.25, 0.5, 0.75], "disc", accuracy)
+    rows = []
+    for c in cols:
+        value = F.col(c).cast("double")
+        facts = {
+            "column": F.lit(c),
+            "n": F.count(value),
+            "mean": F.avg(value),
+            "stddev": F.stddev_samp(value),
+            "min": F.min(value),
+            "p25": F.lit(quartiles[c][0.25]).cast("double"),
+            "p50": F.lit(quartiles[c][0.5]).cast("double"),
+            "p75": F.lit(quartiles[c][0.75]).cast("double"),
+            "max": F.max(value),
+        }
+        rows.append(F.struct(*[f.alias(n) for n, f in facts.items()]))
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def trim_quantiles(
     df: DataFrame, col: str, low: float = 0.01, high: float = 0.95, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Keep rows between two quantiles, ends included; NULLs drop out."""
-    found = quantiles(df, [col], [low, high], "disc", accuracy)
-    ends = one_row(found.agg(F.min("value").alias("lo"), F.max("value").alias("hi")))
-    return df.where(F.col(col).between(ends["lo"], ends["hi"]))
+    ends = quantile_values(df, [col], [low, high], "disc", accuracy)[col]
+    return df.where(F.col(col).between(F.lit(ends[low]).cast("double"), F.lit(ends[high]).cast("double")))
 
 
 def tenure(
@@ -193,5 +188,5 @@ def distance_feature(
     """Miles between two places for flagged rows; the flagged rows' median for the others."""
     miles = haversine_miles(*[F.col(c) for c in coordinates])
     flagged = df.where(F.col(flag) == 1).select(miles.alias("miles"))
-    median = quantile_value(flagged, "miles", 0.5, "disc", accuracy)
-    return df.withColumn(name, F.when(F.col(flag) == 1, miles).otherwise(median))
+    median = quantile_values(flagged, ["miles"], [0.5], "disc", accuracy)["miles"][0.5]
+    return df.withColumn(name, F.when(F.col(flag) == 1, miles).otherwise(F.lit(median).cast("double")))

@@ -6,6 +6,7 @@ only inside one, so no task sees more than its share.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
@@ -75,86 +76,78 @@ def running_totals(
     )
 
 
-def quantiles(
+def quantile_values(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     kind: str = "disc",
     accuracy: int = ACCURACY,
-) -> DataFrame:
-    """Exact quantiles of several numeric columns: rows (column, prob, value).
-
-    ``disc`` returns an element, ``linear`` interpolates.  NULL and NaN are ignored.  A sketch brackets each
-    quantile with values of slightly lower and higher rank; the rows below a bracket are counted and only those
-    inside, about ``8 / accuracy`` of all, are sorted.  Should a bracket miss its rank the job fails.
+) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles of numeric columns as numbers: column -> probability -> value, None for an empty column.
+
+    ``disc`` returns an element, ``linear`` interpolates.  NULL and NaN are ignored.  Three passes over ``df``,
+    which should therefore be a table rather than a long query, each ending in a fixed number of values:
+    a sketch brackets each quantile with values of slightly lower and higher rank; the rows below a bracket are
+    counted; only those inside, about ``8 / accuracy`` of all, are sorted.  Should a bracket miss its rank an
+    error is raised.
     """
     if kind not in ("disc", "linear"):
         raise ValueError("kind is disc or linear")
-    values = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        .unpivot([], list(cols), "column", "value")
-        .where("value is not null and not isnan(value)")
-    )
+    values = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    numbers = df.select(*[v.alias(f"_v{i}") for i, v in enumerate(values.values())])
     slack = 4 / accuracy
     ends = [end for p in probs for end in (max(0.0, p - slack), min(1.0, p + slack))]
-    whole = [end for _ in probs for end in (float("-inf"), float("inf"))]
-    sketch = values.groupBy("column").agg(
-        F.percentile_approx("value", ends, accuracy).alias("ends"), F.count(F.lit(1)).alias("total")
-    )
-    # few rows need no bracket, and for them a rank may be wider than the slack
-    brackets = sketch.select(
-        "column",
-        "total",
-        F.when(F.col("total") > accuracy, F.col("ends")).otherwise(F.array(*[F.lit(e) for e in whole])).alias("ends"),
-    )
-    # one row per requested column, hence safe to broadcast
-    bracketed = values.join(F.broadcast(brackets), "column")
-    low = [F.col("ends")[2 * i] for i in range(len(probs))]
-    high = [F.col("ends")[2 * i + 1] for i in range(len(probs))]
-    inside = [(F.col("value") >= lo) & (F.col("value") <= hi) for lo, hi in zip(low, high)]
-
-    position = F.col("prob") * F.col("total") if kind == "disc" else F.col("prob") * (F.col("total") - 1) + 1
-    first = F.greatest(F.ceil(position) if kind == "disc" else F.floor(position), F.lit(1)).cast("long")
-    below = bracketed.groupBy("column", "total").agg(*[F.count_if(F.col("value") < lo).alias(f"b{i}") for i, lo in enumerate(low)])
-    exact = [F.lit(Decimal(str(p))).cast("decimal(12,10)") for p in probs]
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), p.alias("prob"), F.col(f"b{i}").alias("before"))
-            for i, p in enumerate(exact)
-        ]
-    )
-    ranks = (
-        below.select("column", "total", F.inline(wanted))
-        .select("column", "i", "prob", "before", position.cast("double").alias("position"), first.alias("first"))
-        .withColumn("rank", F.explode(F.array_distinct(F.array("first", F.ceil("position").cast("long")))))
-        .where((F.col("rank") == F.col("first")) | F.lit(kind == "linear"))
-    )
-    nothing = F.lit(None).cast("int")
-    hits = [F.when(here, F.lit(i)).otherwise(nothing) for i, here in enumerate(inside)]
-    in_bracket = Window.partitionBy("column", "i").orderBy("value")
-    candidates = (
-        bracketed.where(reduce(or_, inside))
-        .select("column", "value", F.explode(F.array_compact(F.array(*hits))).alias("i"))
-        .groupBy("column", "i", "value")
+    sketch = numbers.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(numbers.columns)],
+        *[F.percentile_approx(v, ends, accuracy).alias(f"e{i}") for i, v in enumerate(numbers.columns)],
+    ).first()
+
+    out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probs) for c in cols}
+    brackets: list[tuple[int, float, float, float]] = []  # column number, prob, low, high
+    for i in range(len(cols)):
+        for j, prob in enumerate(probs):
+            if sketch[f"n{i}"] > accuracy:
+                brackets.append((i, prob, sketch[f"e{i}"][2 * j], sketch[f"e{i}"][2 * j + 1]))
+            elif sketch[f"n{i}"] > 0:  # few rows need no bracket
+                brackets.append((i, prob, float("-inf"), float("inf")))
+    if not brackets:
+        return out
+    below = numbers.agg(*[F.count_if(F.col(f"_v{i}") < low).alias(f"b{k}") for k, (i, _, low, _) in enumerate(brackets)]).first()
+
+    wanted = []  # bracket number, rank inside the bracket
+    positions = []
+    for k, (i, prob, _, _) in enumerate(brackets):
+        total, exact = sketch[f"n{i}"], Decimal(str(prob))
+        position = exact * total if kind == "disc" else exact * (total - 1) + 1
+        first = max(math.ceil(position) if kind == "disc" else math.floor(position), 1)
+        last = first if kind == "disc" else math.ceil(position)
+        positions.append((first, last, float(position - first)))
+        wanted += [(k, rank - below[f"b{k}"]) for rank in {first, last}]
+    spans = [(F.col("i") == str(i)) & (F.col("value") >= low) & (F.col("value") <= high) for i, _, low, high in brackets]
+    inside = Window.partitionBy("k").orderBy("value")
+    ranked = (
+        numbers.toDF(*[str(i) for i in range(len(cols))])
+        .unpivot([], [str(i) for i in range(len(cols))], "i", "value")
+        .where(reduce(or_, spans))
+        .groupBy("i", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .select("column", "i", "value", "copies", F.sum("copies").over(in_bracket).alias("upto"))
+        .withColumn("k", F.explode(F.array_compact(F.array(*[F.when(span, k) for k, span in enumerate(spans)]))))
+        .withColumn("upto", F.sum("copies").over(inside))
     )
-    # at most two ranks per column and probability on the left
-    found = ranks.alias("r").join(
-        candidates.alias("c"),
-        (F.col("r.column") == F.col("c.column"))
-        & (F.col("r.i") == F.col("c.i"))
-        & (F.col("rank") - F.col("before") <= F.col("upto"))
-        & (F.col("rank") - F.col("before") > F.col("upto") - F.col("copies")),
-        "left",
+    here = reduce(
+        or_,
+        [(F.col("k") == k) & (F.col("upto") >= rank) & (F.col("upto") - F.col("copies") < rank) for k, rank in wanted],
     )
-    value = F.min("value")
-    if kind == "linear":
-        value = F.min("value") + (F.max("value") - F.min("value")) * (F.first("position") - F.first("first"))
-    complete = F.count("value") == F.count(F.lit(1))
-    return found.groupBy(F.col("r.column").alias("column"), "prob").agg(
-        F.when(complete, value).otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")).alias("value")
-    ).select("column", F.col("prob").cast("double").alias("prob"), "value")
+    found: dict[int, list[float]] = {}
+    for row in ranked.where(here).select("k", "value").collect():  # at most two rows per bracket
+        found.setdefault(row["k"], []).append(row["value"])
+    for k, (i, prob, _, _) in enumerate(brackets):
+        first, last, fraction = positions[k]
+        near = sorted(found.get(k, []))
+        if not near or below[f"b{k}"] >= first:
+            raise ArithmeticError(f"quantile {prob} of {cols[i]} lies outside its bracket")
+        out[cols[i]][prob] = near[0] + (near[-1] - near[0]) * fraction if last > first else near[0]
+    return out
 
 
 def one_row(df: DataFrame) -> Column:
@@ -162,13 +155,6 @@ def one_row(df: DataFrame) -> Column:
     return df.select(F.struct(*df.columns)).scalar()
 
 
-def quantile_value(
-    df: DataFrame, col: str, prob: float, kind: str = "disc", accuracy: int = ACCURACY
-) -> Column:
-    """One exact quantile as a scalar subquery, usable inside filters and projections."""
-    return quantiles(df, [col], [prob], kind, accuracy).select("value").scalar()
-
-
 def hashed_key(key: str) -> Column:
     return F.md5(F.col(key).cast("string"))
 

@@ -62,16 +62,16 @@ def test_quantiles_equal_sorting(spark, n, shape):
     df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "x double").repartition(4)
     probs = [0.0, 0.01, 0.25, 0.3, 0.5, 0.95, 1.0]
     ordered = sorted(values)
-    got = {r["prob"]: r["value"] for r in ranking.quantiles(df, ["x"], probs).collect()}
-    assert got == {p: ordered[max(math.ceil(round(p * n, 9)), 1) - 1] for p in probs}
-    linear = {r["prob"]: r["value"] for r in ranking.quantiles(df, ["x"], probs, "linear").collect()}
+    assert ranking.quantile_values(df, ["x"], probs)["x"] == {p: ordered[max(math.ceil(round(p * n, 9)), 1) - 1] for p in probs}
+    linear = ranking.quantile_values(df, ["x"], probs, "linear")["x"]
     for p in probs:
         assert linear[p] == pytest.approx(np.quantile(values, p), rel=1e-9)
 
 
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None, 1.0)], "x double, z double")
-    assert [tuple(r) for r in ranking.quantiles(df, ["x", "z"], [0.5]).collect()] == [("z", 0.5, 1.0)]
+    assert ranking.quantile_values(df, ["x", "z"], [0.5]) == {"x": {0.5: None}, "z": {0.5: 1.0}}
+    assert ranking.quantile_values(df, ["x"], [0.5]) == {"x": {0.5: None}}
 
 
 @pytest.mark.parametrize("digits", [1, 2, 6])
