@@ -15,6 +15,8 @@ def build_session(app: str = "engage", master: str | None = None, **conf: str) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whole documents and vectors travel in these batches
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.sql.files.maxPartitionBytes": "128m",
         **conf,
     }

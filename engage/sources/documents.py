@@ -17,17 +17,17 @@ def parse_documents(df: DataFrame, body: str = "body", path: str = "path") -> Da
 
     Nested ``channels`` stay JSON text; every metadata value becomes text.
     """
-    parsed = df.withColumn(
-        "_doc", F.from_json(body, TRANSCRIPT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    )
-    bad = F.col("_doc").isNull() | F.col("_doc._corrupt_record").isNotNull()
-    fields = ["language", "mediaId", "status", "dateCreated", "contentType", "channels", "metadata"]
-    return parsed.select(
-        *[c for c in df.columns if c not in (body, "error")],
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    kept = [c for c in df.columns if c not in (body, "error")]
+    # a generator parses each text once, however many fields are used or filtered on later
+    parsed = df.select(
+        *kept,
         *([] if path == "path" else [F.col(path).alias("path")]),
-        *[F.col(f"_doc.{f}").alias(f) for f in fields],
-        F.when(bad, F.lit("not a JSON document")).alias("error"),
+        F.col(body).isNotNull().alias("_has_body"),
+        F.inline(F.array(F.from_json(body, TRANSCRIPT_SCHEMA, options))),
     )
+    bad = ~F.col("_has_body") | F.col("_corrupt_record").isNotNull()
+    return parsed.withColumn("error", F.when(bad, F.lit("not a JSON document"))).drop("_has_body", "_corrupt_record")
 
 
 def read_documents(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
