@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from engage.operators.prep import column_types
 from engage.operators.ranking import hash_cut, hash_rank, hashed_key
+from engage.session import materialise
 
 # Fill for missing numbers at training time, and the tier borders.
 TRAIN_FILL = -999
@@ -200,7 +201,8 @@ def cross_validate(
     df: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5, parallelism: int = 2, **params: object
 ) -> float:
     """Mean AUC over k stratified folds."""
-    rows = folds(df, key, label, k)
+    # every fold's fit reads these rows again
+    rows = materialise(folds(df, key, label, k), "folds")
     validator = CrossValidator(
         estimator=pipeline(rows, features, label, **params),
         estimatorParamMaps=[{}],

@@ -91,7 +91,7 @@ def train_and_backtest(
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
     """Fit on the training cycle, keep the best 30 features, evaluate on its held-out rows and on other cycles."""
     current, others = model.split_cycles(table, cycle, train_cycle)
-    split = model.stratified_split(current, key, label)
+    split = materialise(model.stratified_split(current, key, label), "split")
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
     ranking = model.importance(model.train(train, features, label, weighted=False, **params), train, features)
     best = [r["feature"] for r in model.top_features(ranking).collect()]

@@ -44,7 +44,7 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     """Training rows, test rows of the training cycle, and the other cycles."""
     written = materialise(features(spark, folder), "features")
     current, others = model.split_cycles(written, "cycle", TRAIN_CYCLE)
-    split = model.stratified_split(current, "key", "churn_flag")
+    split = materialise(model.stratified_split(current, "key", "churn_flag"), "split")
     return split.where("is_test = 0"), split.where("is_test = 1"), others
 
 

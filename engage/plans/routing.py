@@ -16,6 +16,7 @@ from engage.plans.fixtures import (
     table,
     with_ctes,
 )
+from engage.session import materialise
 from engage.sources.documents import parse_documents, readable
 
 DECISION = ["call_id", "selected", "reason", "lob"]
@@ -48,8 +49,8 @@ def _prefix(spark: SparkSession, calls: DataFrame) -> DataFrame:
 
 
 def _all_feeds(spark: SparkSession, folder: str) -> DataFrame:
-    """Every call under its own feed's rule."""
-    known = _known(spark, folder)
+    """Every call under its own feed's rule; the joined calls are written once for the three rules."""
+    known = materialise(_known(spark, folder), "known")
     parts = [rule(spark, known.where(F.col("feed") == f)) for f, rule in zip("ABC", (_multi, _first, _prefix))]
     return enrich.union_tables(*parts)
 
