@@ -10,12 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from engage.operators.ranking import ACCURACY, BITS, one_row, quantile_values, running_totals
+from engage.operators.ranking import ACCURACY, one_row, quantile_values, running_totals
 from engage.session import materialise
 
 
 def _score_counts(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), bits: int = BITS
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), bits: int | None = None
 ) -> DataFrame:
     """Positives and negatives per distinct score, with inclusive running totals from the top and group totals."""
     by = list(by)
@@ -37,7 +37,7 @@ def _with_sizes(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return points.withColumns({"p_total": found["p_total"], "n_total": found["n_total"]})
 
 
-def roc_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
+def roc_points(df: DataFrame, label: str = "y", score: str = "p", bits: int | None = None) -> DataFrame:
     """Per distinct score as threshold: true and false positives at or above it, and their rates.
 
     The first point of the curve, above every score, has a NULL threshold.
@@ -55,7 +55,7 @@ def roc_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BI
     return points.unionByName(origin)
 
 
-def pr_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
+def pr_points(df: DataFrame, label: str = "y", score: str = "p", bits: int | None = None) -> DataFrame:
     """Precision, recall and F1 per distinct score as threshold; the end point has a NULL threshold."""
     # Fixed value: keeps the F1 denominator off zero.
     tiny = 1e-8
@@ -71,7 +71,7 @@ def pr_points(df: DataFrame, label: str = "y", score: str = "p", bits: int = BIT
 
 
 def auc(
-    df: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = (), bits: int = BITS
+    df: DataFrame, label: str = "y", score: str = "p", by: Sequence[str] = (), bits: int | None = None
 ) -> DataFrame:
     """Area under the ROC curve; tied scores count half."""
     points = _score_counts(df, label, score, by, bits)
@@ -80,7 +80,7 @@ def auc(
     return points.groupBy(*by).agg(F.try_divide(wins, pairs).alias("auc"))
 
 
-def ks(df: DataFrame, label: str = "y", score: str = "p", bits: int = BITS) -> DataFrame:
+def ks(df: DataFrame, label: str = "y", score: str = "p", bits: int | None = None) -> DataFrame:
     """Largest gap between the score distributions of the two classes."""
     points = _with_sizes(_score_counts(df, label, score, bits=bits))
     gap = F.abs(F.try_divide("tp", "p_total") - F.try_divide("fp", "n_total"))

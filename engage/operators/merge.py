@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from engage.operators.skew import join_lookup
+from engage.operators.skew import fits, join_lookup
 
 
 def _has_key(keys: Sequence[str]) -> Column:
@@ -57,7 +57,8 @@ def upsert(
     )
     known = target.where(_has_key(keys))
     types = {f.name: f.dataType for f in target.schema.fields}
-    joined = join_lookup(known, side, keys, "left")
+    small = fits(side)
+    joined = join_lookup(known, side, keys, "left", small=small)
     out = joined.select(
         *[
             (F.when(F.col("_in_source"), update[c]).otherwise(F.col(c)) if c in update else F.col(c)).cast(types[c]).alias(c)
@@ -73,7 +74,7 @@ def upsert(
         return F.col(f"_src_{name}") if name in values else F.lit(None)
 
     # at most as many rows as the source has keys
-    matched = join_lookup(known.select(*keys), side.select(*keys), keys, "left_semi").distinct()
+    matched = join_lookup(known.select(*keys), side.select(*keys), keys, "left_semi", small=small).distinct()
     added = side.join(matched, keys, "left_anti").select(*[new_row(c).cast(types[c]).alias(c) for c in columns])
     loose = source.where(~_has_key(keys)).select(
         *[(F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns]

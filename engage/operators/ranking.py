@@ -14,7 +14,11 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS = 8
+from engage.session import materialise
+
+# Rows one task may sort; beyond, the order is cut into buckets of about this size, at most 2**MAX_BITS.
+ROWS_PER_BUCKET = 1_000_000
+MAX_BITS = 14
 ACCURACY = 10_000
 
 
@@ -39,13 +43,24 @@ def running_totals(
     totals: Mapping[str, str],
     by: Sequence[str] = (),
     descending: bool = False,
-    bits: int = BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """Add inclusive running totals of ``totals`` (source column -> new column) along ``order``.
 
     ``df`` holds one row per (by, order) value, that is, ties are already aggregated.  ``order`` is numeric.
+    The rows are counted to choose 2**bits buckets, so ``df`` should be a table; few rows need no buckets.
     """
     by = list(by)
+    sense = F.desc if descending else F.asc
+    if bits is None:
+        bits = min(MAX_BITS, math.ceil(math.log2(max(df.count() / ROWS_PER_BUCKET, 1))))
+    if bits == 0:
+        upto = (
+            Window.partitionBy(*(by or [F.lit(0)]))
+            .orderBy(sense(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return df.select("*", *[F.sum(c).over(upto).alias(name) for c, name in totals.items()])
     splits = df.agg(_split_points(order, bits).alias("s")).scalar()
     bucketed = (
         df.withColumn("_splits", splits)
@@ -54,7 +69,6 @@ def running_totals(
     )
     keys = [*by, "_bucket"]
     sums = bucketed.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{c}") for c in totals])
-    sense = F.desc if descending else F.asc
     # at most 2**bits rows per group reach this window
     before = (
         Window.partitionBy(*(by or [F.lit(0)]))
@@ -124,16 +138,19 @@ def quantile_values(
         positions.append((first, last, float(position - first)))
         wanted += [(k, rank - below[f"b{k}"]) for rank in {first, last}]
     spans = [(F.col("i") == str(i)) & (F.col("value") >= low) & (F.col("value") <= high) for i, _, low, high in brackets]
-    inside = Window.partitionBy("k").orderBy("value")
-    ranked = (
+    counted = (
         numbers.toDF(*[str(i) for i in range(len(cols))])
         .unpivot([], [str(i) for i in range(len(cols))], "i", "value")
         .where(reduce(or_, spans))
         .groupBy("i", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("k", F.explode(F.array_compact(F.array(*[F.when(span, k) for k, span in enumerate(spans)]))))
-        .withColumn("upto", F.sum("copies").over(inside))
+        .select("k", "value", "copies")
     )
+    if max(sketch[f"n{i}"] for i in range(len(cols))) * 2 * slack > ROWS_PER_BUCKET:
+        ranked = running_totals(materialise(counted, "brackets"), "value", {"copies": "upto"}, ["k"])
+    else:
+        ranked = running_totals(counted, "value", {"copies": "upto"}, ["k"], bits=0)
     here = reduce(
         or_,
         [(F.col("k") == k) & (F.col("upto") >= rank) & (F.col("upto") - F.col("copies") < rank) for k, rank in wanted],
@@ -176,7 +193,7 @@ def _hash_counts(df: DataFrame, by: Sequence[str], key: str, digits: int) -> Dat
 
 
 def hash_rank(
-    df: DataFrame, key: str, by: Sequence[str] = (), rank: str = "rank", total: str = "total", digits: int = 3
+    df: DataFrame, key: str, by: Sequence[str] = (), rank: str = "rank", total: str = "total", digits: int = 4
 ) -> DataFrame:
     """Rank rows from 1 by md5 of a unique ``key`` inside each ``by`` group, and add the group's size.
 
@@ -197,13 +214,15 @@ def hash_rank(
     )
 
 
-def hash_cut(df: DataFrame, key: str, share: float, by: Sequence[str], digits: int = 3) -> DataFrame:
+def hash_cut(df: DataFrame, key: str, share: float, by: Sequence[str], digits: int = 4) -> DataFrame:
     """Per ``by`` group the largest md5 among the first ``ceil(share * n)`` rows: rows (by, cut).
 
-    Counts hash prefixes, then sorts only the one prefix per group in which the cut falls.
+    Counts hash prefixes, then sorts only the distinct hashes of the one prefix per group in which the cut falls.
+    Copies of a key share a hash, so they stay on one side of the cut and cost one row.
     """
     by = list(by)
     target = F.ceil(F.lit(Decimal(str(share))).cast("decimal(12,10)") * F.col("_total"))
+    # one row per group; groups are the classes of a label
     edge = (
         _hash_counts(df, by, key, digits)
         .withColumn("_target", target)
@@ -215,8 +234,10 @@ def hash_cut(df: DataFrame, key: str, share: float, by: Sequence[str], digits: i
     return (
         df.select(*by, hashed_key(key).alias("_h"))
         .withColumn("_bucket", F.substring("_h", 1, digits))
-        .join(edge, keys)
-        .withColumn("_r", F.row_number().over(inside))
-        .where("_r = _nth")
+        .join(F.broadcast(edge), keys)
+        .groupBy(*keys, "_h", "_nth")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_upto", F.sum("_copies").over(inside))
+        .where("_upto >= _nth and _upto - _copies < _nth")
         .select(*by, F.col("_h").alias("cut"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from engage.functions import basename, first_nonblank, is_blank, nonblank, to_int
 from engage.operators.enrich import NOT_AVAILABLE, latest_per_key
-from engage.operators.skew import join_lookup
+from engage.operators.skew import fits, join_lookup
 
 # Metadata codes read by the rules, and the columns they become.
 CODES = {
@@ -118,7 +118,9 @@ def multi_route(calls: DataFrame, lookup: DataFrame, org_ids: DataFrame) -> Data
     skills = _lobs_by_key(lookup.where("kind = 'skill'").withColumnRenamed("key", "cd10"), "cd10", "_skill")
     queues = _lobs_by_key(lookup.where("kind = 'queue'").withColumnRenamed("key", "cd69"), "cd69", "_queue")
     orgs = org_ids.select("org_id").distinct().withColumn("_org_ok", F.lit(True))
-    joined = join_lookup(join_lookup(join_lookup(calls, skills, "cd10"), queues, "cd69"), orgs, "org_id")
+    small = fits(lookup)
+    joined = join_lookup(calls, skills, "cd10", small=small)
+    joined = join_lookup(join_lookup(joined, queues, "cd69", small=small), orgs, "org_id")
 
     none = F.array().cast("array<struct<ord:int,lob:string>>")
 
@@ -182,12 +184,12 @@ def ordered_prefix(
 ) -> DataFrame:
     """Exactly one row per call: the first of ``lobs`` that the skill's LOB text starts with.
 
-    ``lookup`` has (skill_id, bsc_lob); of a repeated skill the first row by ``order`` counts.  A known finance
+    ``lookup`` has (skill_id, lob_text); of a repeated skill the first row by ``order`` counts.  A known finance
     LOB changes the reason only.
     """
     columns = calls.columns
-    first = latest_per_key(lookup, "skill_id", [F.asc(order or "bsc_lob")])
-    side = first.select(F.col("skill_id").alias("cd10"), F.col("bsc_lob").alias("_text"))
+    first = latest_per_key(lookup, "skill_id", [F.asc(order or "lob_text")])
+    side = first.select(F.col("skill_id").alias("cd10"), F.col("lob_text").alias("_text"))
     joined = join_lookup(calls, side, "cd10")
     lob = F.coalesce(*[F.when(F.startswith("_text", F.lit(name)), name) for name in lobs])
     has_skill = nonblank("cd10").isNotNull()

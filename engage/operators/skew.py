@@ -81,9 +81,17 @@ def fits(df: DataFrame, max_rows: int = 100_000) -> bool:
 
 
 def join_lookup(
-    left: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left", max_rows: int = 100_000
+    left: DataFrame,
+    lookup: DataFrame,
+    on: str | Sequence[str],
+    how: str = "left",
+    max_rows: int = 100_000,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Join to a reference table: broadcast when its counted size allows, salted shuffle join beyond."""
-    if fits(lookup, max_rows):
+    """Join to a reference table: broadcast when its counted size allows, salted shuffle join beyond.
+
+    ``small`` passes on a count already made of a frame with at least as many rows.
+    """
+    if fits(lookup, max_rows) if small is None else small:
         return left.join(F.broadcast(lookup), on, how)
     return salted_join(left, lookup, on, how)

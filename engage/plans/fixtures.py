@@ -64,7 +64,7 @@ LOOKUP_B = """
 SELECT * FROM (VALUES (1,'Provider','1060'),(1,'Provider','1061'),(1,'Provider','1062'),(2,'IFP','1063'),(2,'IFP','1064'),(3,'Core Premier','1064'),(3,'Core Premier','1065')) AS v(ord, lob, key)
 """
 LOOKUP_C = """
-SELECT * FROM (VALUES (1,'1060','Small Group West'),(2,'1061','IFP On'),(3,'1062','Broker Desk'),(4,'1063','Other'),(5,'1064','IFP Off')) AS v(ord, skill_id, bsc_lob)
+SELECT * FROM (VALUES (1,'1060','Small Group West'),(2,'1061','IFP On'),(3,'1062','Broker Desk'),(4,'1063','Other'),(5,'1064','IFP Off')) AS v(ord, skill_id, lob_text)
 """
 
 # A deterministic score with ties.

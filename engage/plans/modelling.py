@@ -109,7 +109,12 @@ def dependence(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.dependence(scored, "spent")
 
 
+def churn_features(spark: SparkSession, folder: str) -> DataFrame:
+    return features(spark, folder).withColumn("spent", F.round("spent", 2))
+
+
 QUERIES = {
+    "churn_features": churn_features,
     "train_score": train_score,
     "saved_model_score": saved_model_score,
     "feature_importance": feature_importance,
@@ -121,4 +126,16 @@ QUERIES = {
     "dependence": dependence,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "churn_features": """
+WITH per_year AS (
+  SELECT o_custkey AS member_id, year(o_orderdate) AS cycle, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent,
+         max(o_totalprice) AS biggest, CAST(max(dayofyear(o_orderdate)) AS INT) AS recency, max(o_orderpriority) AS priority
+  FROM orders GROUP BY 1, 2)
+SELECT CAST(p.member_id AS VARCHAR) || '/' || CAST(p.cycle AS VARCHAR) AS key, CAST(p.cycle AS INT) AS cycle,
+       CASE WHEN n.member_id IS NULL THEN 1 ELSE 0 END AS churn_flag, p.n_orders, p.spent, p.biggest, p.recency,
+       c_acctbal AS balance, c_mktsegment AS segment, p.priority, n_name AS nation
+FROM per_year p LEFT JOIN per_year n ON n.member_id = p.member_id AND n.cycle = p.cycle + 1
+JOIN customer ON c_custkey = p.member_id JOIN nation ON n_nationkey = c_nationkey
+WHERE p.cycle < (SELECT max(cycle) FROM per_year)""",
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from engage.functions import haversine_miles
 from engage.operators import audit, enrich, prep
@@ -154,13 +154,18 @@ def flatten_json(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flatten_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines nested as an array of structs, flattened back to rows; orders without lines keep a row."""
-    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines")
+    """Order lines holding an array of structs, flattened to rows; a line with an empty array keeps one."""
+
+    def fact(name: str, column: str) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.struct(F.col(column).alias("value")).alias("of"))
+
+    facts = F.array(fact("quantity", "l_quantity"), fact("discount", "l_discount"))
+    empty = F.slice(facts, 1, 0)
+    return enrich.flatten(
+        table(spark, folder, "lineitem").select(
+            "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", empty).otherwise(facts).alias("facts")
+        )
     )
-    orders = table(spark, folder, "orders").select("o_orderkey")
-    nested = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
-    return enrich.flatten(nested)
 
 
 def shape(spark: SparkSession, folder: str) -> DataFrame:
@@ -294,8 +299,9 @@ WHERE o_totalprice BETWEEN (SELECT quantile_disc(o_totalprice, 0.01) FROM orders
        'Not Available' AS csat, -1 AS nps
 FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderpriority) AS plan FROM orders GROUP BY 1) t ON t.o_custkey = c_custkey""",
     "flatten_json": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k, CAST(NULL AS VARCHAR) AS props_absent_x FROM events""",
-    "flatten_arrays": """SELECT o_orderkey, l_linenumber AS lines_l_linenumber, l_quantity AS lines_l_quantity
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
+    "flatten_arrays": """SELECT l_orderkey, l_linenumber, 'quantity' AS facts_name, l_quantity AS facts_of_value FROM lineitem WHERE l_returnflag <> 'R'
+UNION ALL SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem WHERE l_returnflag <> 'R'
+UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL FROM lineitem WHERE l_returnflag = 'R'""",
     "shape": "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem",
     "partition_sizes": "SELECT CAST(16 AS BIGINT) AS partitions, count(*) AS n FROM orders",
 }

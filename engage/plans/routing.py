@@ -201,8 +201,8 @@ SELECT * EXCLUDE (target), gate_reason IS NULL AND target IS NOT NULL AS selecte
             WHEN member_key IS NOT NULL AND finance_lob IS NOT NULL THEN 'Filtered for skill id and finance lob'
             ELSE 'Filtered for skill id' END AS reason,
        CASE WHEN gate_reason IS NULL THEN coalesce(target, '') ELSE '' END AS lob
-FROM (SELECT k.*, CASE WHEN c.bsc_lob LIKE 'Small Group%' THEN 'Small Group' WHEN c.bsc_lob LIKE 'IFP%' THEN 'IFP'
-                       WHEN c.bsc_lob LIKE 'Broker%' THEN 'Broker' END AS target
+FROM (SELECT k.*, CASE WHEN c.lob_text LIKE 'Small Group%' THEN 'Small Group' WHEN c.lob_text LIKE 'IFP%' THEN 'IFP'
+                       WHEN c.lob_text LIKE 'Broker%' THEN 'Broker' END AS target
       FROM known k LEFT JOIN lookup_c c ON c.skill_id = k.cd10) t
 """
 ALL_FEEDS = """

@@ -36,7 +36,7 @@ def skill_lookup(sheets: Mapping[str, DataFrame], column: str = "Skill", prefix:
     return out
 
 
-def queue_lookup(sheet: DataFrame, ord: int, lob: str = "MediCal", column: str = "Verint_Queue_Name") -> DataFrame:
+def queue_lookup(sheet: DataFrame, ord: int, lob: str = "MediCal", column: str = "Queue_Name") -> DataFrame:
     return sheet.where(F.col(column).isNotNull()).select(
         F.lit(ord).alias("ord"), F.lit(lob).alias("lob"), F.lit("queue").alias("kind"), F.col(column).alias("key")
     )
@@ -56,11 +56,11 @@ def hunt_group_lookup(sheets: Mapping[str, DataFrame], column: str = "HuntGroup"
     return out
 
 
-def skill_text_lookup(sheet: DataFrame, skill: str = "Skill_ID", text: str = "BSC_LOB") -> DataFrame:
-    """Skill to line-of-business text in sheet order: rows (ord, skill_id, bsc_lob).
+def skill_text_lookup(sheet: DataFrame, skill: str = "Skill_ID", text: str = "LOB") -> DataFrame:
+    """Skill to line-of-business text in sheet order: rows (ord, skill_id, lob_text).
 
     A sheet is one small csv file, read as one partition, so its rows number themselves in file order.
     """
     return sheet.select(
-        F.monotonically_increasing_id().alias("ord"), clean_key(skill).alias("skill_id"), F.col(text).alias("bsc_lob")
+        F.monotonically_increasing_id().alias("ord"), clean_key(skill).alias("skill_id"), F.col(text).alias("lob_text")
     )

@@ -171,6 +171,21 @@ def test_salted_join_spreads_a_hot_key_and_changes_nothing(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", big)
 
 
+def test_salted_join_balances_a_third_of_the_rows(spark):
+    left = spark.range(0, 90000, 1, 6).selectExpr("id", "case when id % 3 = 0 then 7 else id end k")
+    right = spark.range(90000).selectExpr("id k", "id * 2 v")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        share = lambda df: max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) / 90000
+        assert share(left.join(right, "k", "left")) > 0.33
+        assert share(skew.salted_join(left, right, "k", "left")) < 0.25
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
 def test_join_lookup_beyond_the_bound(spark):
     left = spark.createDataFrame([(1,), (2,), (9,)], "k int")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
@@ -208,12 +223,12 @@ def test_unprocessed_and_lagged(spark):
 def test_lookups(spark, tmp_path):
     (tmp_path / "s.csv").write_text("Skill\n 12 \n13.0\n")
     (tmp_path / "o.csv").write_text("NAME,ID\nMember Medicare,1\nElse,2\n")
-    (tmp_path / "t.csv").write_text("Skill_ID,BSC_LOB\n5,IFP\n5,Broker\n")
+    (tmp_path / "t.csv").write_text("Skill_ID,LOB\n5,IFP\n5,Broker\n")
     skills = lookups.skill_lookup({"MA": lookups.read_sheet(spark, str(tmp_path / "s.csv"))})
     assert as_set(skills) == {(1, "MA", "skill", "10612"), (1, "MA", "skill", "10613")}
     assert as_set(lookups.org_ids(lookups.read_sheet(spark, str(tmp_path / "o.csv")))) == {("805001",)}
     text = lookups.skill_text_lookup(lookups.read_sheet(spark, str(tmp_path / "t.csv"))).orderBy("ord")
-    assert [r["bsc_lob"] for r in text.collect()] == ["IFP", "Broker"]
+    assert [r["lob_text"] for r in text.collect()] == ["IFP", "Broker"]
     groups = lookups.hunt_group_lookup({"IFP": spark.createDataFrame([(4,)], "HuntGroup int")})
     assert as_set(groups) == {("IFP", "4")}
 
