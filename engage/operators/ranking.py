@@ -9,8 +9,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -126,7 +124,9 @@ def quantile_values(
                 brackets.append((i, prob, float("-inf"), float("inf")))
     if not brackets:
         return out
-    below = numbers.agg(*[F.count_if(F.col(f"_v{i}") < low).alias(f"b{k}") for k, (i, _, low, _) in enumerate(brackets)]).first()
+    below = numbers.agg(
+        *[F.expr(f"count_if(_v{i} < double('{low!r}'))").alias(f"b{k}") for k, (i, _, low, _) in enumerate(brackets)]
+    ).first()
 
     wanted = []  # bracket number, rank inside the bracket
     positions = []
@@ -137,24 +137,22 @@ def quantile_values(
         last = first if kind == "disc" else math.ceil(position)
         positions.append((first, last, float(position - first)))
         wanted += [(k, rank - below[f"b{k}"]) for rank in {first, last}]
-    spans = [(F.col("i") == str(i)) & (F.col("value") >= low) & (F.col("value") <= high) for i, _, low, high in brackets]
+    spans = [f"i = '{i}' and value between double('{low!r}') and double('{high!r}')" for i, _, low, high in brackets]
+    within = ", ".join(f"if({span}, {k}, null)" for k, span in enumerate(spans))
     counted = (
         numbers.toDF(*[str(i) for i in range(len(cols))])
         .unpivot([], [str(i) for i in range(len(cols))], "i", "value")
-        .where(reduce(or_, spans))
+        .where(" or ".join(f"({span})" for span in spans))
         .groupBy("i", "value")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("k", F.explode(F.array_compact(F.array(*[F.when(span, k) for k, span in enumerate(spans)]))))
+        .withColumn("k", F.expr(f"explode(array_compact(array({within})))"))
         .select("k", "value", "copies")
     )
     if max(sketch[f"n{i}"] for i in range(len(cols))) * 2 * slack > ROWS_PER_BUCKET:
         ranked = running_totals(materialise(counted, "brackets"), "value", {"copies": "upto"}, ["k"])
     else:
         ranked = running_totals(counted, "value", {"copies": "upto"}, ["k"], bits=0)
-    here = reduce(
-        or_,
-        [(F.col("k") == k) & (F.col("upto") >= rank) & (F.col("upto") - F.col("copies") < rank) for k, rank in wanted],
-    )
+    here = " or ".join(f"(k = {k} and upto >= {rank} and upto - copies < {rank})" for k, rank in wanted)
     found: dict[int, list[float]] = {}
     for row in ranked.where(here).select("k", "value").collect():  # at most two rows per bracket
         found.setdefault(row["k"], []).append(row["value"])
