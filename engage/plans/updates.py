@@ -6,7 +6,6 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import audit, merge, rag, score
@@ -66,7 +65,7 @@ def stream_new(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sync_index(spark: SparkSession, folder: str) -> DataFrame:
-    """Index the chunks of user-file order, then a second file that repeats some of them and adds others."""
+    """Index the chunks of two languages, then a second wave that repeats one of them and adds the others."""
     chunks = rag.chunk(table(spark, folder, "documents"))
     embedder = rag.fit_embedder(chunks, "chunked_text", 64)
     source, index, ledger = (shared_dir(spark, n) for n in ("chunks", "index", "ledger"))
@@ -102,7 +101,7 @@ def _write_zips(entries: DataFrame, folder: str) -> None:
     """Zip rows (archive, entry, body) from the tasks, one file per archive name and partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, inside = fs.FileSystem.from_uri(folder)
+        store, inside = archives.locate(folder)
         store.create_dir(inside, recursive=True)
         written = 0
         for number, batch in enumerate(batches):

@@ -32,12 +32,17 @@ class _Seekable:
         return getattr(self.handle, name)
 
 
+def locate(path: str) -> tuple[fs.FileSystem, str]:
+    """The store and the path inside it; Spark writes local paths as ``file:/...``."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
+
+
 @contextmanager
 def _open(path: str) -> Iterator[zipfile.ZipFile]:
     """A zip on any store pyarrow reads, opened at random access."""
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = path.removeprefix("file:")
-    store, inside = fs.FileSystem.from_uri(path)
+    store, inside = locate(path)
     with store.open_input_file(inside) as handle, zipfile.ZipFile(_Seekable(handle)) as archive:
         yield archive
 
