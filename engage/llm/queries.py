@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from engage.llm import exact_dedup, mixing
+from engage.llm import exact_dedup, langid, mixing, packing
 from engage.llm.common import read
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(read(spark, folder, "documents"), packing.default_tokenizer())
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(read(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
 }
 ORACLE = {
