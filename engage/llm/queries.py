@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from engage.llm import exact_dedup, langid, mixing, packing
+from engage.llm import exact_dedup, langid, mixing, near_dedup, packing
 from engage.llm.common import read
 
 
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_dedup(read(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read(spark, folder, "documents"), packing.default_tokenizer())
 
@@ -25,6 +29,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
