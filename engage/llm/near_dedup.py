@@ -74,13 +74,13 @@ def kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     order = np.argsort(value, kind="stable")
     ranked = value[order]
     fresh = np.r_[True, ranked[1:] != ranked[:-1]]
-    if not fresh.all():
-        at = np.arange(len(value))
-        occurrence = at - np.maximum.accumulate(np.where(fresh, at, 0))
-        number = np.empty(len(value), np.uint64)
-        number[order] = occurrence
-        value = mixed(value + number * np.uint64(0xD6E8FEB86659FD93))
-    return value
+    if fresh.all():
+        return value
+    at = np.arange(len(value))
+    number = np.empty(len(value), np.uint64)
+    number[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    # a first occurrence keeps its hash, so that texts with and without repeats agree
+    return np.where(number == 0, value, mixed(value + number * np.uint64(0xD6E8FEB86659FD93)))
 
 
 def seeds(entries: int) -> tuple[np.ndarray, np.ndarray]:
