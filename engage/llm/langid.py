@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from engage.llm.common import FOLDS, HELD_OUT, column_bytes, fold_of, held_out
 
@@ -178,36 +178,48 @@ def fit(docs: DataFrame, bits: int = BITS, per_lang: int = FIT_PER_LANG, max_lan
     return calibrate(train(parts[False], bits), parts[True])
 
 
-def scored(batches, model: Model, bits: int = BITS):
-    """(doc_id, lang_pred, score) of every row, from whole texts."""
+def predicted(text, letters: np.ndarray, model: Model, bits: int = BITS) -> tuple[list[str], np.ndarray]:
+    """(language, score) of the texts of an Arrow column, whole."""
     names = model.langs
+    data, at = column_bytes(text)
+    n = len(at) - 1
+    if not names:
+        return ["und"] * n, np.zeros(n)
+    sums, counts = np.zeros((n, len(names)), np.float64), np.zeros(n, np.float64)
+    for first, last, block, starts, limit in blocks(data, at):
+        where, buckets = grams(block, bits)
+        if limit < len(block):
+            where, buckets = where[where < limit], buckets[where < limit]
+        owner = np.searchsorted(starts, where, side="right") - 1
+        size = last - first
+        counts[first:last] += np.bincount(owner, minlength=size)
+        for k in range(len(names)):
+            sums[first:last, k] += np.bincount(owner, model.table[:, k][buckets], minlength=size)
+    p = model.probabilities(sums, counts)
+    best = p.argmax(axis=1)
+    return [names[b] if k else "und" for b, k in zip(best, letters)], np.where(letters, p.max(axis=1), 0.0)
+
+
+def scored(batches, model: Model, bits: int = BITS):
+    """(doc_id, lang_pred, score) of every row."""
     for batch in batches:
-        data, at = column_bytes(batch.column("text"))
-        n = len(at) - 1
-        sums, counts = np.zeros((n, len(names)), np.float64), np.zeros(n, np.float64)
-        for first, last, block, starts, limit in blocks(data, at):
-            where, buckets = grams(block, bits)
-            if limit < len(block):
-                where, buckets = where[where < limit], buckets[where < limit]
-            owner = np.searchsorted(starts, where, side="right") - 1
-            size = last - first
-            counts[first:last] += np.bincount(owner, minlength=size)
-            for k in range(len(names)):
-                sums[first:last, k] += np.bincount(owner, model.table[:, k][buckets], minlength=size)
         letters = np.array(batch.column("letters").to_pylist(), bool)
-        known = letters & (len(names) > 0)
-        p = model.probabilities(sums, counts) if names else np.zeros((n, 1))
-        best = p.argmax(axis=1)
+        langs, score = predicted(batch.column("text"), letters, model, bits)
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array([names[b] if k else "und" for b, k in zip(best, known)], pa.string()),
-                pa.array(np.where(known, p.max(axis=1, initial=0), 0.0), pa.float64()),
-            ],
+            [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(score, pa.float64())],
             names=["doc_id", "lang_pred", "score"],
         )
 
 
+def filtered(batches, model: Model, bits: int, reject: float):
+    """The rows, as they are, that are not rejected; column ``text`` is the second last, ``letters`` the last."""
+    for batch in batches:
+        n = batch.num_columns
+        letters = np.array(batch.column(n - 1).to_pylist(), bool)
+        _, score = predicted(batch.column(n - 2), letters, model, bits)
+        yield batch.select(list(range(n - 2))).filter(pa.array(score >= reject))
+
+
 def blocks(data: np.ndarray, at: np.ndarray):
     """Runs of texts of about BLOCK bytes, each text set between spaces: (first, last, bytes, starts, limit).
 
@@ -251,3 +263,13 @@ def identify(docs: DataFrame, model: Model | None = None, bits: int = BITS, reje
         "score",
         (F.col("score") < reject).alias("rejected"),
     )
+
+
+def accepted(docs: DataFrame, model: Model | None = None, bits: int = BITS, reject: float = REJECT) -> DataFrame:
+    """The documents that are not rejected, with their own columns."""
+    model = fit(docs, bits) if model is None else model
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text"), letters)
+    rows = rows.toDF(*[f"c{i}" for i in range(len(docs.columns) + 2)])
+    kept = T.StructType([T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(docs.schema.fields)])
+    return rows.mapInArrow(lambda b: filtered(b, model, bits, reject), kept).toDF(*docs.columns)

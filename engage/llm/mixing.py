@@ -50,6 +50,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, slopes=SLOPES, max_passes: int =
     filled = filled.withColumn("stopped", stopped).withColumn("rank", rank)
     first = F.min(F.when(~F.col("stopped"), F.struct("rank", "level"))).over(whole)["level"]
     return filled.withColumn("shared", first).select(
+        "key",
         "source",
         "source_size",
         "slope",
@@ -69,22 +70,24 @@ def placed(docs: DataFrame, digits: int = BUCKET_DIGITS, **settings) -> DataFram
     base = docs.select(
         row.alias("row"),
         F.col("source").cast("string").alias("source"),
+        # null is a source of its own; a key without nulls lets the join use the window's partitioning
+        F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string"))).alias("key"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")).alias("place"),
     ).withColumn("bucket", F.substring("place", 1, digits))
-    by_bucket = base.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    chosen = targets(by_bucket.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), **settings)
-    earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    by_bucket = base.groupBy("key", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    chosen = targets(by_bucket.groupBy("key", "source").agg(F.sum("bucket_size").alias("source_size")), **settings)
+    earlier = W.partitionBy("key").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         by_bucket.withColumn("offset", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
-        .withColumnRenamed("source", "s")
-        .join(chosen, F.col("s").eqNullSafe(F.col("source")))
-        .select("s", F.col("bucket").alias("b"), "offset", "source_size", "target", "slope")
+        .drop("source")
+        .join(chosen.drop("source"), "key")
+        .select("key", "bucket", "offset", "source_size", "target", "slope")
     )
-    within = W.partitionBy("source", "bucket").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1)
+    within = W.partitionBy("key", "bucket").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1)
     at = base.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     start = F.col("offset") + F.col("inside")
-    at = at.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    at = at.drop("source").join(offsets, ["key", "bucket"])
     passes = settings.get("max_passes", MAX_PASSES)
     wanted = F.round("target").cast("long")
     whole = F.array(*[F.lit(e) for e in range(passes)])

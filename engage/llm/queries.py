@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from engage.llm import exact_dedup, langid, mixing, near_dedup, packing
 from engage.llm.common import read
 
@@ -29,6 +30,7 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
     "op5_exact_dedup": op5_exact_dedup,
