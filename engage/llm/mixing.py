@@ -64,9 +64,9 @@ def when_needed(share: Column, slope: Column) -> Column:
     return 2 * share / (linear + F.sqrt(linear * linear + 4 * slope * share))
 
 
-def placed(docs: DataFrame, digits: int = BUCKET_DIGITS, **settings) -> DataFrame:
-    """Every row of ``docs`` as struct ``row`` with size, source_size, target, taken and where its passes begin."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+def placed(docs: DataFrame, carried: list[str], digits: int = BUCKET_DIGITS, **settings) -> DataFrame:
+    """Every row's ``carried`` columns as struct ``row`` with size, source_size, target, taken and its passes."""
+    row = F.struct(*[F.col(f"`{c}`") for c in carried])
     base = docs.select(
         row.alias("row"),
         F.col("source").cast("string").alias("source"),
@@ -121,7 +121,7 @@ def placed(docs: DataFrame, digits: int = BUCKET_DIGITS, **settings) -> DataFram
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken and its first position, range-sorted by position."""
     return (
-        placed(docs.select("doc_id", "text", "source"), **settings)
+        placed(docs, ["doc_id"], **settings)
         .select(
             F.col("row.doc_id").alias("doc_id"),
             "size",
@@ -141,7 +141,7 @@ def curriculum(docs: DataFrame, **settings) -> DataFrame:
 
     A source's last pass may end inside a document; that row's text is cut after the words the mix takes.
     """
-    rows = placed(docs, **settings).select("row", "place", "size", F.explode("passes").alias("p"))
+    rows = placed(docs, docs.columns, **settings).select("row", "place", "size", F.explode("passes").alias("p"))
     pieces = F.regexp_extract_all(F.col("row.text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col("p.words").cast("int")), "")
     text = F.when(F.col("p.words") < F.col("size"), cut).otherwise(F.col("row.text"))
