@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from engage.llm import exact_dedup, langid, mixing, near_dedup, packing
+from engage.llm import embed_dedup, exact_dedup, langid, mixing, near_dedup, packing, quality
 from engage.llm.common import read
 
 
@@ -13,10 +13,18 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_dedup(read(spark, folder, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dedup.embed_dedup(read(spark, folder, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read(spark, folder, "documents"), packing.default_tokenizer())
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, folder, "documents"))
 
@@ -32,7 +40,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
