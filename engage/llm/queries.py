@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from engage.llm import embed_dedup, exact_dedup, langid, mixing, near_dedup, packing, quality
+from engage.llm import embed_dedup, exact_dedup, langid, licenses, mixing, near_dedup, packing, quality
 from engage.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, folder, "documents"))
 
 
+def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licence_scan(read(spark, folder, "documents"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(read(spark, folder, "documents"))
 
@@ -44,10 +48,12 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_licenses": op6_licenses,
     "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
 }
 ORACLE = {
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op6_licenses": licenses.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
