@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from engage.llm import embed_dedup, exact_dedup, langid, licenses, mixing, near_dedup, packing, quality
+from engage.llm import (
+    automaton_dedup,
+    embed_dedup,
+    exact_dedup,
+    langid,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+)
 from engage.llm.common import read
 
 
@@ -41,6 +52,14 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.suffix_dedup(read(spark, folder, "documents")))
+
+
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return automaton_dedup.digest(automaton_dedup.automaton_dedup(read(spark, folder, "documents")))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -51,6 +70,8 @@ QUERIES = {
     "op6_licenses": op6_licenses,
     "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE = {
     "op5_exact_dedup": exact_dedup.ORACLE,
