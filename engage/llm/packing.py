@@ -12,9 +12,13 @@ give the same sequences on every run; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
+import gc
 import math
 import os
+import re
+import sys
+import types
+import unicodedata
 import zlib
 
 import numpy as np
@@ -31,45 +35,80 @@ LINEAR = 1.0
 QUADRATIC = 1.0 / 2048
 SHARD_BYTES = 8 << 20
 CACHED_WORDS = 400_000
+CACHED_PARTS = 600_000
+TEXTS_AT_ONCE = 64
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 
 
-class Words(dict):
-    """Token ids by white-space word, as bytes of one integer type.
+class Words:
+    """Token ids by word, as bytes of one integer type.
 
-    The vocabulary's pre-tokenizer never joins text across white space, so a text's ids are its words' ids in turn.
+    The vocabulary's pre-tokenizer never joins text across white space, and its normalizer lower-cases, so a text's
+    ids are those of its words, ASCII letters lower-cased, in turn.  ASCII words are cut further by the pre-tokenizer's own
+    pattern, others before closing punctuation; what is left is encoded once and remembered.
     """
 
+    # Fixed value: the pre-tokenizer's pattern, for lower-case ASCII without white space.
+    ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    CLOSING = re.compile(rb"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+\Z")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.markers = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = ids = self.encode(word)
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        # U+001C to U+001F split words in Python but not in the tokenizer; markers may span words
-        if any(c in text for c in "\x1c\x1d\x1e\x1f") or any(m in text for m in self.markers):
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def cut(self, word: bytes) -> list[bytes]:
+        if word.isascii():
+            return self.ASCII.findall(word)
+        end = self.CLOSING.search(word)
+        if end and end.start():
+            last = unicodedata.normalize("NFC", word[: end.start()].decode()[-1]).lower()[-1]
+            if last.isalpha():
+                return [word[: end.start()], *self.ASCII.findall(end[0])]
+        return [word]
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        if len(self.parts) > CACHED_PARTS:
+            self.parts.clear()
+        cuts = {w: self.cut(w) for w in words if w not in self.words}
+        new = list({p for parts in cuts.values() for p in parts if p not in self.parts})
+        for part, found in zip(
+            new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True
+        ):
+            self.parts[part] = np.array(found.ids, self.kind).tobytes()
+        for word, parts in cuts.items():
+            self.words[word] = b"".join([self.parts[p] for p in parts])
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of a few texts."""
+        split = [t.encode().lower().split() for t in texts]
+        self.learn(set().union(*split))
+        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        for i, text in enumerate(texts):
+            # markers may span words, and are tokens of their own
+            if any(m in text for m in self.markers):
+                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return out
 
 
 def tokenised(batches, path: str):
-    words = Words(path)
+    # this function travels by value, so what a worker keeps between tasks has a name of its own
+    held = sys.modules.setdefault("_engage_words", types.ModuleType("_engage_words"))
+    words = vars(held).setdefault(path, None) or Words(path)
+    setattr(held, path, words)
+    gc.disable()  # the caches hold no cycles, and walking them costs more than the work
     for batch in batches:
-        ids = [words.ids(t) for t in batch.column("text").to_pylist()]
+        texts_, ids = batch.column("text").to_pylist(), []
+        for start in range(0, len(texts_), TEXTS_AT_ONCE):
+            ids += words.ids(texts_[start : start + TEXTS_AT_ONCE])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("shard"), pa.array(ids, pa.binary())], names=["doc_id", "shard", "ids"]
         )
@@ -81,12 +120,12 @@ def cost_of(n: int) -> float:
 
 def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) for documents of the given lengths, by their number here."""
-    total = sum(lengths)
-    n_sequences = -(-total // capacity)
-    pieces, room, cost, rest = [], [capacity] * n_sequences, [0.0] * n_sequences, []
+    n_sequences = -(-sum(lengths) // capacity)
+    pieces, rest, left = [], [], []
+    room, cost = np.full(n_sequences, capacity), np.zeros(n_sequences)
 
     def put(doc: int, start: int, n: int, sequence: int) -> None:
-        pieces.append((doc, start, n, sequence, capacity - room[sequence]))
+        pieces.append((doc, start, n, sequence, int(capacity - room[sequence])))
         room[sequence] -= n
         cost[sequence] += cost_of(n)
 
@@ -98,29 +137,21 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
         if n % capacity:
             rest.append((n % capacity, doc, n - n % capacity))
     rest.sort(key=lambda x: (-x[0], x[1]))
-    open_ = [(0.0, s) for s in range(full, n_sequences)]
-    left = []
     for n, doc, start in rest:
-        passed = []
-        while open_ and room[open_[0][1]] < n:
-            passed.append(heapq.heappop(open_))
-        if open_:
-            _, s = heapq.heappop(open_)
-            put(doc, start, n, s)
-            if room[s]:
-                heapq.heappush(open_, (cost[s], s))
-        else:
+        open_ = np.where(room >= n, cost, np.inf)
+        s = int(open_.argmin()) if n_sequences else 0
+        if np.isinf(open_[s]):
             left.append((n, doc, start))
-        for x in passed:
-            heapq.heappush(open_, x)
-    gaps = sorted(((room[s], s) for _, s in open_), reverse=True)
+        else:
+            put(doc, start, n, s)
+    gaps = np.argsort(-room, kind="stable").tolist()
     at = 0
     for n, doc, start in left:
         while n:
-            while room[gaps[at][1]] == 0:
+            while room[gaps[at]] == 0:
                 at += 1
-            s = gaps[at][1]
-            part = min(n, room[s])
+            s = gaps[at]
+            part = min(n, int(room[s]))
             put(doc, start, part, s)
             start, n = start + part, n - part
     return pieces
@@ -129,15 +160,16 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
 def pack_shard(shard: pd.DataFrame, capacity: int, end: int, kind: str) -> pd.DataFrame:
     shard = shard.sort_values(["doc_id", "ids"], kind="stable", na_position="last").reset_index(drop=True)
     size = np.dtype(kind).itemsize
-    lengths = [len(x) // size + 1 for x in shard["ids"]]
+    texts_ids, keys = shard["ids"].tolist(), shard["doc_id"].astype("Int64").tolist()
+    lengths = [len(x) // size + 1 for x in texts_ids]
     rows = []
     base = int(shard["shard"].iloc[0]) << 32
     for doc, start, n, sequence, offset in pack(lengths, capacity):
-        ids = np.frombuffer(shard["ids"].iloc[doc], kind, min(n, lengths[doc] - 1 - start), start * size).astype("<u4")
+        ids = np.frombuffer(texts_ids[doc], kind, min(n, lengths[doc] - 1 - start), start * size).astype("<u4")
         if start + n == lengths[doc]:
             ids = np.append(ids, np.uint32(end))
-        key = shard["doc_id"].iloc[doc]
-        rows.append((key, start, n, zlib.crc32(ids.astype("<u4").tobytes()), lengths[doc], base + sequence, offset, cost_of(n)))
+        checksum = zlib.crc32(ids.astype("<u4").tobytes())
+        rows.append((keys[doc], start, n, checksum, lengths[doc], base + sequence, offset, cost_of(n)))
     names = [c.split()[0] for c in SCHEMA.split(", ")]
     return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
