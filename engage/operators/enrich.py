@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from engage.operators.skew import join_lookup, salted_join
+from engage.operators.skew import join_lookup, keyed_join
 
 # Fixed value: shown where no line of business is known.
 NOT_AVAILABLE = "Not Available"
@@ -30,7 +30,7 @@ def prefix_semi_join(
     both only set a flag, and repeated member rows stay.
     """
     wanted = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    flagged = keyed = members.withColumns(
+    flagged = members.withColumns(
         {
             "_p9": F.left(subscriber, F.lit(9)),
             "_p11": F.left(F.concat(subscriber, suffix), F.lit(11)),
@@ -38,7 +38,7 @@ def prefix_semi_join(
     )
     for prefix in ("_p9", "_p11"):
         hits = wanted.select(F.col(key).alias(prefix), F.lit(True).alias(f"{prefix}_hit"))
-        flagged = salted_join(flagged, hits, prefix, "left", probe=keyed)
+        flagged = keyed_join(flagged, hits, prefix)
     return flagged.where("_p9_hit or _p11_hit").select(*members.columns)
 
 
@@ -84,12 +84,12 @@ def with_finance_lob(
         raise ValueError("match is exact or prefix")
     # one row per key, so that calls never fan out
     by_id = lobs.groupBy(F.col("member_id").alias(key)).agg(F.min("finance_lob").alias("finance_lob"))
-    out = salted_join(calls, by_id, key, "left")
+    out = keyed_join(calls, by_id, key)
     if match == "prefix":
         by_prefix = lobs.groupBy(F.left("member_id", F.lit(9)).alias(key)).agg(
             F.min("finance_lob").alias("_prefix_lob")
         )
-        out = salted_join(out, by_prefix, key, "left", probe=calls)
+        out = keyed_join(out, by_prefix, key)
         out = out.withColumn("finance_lob", F.coalesce("finance_lob", "_prefix_lob")).drop("_prefix_lob")
     return out.select(
         *calls.columns, "finance_lob", F.col("finance_lob").isNotNull().alias("finance_known")

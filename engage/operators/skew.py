@@ -6,32 +6,53 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Detection settings: the sketch keeps a fixed number of counters, so its state never grows with the data.
+# Detection settings: a sketch keeps a fixed number of counters, and sketches are merged as a tree of FAN_IN groups,
+# so no task's state or input grows with the number of scan tasks alone.
 HOT_SHARE = 0.002
 HOT_TRACKED = 8192
 HOT_KEYS = 512
+FAN_IN = 64
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Column:
-    """Scalar subquery: hashes of the keys that hold more than ``share`` of the rows.
+def common_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their keys in one type, so that equal values hash alike; text and other types have none."""
+    casts = {}
+    for key in keys:
+        kinds = [side.schema[key].dataType for side in (left, right)]
+        if kinds[0] == kinds[1]:
+            continue
+        if any(isinstance(k, T.StringType) for k in kinds):
+            raise TypeError(f"join key {key} is {kinds[0].simpleString()} on one side and {kinds[1].simpleString()} on the other")
+        wide = left.select(key).union(right.select(key)).schema[0].dataType
+        casts[key] = F.col(key).cast(wide)
+    return (left.withColumns(casts), right.withColumns(casts)) if casts else (left, right)
 
-    One pass over the key columns into a bounded frequent-items sketch.  A key missed or added here changes
-    only how rows are spread, never a result.
+
+def hot_key_salts(df: DataFrame, keys: Sequence[str], tasks: int, share: float = HOT_SHARE) -> Column:
+    """Scalar subquery: hash -> salts of the keys that hold more than ``share`` of the rows.
+
+    One pass over the key columns into bounded frequent-items sketches.  A key gets so many salts that one of them
+    holds about half of what an even task does.  A key missed or added here changes only how rows are spread.
     """
+    sketches = (
+        df.select(F.xxhash64(*keys).alias("_h"), F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("_g"))
+        .groupBy("_g")
+        .agg(F.expr(f"approx_top_k_accumulate(_h, {HOT_TRACKED})").alias("s"), F.count(F.lit(1)).alias("n"))
+    )
     found = (
-        df.select(F.xxhash64(*keys).alias("_h"))
-        .agg(
-            F.expr(f"approx_top_k(_h, {HOT_KEYS}, {HOT_TRACKED})").alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        )
+        # grouped by a constant: an empty partition has no state to combine
+        sketches.groupBy(F.lit(0).alias("_all"))
+        .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {HOT_TRACKED}), {HOT_KEYS})").alias("top"), F.sum("n").alias("n"))
         .select(
-            F.transform(
-                F.filter("top", lambda t: t["count"] > F.col("n") * share),
-                lambda t: t["item"],
+            F.map_from_entries(
+                F.transform(
+                    F.filter("top", lambda t: t["count"] > F.col("n") * share),
+                    lambda t: F.struct(t["item"], F.ceil(t["count"] / F.col("n") * (2 * tasks) + 1).cast("int")),
+                )
             ).alias("hot")
         )
     )
-    return F.coalesce(found.scalar(), F.array().cast("array<bigint>"))
+    return F.coalesce(found.scalar(), F.create_map().cast("map<bigint,int>"))
 
 
 def _spread(df: DataFrame) -> Column:
@@ -45,38 +66,36 @@ def salted_join(
     right: DataFrame,
     on: str | Sequence[str],
     how: str = "left",
-    salts: int = 32,
+    tasks: int | None = None,
     share: float = HOT_SHARE,
-    probe: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi join whose hot left keys are spread over ``salts`` tasks.
+    """Equi join whose hot left keys are spread over salts in proportion to their share of the rows.
 
-    Only the right rows of hot keys are repeated, so the extra traffic is bounded by
-    ``salts * (right rows of at most 1/share keys)``.  NULL keys count as a key like any other.  ``probe`` is a
-    frame cheaper to read than ``left`` with about the same keys, in which hot ones are looked for.
+    Only the right rows of hot keys are repeated, for at most 1/share keys and ``2 * tasks`` salts in all.  ``tasks``
+    defaults to the shuffle partitions.  NULL keys count as a key like any other; key types are made equal first.
+    It reads the left keys once more; where the run time can split skewed partitions itself, ``keyed_join`` does not.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     keys = [on] if isinstance(on, str) else list(on)
-    hot = hot_key_hashes(left if probe is None else probe, keys, share)
-    key_hash = F.xxhash64(*keys)
-    spread_left = left.withColumn(
-        "_salt",
-        F.when(F.array_contains(hot, key_hash), F.pmod(_spread(left), F.lit(salts)).cast("int")).otherwise(0),
-    )
-    spread_right = right.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.array_contains(hot, key_hash), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    )
+    left, right = common_keys(left, right, keys)
+    tasks = tasks or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = F.coalesce(F.try_element_at(hot_key_salts(left, keys, tasks, share), F.xxhash64(*keys)), F.lit(1))
+    spread_left = left.withColumn("_salt", F.pmod(_spread(left), salts).cast("int"))
+    spread_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return spread_left.join(spread_right, [*keys, "_salt"], how).drop("_salt")
 
 
+def keyed_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Equi join to one row per key in one pass; adaptive execution splits the left side's large partitions."""
+    keys = [on] if isinstance(on, str) else list(on)
+    left, right = common_keys(left, right, keys)
+    return left.join(right, keys, how)
+
+
 def fits(df: DataFrame, max_rows: int = 100_000) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that plus one."""
+    """Whether ``df`` has at most ``max_rows`` rows.  A table is read no further than that; a grouped or joined
+    frame is computed for it, so only tables should be asked."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -88,10 +107,12 @@ def join_lookup(
     max_rows: int = 100_000,
     small: bool | None = None,
 ) -> DataFrame:
-    """Join to a reference table: broadcast when its counted size allows, salted shuffle join beyond.
+    """Join to a reference table: broadcast when its counted size allows, else as the planner and run time choose.
 
     ``small`` passes on a count already made of a frame with at least as many rows.
     """
+    keys = [on] if isinstance(on, str) else list(on)
+    left, lookup = common_keys(left, lookup, keys)
     if fits(lookup, max_rows) if small is None else small:
-        return left.join(F.broadcast(lookup), on, how)
-    return salted_join(left, lookup, on, how)
+        return left.join(F.broadcast(lookup), keys, how)
+    return keyed_join(left, lookup, keys, how)

@@ -160,8 +160,9 @@ def test_salted_join_spreads_a_hot_key_and_changes_nothing(spark):
         ours = skew.salted_join(left, right, "k", how)
         plain = left.join(right, "k", how)
         assert sorted(map(repr, ours.collect())) == sorted(map(repr, plain.select(*ours.columns).collect()))
-    hot = spark.range(1).select(skew.hot_key_hashes(left, ["k"]).alias("h")).first()["h"]
+    hot = spark.range(1).select(skew.hot_key_salts(left, ["k"], 8).alias("h")).first()["h"]
     assert len(hot) == 2  # the key 7 and NULL
+    assert max(hot.values()) > min(hot.values()) > 1
     big = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -186,6 +187,26 @@ def test_salted_join_balances_a_third_of_the_rows(spark):
             spark.conf.set(name, value)
 
 
+@pytest.mark.parametrize(
+    "left_type, right_type",
+    [("int", "bigint"), ("bigint", "smallint"), ("decimal(10,0)", "decimal(20,0)"), ("int", "decimal(12,0)"), ("date", "timestamp")],
+)
+def test_joins_agree_on_differing_key_types(spark, left_type, right_type):
+    number = lambda t: f"cast(date_add(date'2000-01-01', cast(k as int)) as {t})" if "dat" in left_type else f"cast(k as {t})"
+    left = spark.range(2000).selectExpr("id", "case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 900 end k")
+    left = left.selectExpr("id", f"{number(left_type)} k")
+    right = spark.range(900).selectExpr("id k", "id * 10 v").selectExpr(f"{number(right_type)} k", "v")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        want = sorted(map(str, left.join(right, "k", how).select("id").collect()))
+        for join in (skew.salted_join, skew.keyed_join, lambda *a: skew.join_lookup(*a, small=True), lambda *a: skew.join_lookup(*a, small=False)):
+            assert sorted(map(str, join(left, right, "k", how).select("id").collect())) == want
+
+
+def test_joins_refuse_keys_without_a_common_type(spark):
+    with pytest.raises(TypeError):
+        skew.keyed_join(spark.range(3).selectExpr("id k"), spark.createDataFrame([("1",)], "k string"), "k")
+
+
 def test_join_lookup_beyond_the_bound(spark):
     left = spark.createDataFrame([(1,), (2,), (9,)], "k int")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
