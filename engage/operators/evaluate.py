@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from engage.operators.ranking import ACCURACY, one_row, quantile_values, running_totals
+from engage.operators.ranking import ACCURACY, null_safe, one_row, quantile_values, running_totals
 from engage.session import materialise
 
 
@@ -32,7 +32,7 @@ def _with_sizes(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Attach each group's positives and negatives."""
     sizes = points.groupBy(*by).agg(F.sum("pos").alias("p_total"), F.sum("neg").alias("n_total"))
     if by:
-        return points.join(sizes, list(by))
+        return null_safe(points, sizes, list(by))
     found = one_row(sizes)
     return points.withColumns({"p_total": found["p_total"], "n_total": found["n_total"]})
 
@@ -158,19 +158,27 @@ def report(df: DataFrame, threshold: float = 0.5, label: str = "y", score: str =
 
 
 def deciles(df: DataFrame, score: str = "p", bins: int = 10, name: str = "decile", accuracy: int = ACCURACY) -> DataFrame:
-    """Bin rows by quantile edges of the score, right-closed, from 0; repeated edges merge their bins."""
+    """Bin rows by quantile edges of the score, right-closed, from 0; repeated edges merge their bins.
+
+    Edges and scores are compared as they are, so a score equal to an edge lies below it.  A NULL or NaN score has no bin.
+    """
     found = quantile_values(df, [score], [i / bins for i in range(bins)], "linear", accuracy)[score]
     # the minimum, and an edge equal to it, makes no bin of its own
-    lowest, *edges = [round(e, 9) for e in found.values() if e is not None] or [0.0]
+    lowest, *edges = [e for e in found.values() if e is not None] or [0.0]
     inner = F.array(*[F.lit(e) for e in sorted(set(edges) - {lowest})]).cast("array<double>")
-    return df.withColumn(name, F.size(F.filter(inner, lambda e: e < F.col(score))))
+    value = F.nanvl(F.col(score).cast("double"), F.lit(None).cast("double"))
+    return df.withColumn(name, F.when(value.isNotNull(), F.size(F.filter(inner, lambda e: e < value))))
 
 
 def lift_table(
     df: DataFrame, label: str = "y", score: str = "p", bins: int = 10, accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Per decile, lowest scores first: size, events, mean score, event rate, running events and their share."""
-    per_bin = deciles(df, score, bins, "decile", accuracy).groupBy("decile").agg(
+    """Per decile, lowest scores first: size, events, mean score, event rate, running events and their share.
+
+    Rows without a score are in no decile and not counted.
+    """
+    binned = deciles(df, score, bins, "decile", accuracy).where("decile is not null")
+    per_bin = binned.groupBy("decile").agg(
         F.count(F.lit(1)).alias("count"),
         F.sum(F.col(label).cast("long")).alias("events"),
         F.avg(score).alias("avg_prob"),
@@ -202,7 +210,7 @@ def dependence(
     scored: DataFrame, feature: str, score: str = "p", bins: int = 10, accuracy: int = ACCURACY
 ) -> DataFrame:
     """Mean score per quantile bin of a numeric feature."""
-    binned = deciles(scored.where(F.col(feature).isNotNull()), feature, bins, "bin", accuracy)
+    binned = deciles(scored, feature, bins, "bin", accuracy).where("bin is not null")
     return binned.groupBy("bin").agg(
         F.lit(feature).alias("feature"),
         F.min(F.col(feature).cast("double")).alias("low"),

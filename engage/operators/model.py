@@ -12,29 +12,24 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from engage.operators.prep import column_types
-from engage.operators.ranking import hash_cut, hash_rank, hashed_key
+from engage.operators.ranking import hash_cut, hash_rank, hashed_key, null_safe
+from engage.operators.skew import fits
 from engage.session import materialise
 
 # Fill for missing numbers at training time, and the tier borders.
 TRAIN_FILL = -999
 HIGH_RISK, MEDIUM_RISK = 0.8, 0.5
 
-# A text column with more values than this is hashed instead of indexed, so no long value list is collected.
-MAX_CATEGORIES = 30
+# Buckets of a hashed text feature.
+BUCKETS = 32
 
-# More classes than this are no class label.
-MAX_CLASSES = 100
 
-
-def _per_class(table: DataFrame, label: str, value: str) -> Column:
-    """The class's entry of a table with one row per class, without a join; a label is no free-form column."""
-    entries = F.map_from_entries(F.collect_list(F.struct(label, value)))
-    many = F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes"))
-    limited = table.agg(F.when(F.count(F.lit(1)) <= MAX_CLASSES, entries).otherwise(many.cast("void"))).scalar()
-    return F.element_at(limited, F.col(label))
+def _per_class(df: DataFrame, table: DataFrame, label: str) -> DataFrame:
+    """Add a table's columns by class, NULL being a class; one row per class, so the rows stay where they are."""
+    return null_safe(df, table, [label], broadcast=fits(table))
 
 
 def split_cycles(df: DataFrame, cycle: str, train: object) -> tuple[DataFrame, DataFrame]:
@@ -51,8 +46,9 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
 
     Only the border hash per class is computed; rows are then compared to it where they are.
     """
-    cut = _per_class(hash_cut(df, key, test_share, [label]), label, "cut")
-    return df.withColumn("is_test", (hashed_key(key) <= cut).cast("int"))
+    cuts = hash_cut(df, key, test_share, [label]).withColumnRenamed("cut", "_cut")
+    with_cut = _per_class(df, cuts, label)
+    return with_cut.select(*df.columns, (hashed_key(key) <= F.col("_cut")).cast("int").alias("is_test"))
 
 
 def folds(df: DataFrame, key: str, label: str, k: int = 5) -> DataFrame:
@@ -69,22 +65,22 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return df.withColumn(name, _per_class(class_weights(df, label), label, "weight"))
+    weights = class_weights(df, label).select(label, F.col("weight").alias("_class_weight"))
+    return _per_class(df, weights, label).withColumnRenamed("_class_weight", name)
 
 
-def _stages(df: DataFrame, features: Sequence[str], max_categories: int) -> tuple[list, list[str]]:
+def _stages(df: DataFrame, features: Sequence[str], hashed: Sequence[str], buckets: int) -> tuple[list, list[str]]:
     numeric, text = column_types(df.select(*features))
-    sizes = {}
-    if text:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first().asDict()
-    numbers = [
-        f"coalesce(nanvl(cast(`{c}` as double), null), {float(TRAIN_FILL)}) as `_num_{c}`" for c in numeric
-    ]
-    indexed = [c for c in text if sizes[c] <= max_categories]
-    hashed = [
-        f"cast(pmod(xxhash64(`{c}`), {max_categories}) as double) as `_num_{c}`" for c in text if c not in indexed
+    flags = [f.name for f in df.schema.fields if f.name in features and isinstance(f.dataType, T.BooleanType)]
+    unknown = [f for f in features if f not in (*numeric, *text, *flags)]
+    if unknown:
+        raise ValueError(f"features of unsupported type: {', '.join(unknown)}")
+    columns = [
+        f"coalesce(nanvl(cast(`{c}` as double), null), {float(TRAIN_FILL)}) as `_num_{c}`" for c in (*numeric, *flags) if c not in text
     ]
-    stages = [SQLTransformer(statement=f"select *, {', '.join(numbers + hashed) or '1 as _one'} from __THIS__")]
+    columns += [f"cast(pmod(xxhash64(`{c}`), {buckets}) as double) as `_num_{c}`" for c in text if c in hashed]
+    indexed = [c for c in text if c not in hashed]
+    stages = [SQLTransformer(statement=f"select *, {', '.join(columns) or '1 as _one'} from __THIS__")]
     if indexed:
         stages.append(
             StringIndexer(inputCols=indexed, outputCols=[f"_ix_{c}" for c in indexed], handleInvalid="keep")
@@ -99,12 +95,17 @@ def pipeline(
     features: Sequence[str],
     label: str,
     weight: str | None = None,
-    max_categories: int = MAX_CATEGORIES,
+    hashed: Sequence[str] = (),
+    buckets: int = BUCKETS,
     seed: int = 42,
     **params: object,
 ) -> Pipeline:
-    """Fill, index, assemble, boost.  ``params`` go to the boosted trees (maxDepth, maxIter, stepSize, maxBins)."""
-    stages, _ = _stages(df, features, max_categories)
+    """Fill, index, assemble, boost.  ``params`` go to the boosted trees (maxDepth, maxIter, stepSize, maxBins).
+
+    Text features named in ``hashed`` go to that many buckets, the others are indexed by their values; ``maxBins`` must
+    hold the most values of an indexed one.  Which is which is the caller's choice and does not follow the data.
+    """
+    stages, _ = _stages(df, features, hashed, buckets)
     learner = GBTClassifier(labelCol=label, featuresCol="_features", seed=seed, **params)
     if weight:
         learner = learner.setWeightCol(weight)

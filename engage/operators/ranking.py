@@ -35,6 +35,14 @@ def _bucket(splits: Column, value: Column, bits: int) -> Column:
     )
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], broadcast: bool = False) -> DataFrame:
+    """Inner join on ``keys`` in which NULL equals NULL; the left side's key columns stay."""
+    names = {k: f"_r_{k}" for k in keys}
+    side = right.withColumnsRenamed(names)
+    match = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(F.broadcast(side) if broadcast else side, match).drop(*names.values())
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -81,7 +89,7 @@ def running_totals(
         .orderBy(sense(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = bucketed.join(offsets, keys)
+    joined = null_safe(bucketed, offsets, keys)
     return joined.select(
         *df.columns,
         *[(F.col(f"_o_{c}") + F.sum(c).over(inside)).alias(name) for c, name in totals.items()],
@@ -171,7 +179,8 @@ def one_row(df: DataFrame) -> Column:
 
 
 def hashed_key(key: str) -> Column:
-    return F.md5(F.col(key).cast("string"))
+    """The order of rows; a NULL key has a place too."""
+    return F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
 def _hash_counts(df: DataFrame, by: Sequence[str], key: str, digits: int) -> DataFrame:
@@ -202,8 +211,7 @@ def hash_rank(
     counts = _hash_counts(df, by, key, digits)
     inside = Window.partitionBy(*keys).orderBy(hashed_key(key))
     return (
-        df.withColumn("_bucket", F.substring(hashed_key(key), 1, digits))
-        .join(counts, keys)
+        null_safe(df.withColumn("_bucket", F.substring(hashed_key(key), 1, digits)), counts, keys)
         .select(
             *df.columns,
             (F.col("_before") + F.row_number().over(inside)).alias(rank),
@@ -230,9 +238,12 @@ def hash_cut(df: DataFrame, key: str, share: float, by: Sequence[str], digits: i
     keys = [*by, "_bucket"]
     inside = Window.partitionBy(*keys).orderBy("_h")
     return (
-        df.select(*by, hashed_key(key).alias("_h"))
-        .withColumn("_bucket", F.substring("_h", 1, digits))
-        .join(F.broadcast(edge), keys)
+        null_safe(
+            df.select(*by, hashed_key(key).alias("_h")).withColumn("_bucket", F.substring("_h", 1, digits)),
+            edge,
+            keys,
+            broadcast=True,
+        )
         .groupBy(*keys, "_h", "_nth")
         .agg(F.count(F.lit(1)).alias("_copies"))
         .withColumn("_upto", F.sum("_copies").over(inside))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import evaluate, model
-from engage.plans.fixtures import SCORED, derive, with_ctes
+from engage.plans.fixtures import SCORED, SCORED_RAW, derive, with_ctes
 
 
 def _scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,6 +54,16 @@ def lift_table(spark: SparkSession, folder: str) -> DataFrame:
     return _round(evaluate.lift_table(_scored(spark, folder)), "avg_prob", "event_rate", "cumulative_event_rate")
 
 
+def deciles_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Deciles of an unrounded score with ties and gaps."""
+    return evaluate.deciles(derive(spark, folder, SCORED_RAW)).select("id", "decile")
+
+
+def lift_table_raw(spark: SparkSession, folder: str) -> DataFrame:
+    lift = evaluate.lift_table(derive(spark, folder, SCORED_RAW))
+    return _round(lift, "avg_prob", "event_rate", "cumulative_event_rate")
+
+
 def risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
     return model.risk_tier(_scored(spark, folder)).select("id", "risk_category")
 
@@ -88,10 +98,19 @@ PR = """
 SELECT threshold, tp * 1.0::DOUBLE / (tp + fp) AS pr, tp * 1.0::DOUBLE / pt AS rc FROM curve
 UNION ALL SELECT NULL, 1.0, 0.0
 """
+# Edges lie between order statistics at positions counted in tenths, which a double would miss at ties.
 BINNED = """
-SELECT s.*, len(list_filter(e.ed, lambda x: x < s.p)) AS decile FROM scored s,
-  (SELECT list_filter(list_distinct(list_transform(q, lambda x: round(x, 9))), lambda x: x > lowest) AS ed
-   FROM (SELECT quantile_cont(p, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS q, min(p) AS lowest FROM scored) d) e
+SELECT s.*, CASE WHEN s.p IS NOT NULL THEN len(list_filter(e.ed, lambda x: x < s.p)) END AS decile FROM scored s,
+  (SELECT list_distinct(list_filter(list(edge), lambda x: x > min(lowest))) AS ed FROM (
+     SELECT v[1 + (i * (n - 1)) // 10] + (v[least(n, 2 + (i * (n - 1)) // 10)] - v[1 + (i * (n - 1)) // 10]) * (((i * (n - 1)) % 10) / 10.0::DOUBLE) AS edge, v[1] AS lowest
+     FROM (SELECT list(p ORDER BY p) AS v, count(*) AS n FROM scored WHERE p IS NOT NULL) o, (SELECT unnest(range(1, 10)) AS i) k) d) e
+"""
+LIFT = """
+SELECT CAST(decile AS INT) AS decile, n AS count, events, round(ap, 6) AS avg_prob,
+       round(events * 1.0::DOUBLE / n, 6) AS event_rate,
+       CAST(sum(events) OVER (ORDER BY decile) AS BIGINT) AS cumulative_events,
+       round(sum(events) OVER (ORDER BY decile) * 1.0::DOUBLE / sum(events) OVER (), 6) AS cumulative_event_rate
+FROM (SELECT decile, count(*) AS n, CAST(sum(y) AS BIGINT) AS events, avg(p) AS ap FROM binned WHERE decile IS NOT NULL GROUP BY decile) g
 """
 CELLS = """
 SELECT count(*) FILTER (y = 1 AND p >= 0.5)::DOUBLE AS tp, count(*) FILTER (y = 0 AND p >= 0.5)::DOUBLE AS fp,
@@ -120,6 +139,8 @@ QUERIES = {
     "classification_report": classification_report,
     "deciles": deciles,
     "lift_table": lift_table,
+    "deciles_raw": deciles_raw,
+    "lift_table_raw": lift_table_raw,
     "risk_tiers": risk_tiers,
     "tier_counts": tier_counts,
     "stratified_split": stratified_split,
@@ -169,13 +190,11 @@ UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(re
     ),
     "deciles": _oracle("SELECT id, CAST(decile AS INT) AS decile FROM binned", binned=BINNED),
     "lift_table": _oracle(
-        """SELECT CAST(decile AS INT) AS decile, n AS count, events, round(ap, 6) AS avg_prob,
-       round(events * 1.0::DOUBLE / n, 6) AS event_rate,
-       CAST(sum(events) OVER (ORDER BY decile) AS BIGINT) AS cumulative_events,
-       round(sum(events) OVER (ORDER BY decile) * 1.0::DOUBLE / sum(events) OVER (), 6) AS cumulative_event_rate
-FROM (SELECT decile, count(*) AS n, CAST(sum(y) AS BIGINT) AS events, avg(p) AS ap FROM binned GROUP BY decile) g""",
+        LIFT,
         binned=BINNED,
     ),
+    "deciles_raw": with_ctes("SELECT id, CAST(decile AS INT) AS decile FROM binned", scored=SCORED_RAW, binned=BINNED),
+    "lift_table_raw": with_ctes(LIFT, scored=SCORED_RAW, binned=BINNED),
     "risk_tiers": _oracle(f"SELECT id, {_TIER} AS risk_category FROM scored"),
     "tier_counts": _oracle(f"SELECT {_TIER} AS risk_category, count(*) AS n FROM scored GROUP BY 1"),
     "stratified_split": _oracle(

@@ -75,6 +75,14 @@ SELECT c_custkey AS id,
 FROM customer
 """
 
+# A score as models give them: not rounded, with ties, and missing for some rows.
+SCORED_RAW = """
+SELECT c_custkey AS id,
+       CASE WHEN (c_custkey * 7 + 3) % 10 < 3 OR c_acctbal > 8000 THEN 1 ELSE 0 END AS y,
+       CASE WHEN c_custkey % 11 <> 0 THEN CAST(c_custkey % 137 AS DOUBLE) / 411.0 END AS p
+FROM customer
+"""
+
 # Member and provider places; fl = provider flag.
 GEO = """
 SELECT c_custkey AS id, CASE WHEN c_custkey % 4 <> 0 THEN 1 ELSE 0 END AS fl,

@@ -143,3 +143,31 @@ def test_hash_rank_is_a_permutation_of_the_order(spark):
 def test_risk_tier_borders(spark):
     df = spark.createDataFrame([(0.8,), (0.81,), (0.5,), (0.51,)], "p double")
     assert [r[1] for r in model.risk_tier(df).collect()] == ["Medium Risk", "High Risk", "Low Risk", "Medium Risk"]
+
+
+@pytest.mark.parametrize("divisor", [3, 7])
+def test_lift_of_tied_scores_equals_qcut(spark, divisor):
+    p = [None if i % 13 == 0 else ((i * 31) % 22) / divisor / 10 for i in range(1001)]
+    df = spark.createDataFrame([(i, i % 2, v) for i, v in enumerate(p)], "id int, y int, p double")
+    frame = pd.DataFrame({"y": [i % 2 for i in range(1001)], "p": p}).dropna()
+    frame["decile"] = pd.qcut(frame["p"], 10, labels=False, duplicates="drop")
+    want = frame.groupby("decile").agg(n=("y", "count"), events=("y", "sum"))
+    got = evaluate.lift_table(df).orderBy("decile").toPandas()
+    assert got["count"].tolist() == want["n"].tolist() and got["events"].tolist() == want["events"].tolist()
+    assert evaluate.deciles(df).where("decile is null").count() == sum(v is None for v in p)
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_null_groups_stay_at_any_size(spark, bits):
+    df = spark.range(900).selectExpr("case when id % 3 = 0 then null else id % 3 end g", "cast(id % 2 as int) y", "id / 900.0d p")
+    assert evaluate.auc(df, by=["g"], bits=bits).count() == 3
+    totals = ranking.running_totals(df.selectExpr("g", "p", "1 n"), "p", {"n": "upto"}, ["g"], bits=bits)
+    assert totals.count() == 900 and {r[0] for r in totals.groupBy("g").agg(F.max("upto")).select("max(upto)").collect()} == {300}
+
+
+def test_null_keys_and_labels_are_ranked_and_split(spark):
+    df = spark.range(900).selectExpr("case when id % 9 <> 0 then id end k", "case when id % 3 = 0 then null else cast(id % 2 as int) end y")
+    for digits in (1, 4):
+        assert ranking.hash_rank(df, "k", ["y"], digits=digits).count() == 900
+    assert model.folds(df, "k", "y").count() == 900
+    assert model.stratified_split(df, "k", "y").where("is_test is null").count() == 0
