@@ -3,12 +3,13 @@
 Texts are word sequences.  A k-mer is five consecutive words together with how often it occurred before in the
 text.  Each of ``ENTRIES`` sketch entries draws the ``PER_ENTRY`` k-mers with the smallest hashes under its seed and
 keeps them in text order, so two texts agree in an entry only where k-mers and their order agree.  Texts with equal
-word sequences are one class from the start.  Classes that agree in an entry are compared: all of them where up to
-``PAIRED`` agree; in larger buckets each with the bucket's smallest class, and what is still unconnected after
-that once more with the smallest of the unconnected, until a round links nothing new.  So a bucket with a third of the corpus
-costs rows in proportion to its size.  A pair is linked when its edit similarity, 1 - distance / longer length in
+word sequences are one class from the start.  Classes that agree in an entry are compared, first with the smallest of
+them; of what is then still unconnected, all pairs where up to ``PAIRED`` agreed, and in larger buckets each
+with the smallest of the unconnected, until a round links nothing new.  So a bucket with a third of the corpus costs rows
+in proportion to its size.  A pair is linked when its edit similarity, 1 - distance / longer length in
 words, is at least ``SIMILARITY``: histograms of hashed words rule out most pairs by a bound on the distance before any
-text is moved, the rest are aligned within a band that widens until the distance or its limit fits in it.
+text is moved, a chain of common k-mers proves most others, the rest are aligned within a band that widens until the
+distance or its limit fits in it.
 
 Defined results: null text is empty; empty texts are one class; texts shorter than a k-mer have one, themselves;
 rows that share a doc_id count as one document; rows without doc_id are not linked beyond their class; an empty
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -188,6 +190,44 @@ def least_distance(x: np.ndarray, y: np.ndarray) -> int:
     return int(max(np.maximum(change, 0).sum(), np.maximum(-change, 0).sum()))
 
 
+def rising(values: np.ndarray) -> np.ndarray:
+    """Positions of a longest rising subsequence."""
+    if (values[1:] > values[:-1]).all():
+        return np.arange(len(values))
+    ends, at, before = [], [], []
+    for i, v in enumerate(values.tolist()):
+        k = bisect_left(ends, v)
+        before.append(at[k - 1] if k else -1)
+        if k == len(ends):
+            ends.append(v)
+            at.append(i)
+        else:
+            ends[k], at[k] = v, i
+    out, i = [], at[-1]
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return np.array(out[::-1])
+
+
+def most_distance(x: np.ndarray, y: np.ndarray, k: int = K) -> int:
+    """An upper bound of the distance: common k-mers in rising order stand, what lies between them is replaced."""
+    longer = max(len(x), len(y))
+    if min(len(x), len(y)) < k:
+        return longer
+    _, i, j = np.intersect1d(kmers(x, k), kmers(y, k), assume_unique=True, return_indices=True)
+    if not len(i):
+        return longer
+    order = np.argsort(i)
+    i, j = i[order], j[order]
+    chain = rising(j)
+    i, j = i[chain], j[chain]
+    # neighbours that overlap stand together only on one diagonal; elsewhere the later one gives up the words shared
+    gap_x = np.r_[i, len(x)] - np.r_[0, i + k]
+    gap_y = np.r_[j, len(y)] - np.r_[0, j + k]
+    return int(np.where(np.minimum(gap_x, gap_y) < 0, np.abs(gap_x - gap_y), np.maximum(gap_x, gap_y)).sum())
+
+
 def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     """Edit distances of many pairs at once; exact where at most ``band``, else some larger number.
 
@@ -234,26 +274,28 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMI
         x, y = trimmed(x, y)
         if not len(x) or not len(y):
             out[i] = max(len(x), len(y)) <= limits[i]
-        elif least_distance(x, y) <= limits[i]:
+        elif most_distance(x, y) <= limits[i]:
+            out[i] = True
+        elif (least := least_distance(x, y)) <= limits[i]:
             x, y = (x, y) if len(x) <= len(y) else (y, x)
-            open_.append((i, x.astype(np.int64), y.astype(np.int64)))
+            open_.append((i, x.astype(np.int64), y.astype(np.int64), least + least // 4))
     band = 8
     while open_:
-        # a band past a pair's limit settles it
-        wide = [p for p in open_ if min(band, limits[p[0]]) < len(p[2]) - len(p[1])]
-        now = [p for p in open_ if min(band, limits[p[0]]) >= len(p[2]) - len(p[1])]
+        # a pair waits for the first band that its distance may fit; one past its limit settles it
+        wait = [min(band, limits[p[0]]) < max(len(p[2]) - len(p[1]), min(p[3], limits[p[0]])) for p in open_]
+        now = [p for p, w in zip(open_, wait, strict=True) if not w]
         now.sort(key=lambda p: len(p[1]))
-        later = wide
+        later = [p for p, w in zip(open_, wait, strict=True) if w]
         size = max(1, CELLS // (2 * band + 1))
         for start in range(0, len(now), size):
             part = now[start : start + size]
-            for (i, x, y), d in zip(part, banded([(x, y) for _, x, y in part], band), strict=True):
+            for pair, d in zip(part, banded([(p[1], p[2]) for p in part], band), strict=True):
                 if d <= band:
-                    out[i] = d <= limits[i]
-                elif band < limits[i]:
-                    later.append((i, x, y))
+                    out[pair[0]] = d <= limits[pair[0]]
+                elif band < limits[pair[0]]:
+                    later.append(pair)
         open_ = later
-        band *= 3
+        band *= 2
     return out
 
 
@@ -304,37 +346,44 @@ def near_dedup(
     placed = classes.where("id is not null").select("id", "n_words", F.explode("entries").alias("entry"))
     buckets = (
         placed.groupBy("entry")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "n_words")).alias("hub"))
         .where("n > 1")
     )
     members = materialise(placed.join(buckets, "entry"), "members")
     fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity
-    side = lambda s: members.where(F.col("n") <= paired).select("entry", F.col("id").alias(s), F.col("n_words").alias(f"n_{s}"))
-    small = side("a").join(side("b"), "entry").where("a < b").where(fits).select("a", "b")
-    large = members.where(F.col("n") > paired)
-    stars = large.where("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    links = materialise(links_of(small.union(stars).distinct(), classes, rows, similarity), "verified")
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    stars = members.select(F.col("hub.id").alias("a"), "id", F.col("hub.n_words").alias("n_a"), F.col("n_words").alias("n_b"))
+    stars = stars.withColumnRenamed("id", "b").where("a <> b").where(fits).select(*pair).distinct()
+    tested = materialise(stars, "stars")
+    links = materialise(links_of(tested, classes, rows, similarity), "verified")
     groups = components(links)
-    large = materialise(large.select("entry", "id"), "large")
+    open_, first = members.select("entry", "id", "n_words", "n"), True
     while True:
-        # members that their bucket's smallest component has not reached meet the smallest among themselves
-        named = large.join(groups.withColumnRenamed("node", "id"), "id", "left").select(
-            "entry", "id", F.coalesce("component_id", "id").alias("c")
+        # what of a bucket is still apart: its components, less the smallest where only that one is new
+        named = open_.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        named = materialise(named.withColumn("c", F.coalesce("component_id", "id")).drop("component_id"), "named")
+        spans = named.groupBy("entry").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
+        apart = materialise(named.join(spans, "entry").drop("most"), "apart")
+        large = apart.where((F.col("n") > paired) & (F.col("c") > F.col("least")))
+        hubs = large.groupBy("entry").agg(F.min(F.struct("c", "id", "n_words")).alias("hub"))
+        pairs = large.join(hubs, "entry").where("c <> hub.c").select(
+            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n_words").alias("n_a"), F.col("n_words").alias("n_b")
         )
-        named = materialise(named, "named")
-        first = named.groupBy("entry").agg(F.min("c").alias("least"))
-        large = materialise(named.join(first, "entry").where("c > least").select("entry", "id", "c"), "large")
-        hubs = large.groupBy("entry").agg(F.min(F.struct("c", "id")).alias("hub"))
-        rest = large.join(hubs, "entry").where("c <> hub.c").select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
-        pairs = materialise(rest.distinct(), "rest")
+        if first:
+            small = apart.where(F.col("n") <= paired)
+            side = lambda s: small.select("entry", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n_words", "c")])
+            both = side("a").join(side("b"), "entry").where("id_a < id_b and c_a <> c_b")
+            pairs = pairs.union(both.selectExpr("id_a a", "id_b b", "n_words_a n_a", "n_words_b n_b"))
+        pairs = pairs.where(fits).select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "rest")
         if pairs.isEmpty():
             break
         more = materialise(links_of(pairs, classes, rows, similarity), "verified")
-        if more.isEmpty():
+        if not first and more.isEmpty():
             break
-        links = links.union(more)
+        tested, links = tested.union(pairs), links.union(more)
         groups = components(links)
-        large = large.select("entry", "id")
+        open_, first = large.select("entry", "id", "n_words", "n"), False
     named = classes.select("class", "n_words", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
     return sketches.select("doc_id", "class", "n_words").join(
         named.select("class", "n_words", F.col("id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")),
