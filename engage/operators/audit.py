@@ -87,6 +87,19 @@ def processed_counts(
     )
 
 
+def processed_log(
+    counts: DataFrame, lob: str, special_feed: str, other_feed: str, day: str = "processed_date"
+) -> DataFrame:
+    """The two counts of ``processed_counts`` as log rows (lob, run_date, feed, count as text), for ``merge.upsert``."""
+    rows = F.array(
+        F.struct(F.lit(special_feed).alias("feed"), F.col("special_count").alias("n")),
+        F.struct(F.lit(other_feed).alias("feed"), F.col("other_count").alias("n")),
+    )
+    return counts.select(F.col(day).alias("run_date"), F.inline(rows)).select(
+        F.lit(lob).alias("lob"), "run_date", "feed", F.col("n").cast("string").alias("llm_processed_transcript_count")
+    )
+
+
 def routed_counts(routed: DataFrame, lobs: Sequence[str]) -> DataFrame:
     """Selected calls per line of business, zeros included."""
     found = routed.where("selected").groupBy("lob").agg(F.count(F.lit(1)).alias("n"))

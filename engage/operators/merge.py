@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from engage.operators.skew import fits, join_lookup
+from engage.operators.skew import common_keys
 
 
 def _has_key(keys: Sequence[str]) -> Column:
@@ -16,17 +16,20 @@ def _has_key(keys: Sequence[str]) -> Column:
     return out
 
 
-def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Source rows with a complete key; a repeated key fails the job, since the update would be ambiguous.
+def _numbered(df: DataFrame, keys: Sequence[str], sign: int) -> DataFrame:
+    """Add ``_row``: 0 where the key is complete, else a number of the row's own, so that such rows neither meet nor pile up."""
+    own = F.monotonically_increasing_id() + 1
+    return df.withColumn("_row", F.when(_has_key(keys), F.lit(0).cast("long")).otherwise(own * sign))
 
-    The grouping hashes on the join keys, so the join that follows needs no further shuffle of the source.
-    """
-    grouped = source.where(_has_key(keys)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.any_value(v).alias(v) for v in values]
+
+def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Source rows by key; a repeated complete key fails the job, since the update would be ambiguous."""
+    grouped = _numbered(source, keys, 1).groupBy(*keys, "_row").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.any_value(v).alias(f"_src_{v}") for v in values]
     )
     message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
     checked = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return grouped.select(*keys, *values, checked.alias("_in_source"))
+    return grouped.withColumn("_in_source", checked).drop("_n")
 
 
 def upsert(
@@ -40,46 +43,33 @@ def upsert(
 
     ``update`` names the columns to take, or maps a column to an expression over the target's own columns and
     the source's as ``_src_<name>``.  ``insert=False`` only updates.  As in a MERGE, a NULL key matches
-    nothing: such target rows stay and such source rows are inserted.  They skip the join, so they cannot
-    pile up in one task.  A source of counted-small size is broadcast, and the target is then not shuffled.
+    nothing: such target rows stay and such source rows are inserted.  One join reads either side once, so a source
+    that would differ between reads cannot both update and insert a row.
     Write the result to a new path; never over the path being read.
     """
     keys = [on] if isinstance(on, str) else list(on)
     values = [c for c in source.columns if c not in keys]
     columns = target.columns
+    types = {f.name: f.dataType for f in target.schema.fields}
     if update is None:
         update = [c for c in values if c in columns]
     if not isinstance(update, Mapping):
         update = {c: F.col(f"_src_{c}") for c in update}
-
-    side = _one_per_key(source, keys, values).select(
-        *keys, *[F.col(v).alias(f"_src_{v}") for v in values], "_in_source"
-    )
-    known = target.where(_has_key(keys))
-    types = {f.name: f.dataType for f in target.schema.fields}
-    small = fits(side)
-    joined = join_lookup(known, side, keys, "left", small=small)
-    out = joined.select(
-        *[
-            (F.when(F.col("_in_source"), update[c]).otherwise(F.col(c)) if c in update else F.col(c)).cast(types[c]).alias(c)
-            for c in columns
-        ]
-    ).unionByName(target.where(~_has_key(keys)))
-    if not insert:
-        return out
-
-    def new_row(name: str) -> Column:
+    known, fresh = common_keys(target, source, keys)
+    known = _numbered(known, keys, -1).withColumn("_in_target", F.lit(True))
+    side = _one_per_key(fresh, keys, values)
+    joined = known.join(side, [*keys, "_row"], "full" if insert else "left")
+    # every source row's check is part of the result
+    joined = joined.where(F.coalesce("_in_source", F.lit(True)))
+
+    def merged(name: str) -> Column:
         if name in keys:
             return F.col(name)
-        return F.col(f"_src_{name}") if name in values else F.lit(None)
+        stays = F.when(F.col("_in_source"), update[name]).otherwise(F.col(name)) if name in update else F.col(name)
+        added = F.col(f"_src_{name}") if name in values else F.lit(None)
+        return F.when(F.col("_in_target"), stays).otherwise(added)
 
-    # at most as many rows as the source has keys
-    matched = join_lookup(known.select(*keys), side.select(*keys), keys, "left_semi", small=small).distinct()
-    added = side.join(matched, keys, "left_anti").select(*[new_row(c).cast(types[c]).alias(c) for c in columns])
-    loose = source.where(~_has_key(keys)).select(
-        *[(F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns]
-    )
-    return out.unionByName(added).unionByName(loose)
+    return joined.select(*[merged(c).cast(types[c]).alias(c) for c in columns])
 
 
 def change_feed(before: DataFrame, after: DataFrame, on: str | Sequence[str]) -> DataFrame:

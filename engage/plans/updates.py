@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import audit, merge, rag, score
 from engage.operators.ranking import one_row
+from engage.plans import jobs
 from engage.plans.fixtures import derive, table, with_ctes
 from engage.session import shared_dir
 from engage.sources import archives, documents, folders, sinks
@@ -24,6 +25,16 @@ AFTER = """
 SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer WHERE c_name NOT LIKE '%3'
 UNION ALL SELECT s_suppkey + 100000000, s_acctbal, s_name FROM supplier
 """
+# A log row per line of business, day and feed, and scored documents of two organisations.
+DAILY = """
+SELECT CASE event_type WHEN 'view' THEN 'Core Premier' WHEN 'click' THEN 'IFP' ELSE 'Broker' END AS lob, CAST(ts AS DATE) AS run_date,
+       CASE WHEN user_id % 2 = 0 THEN 'S' ELSE 'other' END AS feed, CAST(count(*) AS STRING) AS total_transcript_count
+FROM events GROUP BY 1, 2, 3
+"""
+PROCESSED = """
+SELECT event_id AS id, CASE WHEN user_id % 3 = 0 THEN 'S' WHEN user_id % 3 = 1 THEN 'T' END AS org_id, CAST(ts AS DATE) AS processed_date
+FROM events WHERE value > 1
+"""
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -42,6 +53,21 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
     return merge.change_feed(before, derive(spark, folder, AFTER), "c_custkey")
 
 
+def upsert_large(spark: SparkSession, folder: str) -> DataFrame:
+    """An int-keyed target and a bigint-keyed source."""
+    target = derive(spark, folder, TARGET).withColumn("k", F.col("k").cast("int"))
+    return merge.upsert(target, derive(spark, folder, SOURCE), "k").withColumn("k", F.col("k").cast("long"))
+
+
+def update_log(spark: SparkSession, folder: str) -> DataFrame:
+    """A day's log per line of business and feed, the counts of scored documents merged into the rows they belong to."""
+    daily = derive(spark, folder, DAILY)
+    scored = derive(spark, folder, PROCESSED)
+    counts = audit.processed_log(audit.processed_counts(scored, "S"), "Core Premier", "S", "other")
+    times = daily.where("lob = 'Core Premier'").select("lob", "run_date", "feed").distinct().withColumn("nlp_end", F.lit("12:00"))
+    return jobs.update_log(daily, ["lob", "run_date", "feed"], counts, times)
+
+
 def unprocessed(spark: SparkSession, folder: str) -> DataFrame:
     found = table(spark, folder, "customer").select(F.col("c_custkey").alias("name"))
     done = table(spark, folder, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("name"))
@@ -186,6 +212,8 @@ def stage_log(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "upsert_matched": upsert_matched,
     "upsert_insert": upsert_insert,
+    "upsert_large": upsert_large,
+    "update_log": update_log,
     "change_feed": change_feed,
     "unprocessed": unprocessed,
     "lagged_folder": lagged_folder,
@@ -212,6 +240,21 @@ FROM (SELECT *, TRUE AS in_t FROM target) t FULL JOIN (SELECT *, TRUE AS in_s FR
         target=TARGET,
         source=SOURCE,
     ),
+    "upsert_large": with_ctes(
+        """SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.in_s THEN s.bal ELSE t.bal END AS bal, CASE WHEN s.in_s THEN s.seg ELSE t.seg END AS seg
+FROM (SELECT *, TRUE AS in_t FROM target) t FULL JOIN (SELECT *, TRUE AS in_s FROM source) s ON s.k = t.k""",
+        target=TARGET,
+        source=SOURCE,
+    ),
+    "update_log": with_ctes(
+        """SELECT d.lob, d.run_date, d.feed, d.total_transcript_count,
+       CASE WHEN d.lob = 'Core Premier' AND c.run_date IS NOT NULL THEN CAST(CASE d.feed WHEN 'S' THEN c.s ELSE c.o END AS VARCHAR) END AS llm_processed_transcript_count,
+       CASE WHEN d.lob = 'Core Premier' THEN '12:00' END AS nlp_end
+FROM daily d LEFT JOIN (SELECT processed_date AS run_date, count(DISTINCT id) FILTER (org_id = 'S') AS s, count(DISTINCT id) FILTER (org_id <> 'S') AS o
+  FROM processed WHERE org_id IS NOT NULL GROUP BY 1) c USING (run_date)""",
+        daily=DAILY,
+        processed=PROCESSED,
+    ),
     "change_feed": with_ctes(
         """SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
        CASE WHEN b.c_custkey IS NULL THEN 'insert' WHEN a.c_custkey IS NULL THEN 'delete' ELSE 'update' END AS change_type,
