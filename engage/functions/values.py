@@ -24,8 +24,8 @@ def first_nonblank(*cols: Column | str) -> Column:
 
 
 def to_int(c: Column | str) -> Column:
-    """Text to integer, NULL when it does not parse."""
-    return _col(c).try_cast("int")
+    """Text to integer, NULL when it does not parse.  A JSON number with a fraction arrives as text and is truncated."""
+    return F.coalesce(_col(c).try_cast("int"), F.regexp_extract(_col(c), r"^(-?[0-9]+)[.][0-9]+$", 1).try_cast("int"))
 
 
 def basename(path: Column | str) -> Column:

@@ -53,13 +53,16 @@ PREFIX_LOBS = ("Small Group", "IFP", "Broker")
 
 
 def codes(documents: DataFrame, drop_empty: bool = False) -> DataFrame:
-    """Pull the known metadata codes out of the map; the rest stays in ``other_metadata``.
+    """Pull the known metadata codes out of the map; the rest stays in ``other_metadata``, and ``has_metadata`` tells
+    whether there was any.
 
     ``drop_empty`` leaves out documents without metadata, as the multi-route feed does.
     """
-    rows = documents
+    rows = documents.withColumn(
+        "has_metadata", F.size(F.coalesce("metadata", F.create_map().cast("map<string,string>"))) > 0
+    )
     if drop_empty:
-        rows = rows.where(F.size(F.coalesce("metadata", F.create_map().cast("map<string,string>"))) > 0)
+        rows = rows.where("has_metadata")
     rest = F.map_filter("metadata", lambda k, _: ~k.isin(list(CODES)))
     return rows.select(
         "*",
@@ -180,15 +183,15 @@ def first_match(calls: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def ordered_prefix(
-    calls: DataFrame, lookup: DataFrame, lobs: Sequence[str] = PREFIX_LOBS, order: str | None = None
+    calls: DataFrame, lookup: DataFrame, lobs: Sequence[str] = PREFIX_LOBS, order: str = "ord"
 ) -> DataFrame:
     """Exactly one row per call: the first of ``lobs`` that the skill's LOB text starts with.
 
-    ``lookup`` has (skill_id, lob_text); of a repeated skill the first row by ``order`` counts.  A known finance
+    ``lookup`` has (skill_id, lob_text) and the sheet's row order; of a repeated skill the first row by ``order`` counts.  A known finance
     LOB changes the reason only.
     """
     columns = calls.columns
-    first = latest_per_key(lookup, "skill_id", [F.asc(order or "lob_text")])
+    first = latest_per_key(lookup, "skill_id", [F.asc(order)])
     side = first.select(F.col("skill_id").alias("cd10"), F.col("lob_text").alias("_text"))
     joined = join_lookup(calls, side, "cd10")
     lob = F.coalesce(*[F.when(F.startswith("_text", F.lit(name)), name) for name in lobs])

@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.operators import audit, enrich, evaluate, labels, merge, model, prep, rag, route, score
 from engage.session import materialise
-from engage.sources import documents, sinks
+from engage.sources import archives, documents, sinks
 
 # Takes gated calls with their finance LOB, returns decisions.
 Rule = Callable[[DataFrame], DataFrame]
@@ -27,22 +27,53 @@ def route_feed(
     audit_path: str,
     routed_path: str,
     drop_empty: bool = False,
+    errors_path: str | None = None,
+    log_path: str | None = None,
+    started: str | None = None,
+    ended: str | None = None,
 ) -> DataFrame:
-    """Route one feed's documents (path, body): audit rows and routed documents are written, the day's log returned.
+    """Route one feed's documents (path, body, and error where an archive could not be read); the day's log returned.
 
-    Documents are parsed once and member periods read once; neither passes through the driver.
+    Written are audit rows with all metadata the record has no column of its own for, selected documents whole,
+    documents and archives that could not be read with the error, and the log with its counts as text.  Each
+    table is laid out by run date and feed, and a rerun replaces that part.  Documents are read and parsed once.
     """
-    parsed = documents.parse_documents(bodies, "body", "path")
-    calls = route.gate(route.codes(documents.readable(parsed), drop_empty))
+    whole = bodies.withColumn("document", F.col("body"))
+    earlier = F.col("error") if "error" in bodies.columns else F.lit(None).cast("string")
+    whole = whole.withColumn("_earlier", earlier)
+    parsed = documents.parse_documents(whole, "body", "path")
+    parsed = parsed.withColumn("error", F.coalesce("_earlier", "error")).drop("_earlier")
+    parsed = materialise(route.gate(route.codes(parsed, drop_empty=False)), "parsed")
+    day = {"run_date": F.to_date(F.lit(run_date)), "feed": F.lit(source)}
+    if errors_path:
+        failed = documents.unreadable(parsed).withColumns(day)
+        sinks.replace_parts(failed, errors_path, tuple(day))
+    calls = documents.readable(parsed)
+    if drop_empty:
+        calls = calls.where("has_metadata")
+    calls = calls.drop("has_metadata")
     lobs = enrich.latest_lob(members, enrich.member_keys(calls))
     decided = materialise(rule(enrich.with_finance_lob(calls, lobs)), "decided")
     audited = route.audit_rows(decided, source, run_date)
-    sinks.append_aligned(audited.drop("other_metadata"), audit_path)
+    sinks.replace_parts(audited, audit_path, ("run_date", "source"))
     selected = decided.where("selected").select(
-        "lob", F.to_date(F.lit(run_date)).alias("run_date"), F.lit(source).alias("feed"), "path", "channels"
-    )
+        "lob", *[c.alias(n) for n, c in day.items()], "path", "document", "channels", "language", "mediaId", "status",
+        "dateCreated", "contentType", "other_metadata",
+    )
     sinks.write_routed(selected, routed_path)
-    return audit.daily_log(audited)
+    log = audit.daily_log(audited, by=("selected_lob", "run_date", "source"), started=started, ended=ended)
+    if log_path:
+        sinks.replace_parts(audit.as_text_counts(log), log_path, ("run_date", "source"))
+    return log
+
+
+def route_archives(
+    spark: SparkSession, folder: str, prefix: str, members: DataFrame, rule: Rule, source: str, run_date: str, **paths: object
+) -> DataFrame:
+    """``route_feed`` over the documents in a folder's archives; entries and archives that cannot be read are errors."""
+    entries = archives.read_archives(archives.list_archives(spark, folder, prefix))
+    bodies = entries.select(F.concat_ws("/", "archive", "entry").alias("path"), "body", "error")
+    return route_feed(bodies, members, rule, source, run_date, **paths)
 
 
 def feature_table(
@@ -120,7 +151,9 @@ def answer_prompts(
     ``rewriter`` turns ``rag.rewrite_prompt`` rows into (conv_id, question); without one the last message is asked.
     """
     asked = rewriter(rag.rewrite_prompt(chat)) if rewriter else rag.split_chat(chat)
-    questions = rag.embed(asked.select(F.col("conv_id").alias("query_id"), "question"), "question", embedder)
+    # written once: a rewriter or embedder may be a paid call, or answer differently next time
+    asked = asked.select(F.col("conv_id").alias("query_id"), "question")
+    questions = materialise(rag.embed(asked, "question", embedder), "questions")
     hits = rag.top_k(questions, index, k)
     return rag.prompt(chat, rag.context(hits, index))
 

@@ -16,7 +16,8 @@ from engage.plans.fixtures import (
     table,
     with_ctes,
 )
-from engage.session import materialise
+from engage.plans import jobs
+from engage.session import materialise, shared_dir
 from engage.sources.documents import parse_documents, readable
 
 DECISION = ["call_id", "selected", "reason", "lob"]
@@ -148,6 +149,62 @@ def document_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _routed_job(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Feed A's calls as JSON documents, every eleventh broken and one archive unreadable, through the whole job, twice."""
+    calls = derive(spark, folder, CALLS).where("feed = 'A'")
+    metadata = F.create_map(
+        *[
+            x
+            for code, column in (("CD10", "cd10"), ("CD48", "cd48"), ("CD93", "cd93"), ("CD69", "cd69"), ("org_id", "org_id"),
+                                 ("Direction", "direction"), ("Duration_seconds", "duration"))
+            for x in (F.lit(code), F.col(column))
+        ],
+        F.lit("extra"),
+        F.col("call_id").cast("string"),
+    )
+    body = F.to_json(F.struct(F.lit("en-US").alias("language"), F.lit("done").alias("status"), metadata.alias("metadata")))
+    broken = F.when(F.col("call_id") % 11 == 0, F.substring(body, F.lit(2), F.length(body))).otherwise(body)
+    bodies = calls.select("path", broken.alias("body"), F.lit(None).cast("string").alias("error")).unionByName(
+        spark.createDataFrame([("/in/bad.zip", None, "not a zip file")], "path string, body string, error string")
+    )
+    out = {n: shared_dir(spark, n) for n in ("audit_path", "routed_path", "errors_path", "log_path")}
+    periods = derive(spark, folder, MEMBER_PERIODS)
+    for _ in range(2):
+        jobs.route_feed(
+            bodies, periods, lambda c: _multi(spark, c), "feed-a", "2024-05-06", started="2024-05-06 01:00:00",
+            ended="2024-05-06 02:00:00", **out,
+        )
+    return out
+
+
+def route_feed_audit(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(_routed_job(spark, folder)["audit_path"])
+    return rows.select(
+        "file_location", "is_selected", "selected_lob", "selection_condition", "status", "cd10_skill_id", "direction",
+        "duration_seconds", F.col("other_metadata").getItem("extra").alias("extra"), "run_date", "source",
+    )
+
+
+def route_feed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(_routed_job(spark, folder)["routed_path"])
+    body = F.from_json("document", "status string, metadata map<string,string>")
+    return rows.select(
+        "path", "lob", "feed", "status", body["metadata"]["extra"].alias("extra"), F.map_keys(body["metadata"]).alias("k")
+    ).withColumn("n_codes", F.size("k")).drop("k")
+
+
+def route_feed_errors(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(_routed_job(spark, folder)["errors_path"])
+
+
+def route_feed_log(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(_routed_job(spark, folder)["log_path"])
+    return rows.select(
+        "selected_lob", "source", "total_transcript_count", "inbound_calls_count",
+        F.date_format("global_filter_start", "HH:mm").alias("started"), F.date_format("global_filter_end", "HH:mm").alias("ended"),
+    )
+
+
 LATEST = """
 SELECT subscriber_id || mbr_sfx AS member_id, finance_lob FROM (
   SELECT *, row_number() OVER (PARTITION BY subscriber_id ORDER BY study_period DESC, mbr_sfx, o_orderkey) AS rn FROM member_periods) t WHERE rn = 1
@@ -240,6 +297,13 @@ def _oracle(body: str) -> str:
     return with_ctes(body, **BASE)
 
 
+JOB = {
+    **BASE,
+    "calls": CALLS + " WHERE event_id % 3 = 0",
+    "latest_lob": LATEST.replace("mbr_sfx, o_orderkey", "mbr_sfx, finance_lob NULLS FIRST"),
+    "job": "SELECT * FROM multi WHERE call_id % 11 <> 0",
+}
+
 QUERIES = {
     "latest_lob": latest_lob,
     "member_keys": member_keys,
@@ -254,6 +318,10 @@ QUERIES = {
     "daily_log": daily_log,
     "processed_counts": processed_counts,
     "document_scan": document_scan,
+    "route_feed_audit": route_feed_audit,
+    "route_feed_documents": route_feed_documents,
+    "route_feed_errors": route_feed_errors,
+    "route_feed_log": route_feed_log,
 }
 
 ORACLE = {
@@ -285,6 +353,25 @@ OR left(subscriber_id || mbr_sfx, 11) IN (SELECT member_key FROM gated WHERE mem
        count(*) FILTER (TRY_CAST(duration_seconds AS INT) > 60) AS length_more_than_60seconds
 FROM audited GROUP BY selected_lob, run_date, source"""
     ),
+    "route_feed_audit": with_ctes(
+        """SELECT path AS file_location, CASE WHEN selected THEN 'Yes' ELSE 'No' END AS is_selected, lob AS selected_lob, reason AS selection_condition,
+       'done' AS status, cd10 AS cd10_skill_id, direction, duration AS duration_seconds, CAST(call_id AS VARCHAR) AS extra,
+       DATE '2024-05-06' AS run_date, 'feed-a' AS source FROM job""",
+        **JOB,
+    ),
+    "route_feed_documents": with_ctes(
+        "SELECT path, lob, 'feed-a' AS feed, 'done' AS status, CAST(call_id AS VARCHAR) AS extra, 8 AS n_codes FROM job WHERE selected", **JOB
+    ),
+    "route_feed_errors": with_ctes(
+        """SELECT path, 'not a JSON document' AS error, DATE '2024-05-06' AS run_date, 'feed-a' AS feed FROM calls WHERE call_id % 11 = 0
+UNION ALL SELECT '/in/bad.zip', 'not a zip file', DATE '2024-05-06', 'feed-a'""",
+        **JOB,
+    ),
+    "route_feed_log": with_ctes(
+        """SELECT lob AS selected_lob, 'feed-a' AS source, CAST(count(*) AS VARCHAR) AS total_transcript_count,
+       CAST(count(*) FILTER (TRY_CAST(direction AS INT) = 1) AS VARCHAR) AS inbound_calls_count, '01:00' AS started, '02:00' AS ended FROM job GROUP BY lob""",
+        **JOB,
+    ),
     "processed_counts": """
 SELECT CAST(ts AS DATE) AS processed_date, count(DISTINCT user_id) FILTER (event_type = 'purchase') AS special_count,
        count(DISTINCT user_id) FILTER (event_type NOT IN ('purchase', 'view')) AS other_count

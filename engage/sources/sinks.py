@@ -85,6 +85,20 @@ def append_aligned(df: DataFrame, path: str) -> str:
     return "appended"
 
 
+def replace_parts(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write to a parquet table laid out by ``by``, aligned to its schema; parts written before are replaced."""
+    spark = df.sparkSession
+    clean = sanitize_columns(df)
+    if path_exists(spark, path):
+        known = spark.read.parquet(path).schema
+        kinds = {f.name: f.dataType for f in clean.schema.fields}
+        # a table without rows yet has lost its part columns
+        extra = [T.StructField(c, kinds[c]) for c in by if c not in known.names]
+        clean = align_to_schema(clean, T.StructType([*known.fields, *extra]))
+    writer = clean.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.parquet(path)
+
+
 def write_routed(
     selected: DataFrame, path: str, by: Sequence[str] = ("lob", "run_date", "feed"), mode: str = "overwrite"
 ) -> None:

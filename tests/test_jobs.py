@@ -136,3 +136,31 @@ def test_score_and_log_job(spark, tmp_path):
 def test_read_docs(spark, tmp_path):
     (tmp_path / "one.txt").write_text("line one\nline two")
     assert rag.read_docs(spark, str(tmp_path)).first()["text"] == "line one\nline two"
+
+
+def test_route_feed_keeps_everything_and_reruns_replace(spark, tmp_path):
+    good = dict(Direction="1", Duration_seconds=90.5, CD10="1060", zone="west")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    rows = [("/in/a.json", document(**good), None), ("/in/b.json", "{broken", None), ("/in/z.zip", None, "no zip")]
+    schema = "path string, body string, error string"
+    bodies = spark.createDataFrame(rows, schema).mapInPandas(counted, schema)
+    members = spark.createDataFrame([], "subscriber_id string, mbr_sfx string, finance_lob string, study_period date")
+    lookup = spark.createDataFrame([(1, "Broker", "skill", "1060")], "ord int, lob string, kind string, key string")
+    orgs = spark.createDataFrame([("805001",)], "org_id string")
+    paths = {n: str(tmp_path / n) for n in ("audit_path", "routed_path", "errors_path", "log_path")}
+    for run in (1, 2):
+        jobs.route_feed(bodies, members, lambda c: route.multi_route(c, lookup, orgs), "feed-a", "2024-05-06", **paths)
+        assert reads.value == 3 * run
+    audited = spark.read.parquet(paths["audit_path"]).collect()
+    assert [(r["is_selected"], r["other_metadata"]["zone"]) for r in audited] == [("Yes", "west")]
+    routed = spark.read.parquet(paths["routed_path"]).collect()
+    assert [r["document"] for r in routed] == [document(**good)]
+    failed = {(r["path"], r["error"]) for r in spark.read.parquet(paths["errors_path"]).collect()}
+    assert failed == {("/in/b.json", "not a JSON document"), ("/in/z.zip", "no zip")}
+    assert spark.read.parquet(paths["log_path"]).count() == 1

@@ -197,7 +197,7 @@ def test_audit_defaults_and_passthrough(spark):
     known = enrich.with_finance_lob(
         gated, spark.createDataFrame([], "member_id string, finance_lob string")
     )
-    routed = route.ordered_prefix(known, spark.createDataFrame([("1060", "IFP")], "skill_id string, lob_text string"))
+    routed = route.ordered_prefix(known, spark.createDataFrame([(1, "1060", "IFP")], "ord int, skill_id string, lob_text string"))
     rows = {r["filename"]: r for r in route.widen_metadata(route.audit_rows(routed, "feed-c", "2024-02-03"), ["zone"]).collect()}
     first, second = rows["c.json"], rows["d.json"]
     assert (first["language"], first["media_id"], first["length"], first["zone"]) == ("en-US", "", "0", "west")
