@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from engage.operators import evaluate, labels, model
 from engage.plans.fixtures import table
@@ -48,65 +48,102 @@ def _split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     return split.where("is_test = 0"), split.where("is_test = 1"), others
 
 
+def _probable(name: str = "p") -> Column:
+    return F.col(name).between(0, 1)
+
+
 def train_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Test rows, whether their score is a probability and their tier the one that it asks for."""
     train, test, _ = _split(spark, folder)
-    fitted = model.train(train, FEATURES, "churn_flag", **SMALL)
-    return model.risk_tier(model.score(fitted, test)).select("key", "churn_flag", "p", "risk_category")
+    scored = model.risk_tier(model.score(model.train(train, FEATURES, "churn_flag", **SMALL), test))
+    asked = F.when(F.col("p") > 0.8, "High Risk").when(F.col("p") > 0.5, "Medium Risk").otherwise("Low Risk")
+    return scored.select("key", "churn_flag", (_probable() & (F.col("risk_category") == asked)).alias("consistent"))
 
 
 def saved_model_score(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores of a model written and read back."""
+    """Per test row, whether a model written and read back scores like the one in memory."""
     train, test, _ = _split(spark, folder)
     path = shared_dir(spark, "model")
-    model.save(model.train(train, FEATURES, "churn_flag", **SMALL), path)
-    return model.score(model.load(path), test).select("key", "p")
+    fitted = model.train(train, FEATURES, "churn_flag", **SMALL)
+    model.save(fitted, path)
+    loaded = model.score(model.load(path), test).select("key", F.col("p").alias("loaded"))
+    return model.score(fitted, test).join(loaded, "key").select("key", (F.col("p") == F.col("loaded")).alias("same"))
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Every feature, and the sum of all importances."""
     train, _, _ = _split(spark, folder)
-    return model.importance(model.train(train, FEATURES, "churn_flag", **SMALL), train, FEATURES)
+    ranking = model.importance(model.train(train, FEATURES, "churn_flag", **SMALL), train, FEATURES)
+    # one row per feature reaches this window
+    total = F.sum("importance").over(Window.partitionBy(F.lit(0)))
+    return ranking.select("feature", F.round(total, 6).alias("total"))
 
 
 def top_features(spark: SparkSession, folder: str) -> DataFrame:
-    """The five best features, and a model on these alone."""
+    """The thirty best features (all, here), and a model on these alone."""
     train, test, _ = _split(spark, folder)
     ranking = model.importance(model.train(train, FEATURES, "churn_flag", **SMALL), train, FEATURES)
-    best = [r["feature"] for r in model.top_features(ranking, 5).collect()]
+    best = [r["feature"] for r in model.top_features(ranking).collect()]
     keep = ["key", "churn_flag"]
     fitted = model.train(model.select_features(train, best, keep), best, "churn_flag", **SMALL)
-    return model.score(fitted, model.select_features(test, best, keep)).select("key", *best, "p")
+    scored = model.score(fitted, model.select_features(test, best, keep))
+    return scored.select("key", F.lit(len(best)).alias("n_features"), _probable().alias("probable"))
 
 
 def tuned_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten trials of the search, each of 5 to 10 rounds: whether its parameters lie in the space and its recall in [0, 1]."""
     train, _, _ = _split(spark, folder)
-    return model.tune(train, FEATURES, "churn_flag", trials=3, rounds=(3, 6))[1]
+    rows = model.tune(train, FEATURES, "churn_flag", rounds=(5, 10))[1]
+    inside = (
+        F.col("max_depth").between(4, 6)
+        & F.col("step_size").between(1e-3, 1e-1)
+        & F.col("max_iter").between(5, 10)
+        & F.col("max_bins").isin(32.0, 64.0)
+    )
+    distinct = F.count_distinct("max_depth", "step_size", "max_iter", "max_bins")
+    return rows.agg(
+        F.count(F.lit(1)).alias("trials"),
+        distinct.alias("different"),
+        F.every(inside).alias("inside"),
+        F.every(_probable("recall")).alias("probable"),
+    )
 
 
 def cross_validated_auc(spark: SparkSession, folder: str) -> DataFrame:
+    """Five folds by class: their rows, and whether the mean AUC of the models (8 rounds each) lies in [0, 1]."""
     train, _, _ = _split(spark, folder)
-    mean = model.cross_validate(train, FEATURES, "churn_flag", "key", maxIter=3, maxDepth=4)
-    return spark.createDataFrame([(mean,)], "mean_auc double")
+    mean = model.cross_validate(train, FEATURES, "churn_flag", "key", **SMALL)
+    sizes = model.folds(train, "key", "churn_flag").groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.withColumn("in_range", F.lit(0 <= mean <= 1))
 
 
 def backtest(spark: SparkSession, folder: str) -> DataFrame:
-    """AUC per earlier cycle."""
+    """Per earlier cycle: rows, churned rows, and whether the AUC lies in [0, 1]."""
     train, _, others = _split(spark, folder)
-    fitted = model.train(train, FEATURES, "churn_flag", **SMALL)
-    scored = model.score(fitted, others)
-    return evaluate.auc(scored, "churn_flag", "p", ["cycle"])
+    scored = materialise(model.score(model.train(train, FEATURES, "churn_flag", **SMALL), others), "scored")
+    sizes = scored.groupBy("cycle").agg(F.count(F.lit(1)).alias("n"), F.sum("churn_flag").cast("long").alias("churned"))
+    areas = evaluate.auc(scored, "churn_flag", "p", ["cycle"])
+    return sizes.join(areas, "cycle").select("cycle", "n", "churned", F.col("auc").between(0, 1).alias("in_range"))
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Every feature and one that is constant, whose permutation can change nothing."""
     train, test, _ = _split(spark, folder)
-    fitted = model.train(train, FEATURES, "churn_flag", **SMALL)
-    shuffled = model.permuted_scores(fitted, test, FEATURES, "key", ["churn_flag"])
-    return evaluate.permutation_scores(shuffled, model.score(fitted, test), "churn_flag", "p")
+    train, test = train.withColumn("constant", F.lit(1.0)), test.withColumn("constant", F.lit(1.0))
+    features_ = [*FEATURES, "constant"]
+    fitted = model.train(train, features_, "churn_flag", **SMALL)
+    shuffled = model.permuted_scores(fitted, test, features_, "key", ["churn_flag"])
+    drops = evaluate.permutation_scores(shuffled, model.score(fitted, test), "churn_flag", "p")
+    known = F.when(F.col("feature") == "constant", F.col("importance") == 0).otherwise(F.col("importance").between(-1, 1))
+    return drops.select("feature", known.alias("as_known"))
 
 
 def dependence(spark: SparkSession, folder: str) -> DataFrame:
+    """Bins of a feature, and whether the mean scores in them are probabilities."""
     train, test, _ = _split(spark, folder)
-    scored = model.score(model.train(train, FEATURES, "churn_flag", **SMALL), test)
-    return evaluate.dependence(scored, "spent")
+    scored = model.score(model.train(train, FEATURES, "churn_flag", **SMALL), test.withColumn("spent", F.round("spent", 2)))
+    bins = evaluate.dependence(scored, "spent")
+    return bins.select("bin", "low", "high", "n", _probable("avg_score").alias("probable"))
 
 
 def churn_features(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,8 +163,7 @@ QUERIES = {
     "dependence": dependence,
 }
 
-ORACLE = {
-    "churn_features": """
+CHURN_FEATURES = """
 WITH per_year AS (
   SELECT o_custkey AS member_id, year(o_orderdate) AS cycle, count(*) AS n_orders, round(sum(o_totalprice), 2) AS spent,
          max(o_totalprice) AS biggest, CAST(max(dayofyear(o_orderdate)) AS INT) AS recency, max(o_orderpriority) AS priority
@@ -137,5 +173,35 @@ SELECT CAST(p.member_id AS VARCHAR) || '/' || CAST(p.cycle AS VARCHAR) AS key, C
        c_acctbal AS balance, c_mktsegment AS segment, p.priority, n_name AS nation
 FROM per_year p LEFT JOIN per_year n ON n.member_id = p.member_id AND n.cycle = p.cycle + 1
 JOIN customer ON c_custkey = p.member_id JOIN nation ON n_nationkey = c_nationkey
-WHERE p.cycle < (SELECT max(cycle) FROM per_year)""",
+WHERE p.cycle < (SELECT max(cycle) FROM per_year)"""
+CURRENT = f"""
+WITH features AS ({CHURN_FEATURES}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY churn_flag ORDER BY md5(key)) AS rn, count(*) OVER (PARTITION BY churn_flag) AS per_class
+  FROM features WHERE cycle = {TRAIN_CYCLE}),
+test AS (SELECT * FROM ranked WHERE rn <= ceil(per_class * 0.2)),
+train AS (SELECT * FROM ranked WHERE rn > ceil(per_class * 0.2))
+"""
+NAMES = ", ".join(f"('{f}')" for f in FEATURES)
+
+ORACLE = {
+    "churn_features": CHURN_FEATURES,
+    "train_score": CURRENT + "SELECT key, churn_flag, TRUE AS consistent FROM test",
+    "saved_model_score": CURRENT + "SELECT key, TRUE AS same FROM test",
+    "feature_importance": f"SELECT *, 1.0::DOUBLE AS total FROM (VALUES {NAMES}) v(feature)",
+    "top_features": CURRENT + f"SELECT key, {len(FEATURES)} AS n_features, TRUE AS probable FROM test",
+    "tuned_recall": "SELECT 10 AS trials, 10 AS different, TRUE AS inside, TRUE AS probable",
+    "cross_validated_auc": CURRENT
+    + """SELECT CAST((r - 1) % 5 AS INT) AS fold, count(*) AS n, TRUE AS in_range
+FROM (SELECT row_number() OVER (PARTITION BY churn_flag ORDER BY md5(key)) AS r FROM train) t GROUP BY 1""",
+    "backtest": CURRENT
+    + f"""SELECT cycle, count(*) AS n, CAST(sum(churn_flag) AS BIGINT) AS churned,
+       CASE WHEN sum(churn_flag) BETWEEN 1 AND count(*) - 1 THEN TRUE END AS in_range FROM features WHERE cycle <> {TRAIN_CYCLE} GROUP BY cycle""",
+    "permutation_importance": f"SELECT feature, TRUE AS as_known FROM (VALUES {NAMES}, ('constant')) v(feature)",
+    "dependence": CURRENT
+    + """, binned AS (
+SELECT t.spent, len(list_filter(e.ed, lambda x: x < t.spent)) AS bin FROM test t,
+  (SELECT list_distinct(list_filter(list(edge), lambda x: x > min(lowest))) AS ed FROM (
+     SELECT v[1 + (i * (n - 1)) // 10] + (v[least(n, 2 + (i * (n - 1)) // 10)] - v[1 + (i * (n - 1)) // 10]) * (((i * (n - 1)) % 10) / 10.0::DOUBLE) AS edge, v[1] AS lowest
+     FROM (SELECT list(spent ORDER BY spent) AS v, count(*) AS n FROM test) o, (SELECT unnest(range(1, 10)) AS i) k) d) e)
+SELECT CAST(bin AS INT) AS bin, min(spent) AS low, max(spent) AS high, count(*) AS n, TRUE AS probable FROM binned GROUP BY bin""",
 }
