@@ -145,6 +145,7 @@ def answer_prompts(
     embedder: PipelineModel | Callable,
     rewriter: Callable[[DataFrame], DataFrame] | None = None,
     k: int = 3,
+    digits: int = 12,
 ) -> DataFrame:
     """Prompts for a batch of conversations over an index of embedded chunks.
 
@@ -154,7 +155,7 @@ def answer_prompts(
     # written once: a rewriter or embedder may be a paid call, or answer differently next time
     asked = asked.select(F.col("conv_id").alias("query_id"), "question")
     questions = materialise(rag.embed(asked, "question", embedder), "questions")
-    hits = rag.top_k(questions, index, k)
+    hits = rag.top_k(questions, index, k, digits=digits)
     return rag.prompt(chat, rag.context(hits, index))
 
 

@@ -12,7 +12,7 @@ from engage.operators import audit, merge, rag, score
 from engage.operators.ranking import one_row
 from engage.plans import jobs
 from engage.plans.fixtures import derive, table, with_ctes
-from engage.session import shared_dir
+from engage.session import materialise, shared_dir
 from engage.sources import archives, documents, folders, sinks
 from engage.streaming import index_sync, pickup
 
@@ -102,6 +102,28 @@ def sync_index(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"))
 
 
+def sync_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """An index through three snapshots: all documents; some cut to their first window and some gone; one back again."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    shorter = F.when(F.col("doc_id") % 5 == 0, F.array_join(F.slice(words, 1, 100), " ")).otherwise(F.col("text"))
+    cut = docs.withColumn("text", shorter)
+    chunked = lambda d: rag.chunk(d).select("chunk_id", "doc_id", "chunk_ix", "chunked_text")
+    waves = [docs, cut.where("doc_id % 7 <> 0"), cut.where("doc_id % 7 <> 0 or doc_id = 7")]
+    index, before = shared_dir(spark, "index"), None
+    embedder = rag.fit_embedder(chunked(docs), "chunked_text", 64)
+    for number, wave in enumerate(waves):
+        after = materialise(chunked(wave), "wave")
+        rows = index_sync.sync_changes(spark, before, after, index, number, embedder)
+        before = after
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_ix", "chunked_text"))), lambda c: c["chunked_text"])
+    return rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("chunks"),
+        F.count_if(F.size("embedding") == 64).alias("embedded"),
+        F.md5(F.array_join(texts, "|")).alias("text_hash"),
+    )
+
+
 def routed_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Write events by type and day, write one part again, and read all back."""
     events = table(spark, folder, "events").select(
@@ -219,6 +241,7 @@ QUERIES = {
     "lagged_folder": lagged_folder,
     "stream_new": stream_new,
     "sync_index": sync_index,
+    "sync_changes": sync_changes,
     "routed_sink": routed_sink,
     "append_aligned": append_aligned,
     "read_archives": read_archives,
@@ -273,6 +296,13 @@ WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) - CASE event
         """SELECT doc_id, CAST(1 + greatest(0, ceil((n - 128) / 96.0)) AS BIGINT) AS chunks FROM t WHERE n > 0""",
         t="SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS n FROM documents",
     ),
+    "sync_changes": with_ctes(
+        """SELECT doc_id, count(*) AS chunks, count(*) AS embedded, md5(string_agg(chunk, '|' ORDER BY ix)) AS text_hash
+FROM (SELECT doc_id, ix, array_to_string(list_slice(tok, ix * 96 + 1, ix * 96 + 128), ' ') AS chunk FROM windows) c GROUP BY doc_id""",
+        words="SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS tok FROM documents WHERE doc_id % 7 <> 0 OR doc_id = 7",
+        tokens="SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN tok[1:100] ELSE tok END AS tok FROM words",
+        windows="SELECT doc_id, tok, unnest(range(0, 1 + CAST(greatest(0, ceil((len(tok) - 128) / 96.0)) AS BIGINT))) AS ix FROM tokens WHERE len(tok) > 0",
+    ),
     "routed_sink": "SELECT event_type AS lob, CAST(ts AS DATE) AS run_date, 'A' AS feed, count(*) AS n FROM events GROUP BY 1, 2",
     "append_aligned": """SELECT s_suppkey AS id, s_name AS full_name, s_acctbal AS bal FROM supplier
 UNION ALL SELECT c_custkey, NULL, c_acctbal FROM customer""",

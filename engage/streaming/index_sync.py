@@ -8,9 +8,13 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from engage.operators.merge import change_feed
 from engage.operators.rag import embed
+from engage.session import materialise
+from engage.sources.sinks import path_exists
 from engage.streaming.pickup import BATCH, new_files, run_available, write_batch
 
+GONE = "is_deleted"
 CHUNK_SCHEMA = "chunk_id long, doc_id long, chunk_ix int, chunked_text string"
 
 
@@ -35,11 +39,41 @@ def sync_index(
     return read_index(spark, index)
 
 
-def read_index(spark: SparkSession, index: str) -> DataFrame:
-    """Latest row per chunk id.  Spark keeps one row per id and partition before the shuffle."""
-    latest = Window.partitionBy("chunk_id").orderBy(F.desc(BATCH))
-    rows = spark.read.parquet(index).withColumn("_rn", F.row_number().over(latest))
-    return rows.where("_rn = 1").drop("_rn", BATCH)
+def sync_changes(
+    spark: SparkSession,
+    before: DataFrame | None,
+    after: DataFrame,
+    index: str,
+    batch_id: int,
+    embedder: PipelineModel | Callable[[pd.Series], list],
+) -> DataFrame:
+    """Bring the index from one snapshot of the chunk table to the next and return its current rows.
+
+    Only chunks that are new or changed are embedded; chunks that are gone leave a tombstone.  ``batch_id`` numbers the
+    snapshot: a rerun replaces its own batch.
+    """
+    old = after.limit(0) if before is None else before
+    changes = materialise(change_feed(old, after, "chunk_id"), "changes")
+    kept = embed(changes.where("change_type <> 'delete'"), "chunked_text", embedder).withColumn(GONE, F.lit(False))
+    gone = changes.where("change_type = 'delete'").withColumn(GONE, F.lit(True))
+    both = kept.drop("change_type").unionByName(gone.drop("change_type"), allowMissingColumns=True)
+    write_batch(index)(both, batch_id)
+    return read_index(spark, index)
+
+
+def read_index(spark: SparkSession, index: str, schema: str = CHUNK_SCHEMA + ", embedding array<double>") -> DataFrame:
+    """Latest row per chunk id, without tombstones.  Spark keeps one row per id and partition before the shuffle.
+
+    Of a chunk id twice in one batch the text with the smaller hash counts.  An index not yet written is empty.
+    """
+    if not path_exists(spark, index):
+        return spark.createDataFrame([], schema)
+    stored = spark.read.option("mergeSchema", "true").parquet(index)
+    latest = Window.partitionBy("chunk_id").orderBy(F.desc(BATCH), F.xxhash64("chunked_text"))
+    rows = stored.withColumn("_rn", F.row_number().over(latest)).where("_rn = 1")
+    if GONE in stored.columns:
+        rows = rows.where(~F.coalesce(F.col(GONE), F.lit(False)))
+    return rows.drop("_rn", BATCH, GONE)
 
 
 def compact(spark: SparkSession, index: str, out: str) -> None:

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from engage.sources.sinks import path_exists
+
 BATCH = "batch_id"
 
 
@@ -59,6 +61,9 @@ def stream_new(
     """
     stream = new_files(spark, folder, schema, glob, fmt)
     run_available(transform(stream) if transform else stream, write_batch(out), checkpoint)
+    if not path_exists(spark, out):  # nothing has come yet
+        empty = spark.createDataFrame([], schema)
+        return transform(empty) if transform else empty
     return spark.read.parquet(out).drop(BATCH)
 
 

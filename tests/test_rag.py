@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from engage.operators import rag, score
+from engage.plans import jobs
 from tests.conftest import as_set
 
 
@@ -65,7 +66,7 @@ def test_top_k_both_ways_equal_brute_force(spark, kind, skip):
     q, c = df.withColumnRenamed("id", "query_id"), df.withColumnRenamed("id", "chunk_id")
     want = brute(base, base, 3, skip)
     few = rag.top_k(q, c, 3, skip_self=skip)
-    many = rag.top_k(q, c, 3, skip_self=skip, max_queries=20, pivots=10, block=40)
+    many = rag.top_k(q, c, 3, skip_self=skip, block_bytes=2000)
     assert as_set(few.select("query_id", "rank", "chunk_id")) == want
     assert as_set(many.select("query_id", "rank", "chunk_id")) == want
 
@@ -75,7 +76,7 @@ def test_top_k_with_fewer_chunks_than_k_and_with_none(spark):
     c = spark.createDataFrame([(5, [1.0, 0.0]), (6, [0.0, 1.0])], "chunk_id long, embedding array<double>")
     assert as_set(rag.top_k(q, c, 3)) == {(1, 1, 5, 1.0), (1, 2, 6, 0.0)}
     assert rag.top_k(q, c.limit(0), 3).isEmpty() and rag.top_k(q.limit(0), c, 3).isEmpty()
-    assert rag.top_k(q, c.limit(0), 3, max_queries=0).isEmpty()
+    assert rag.top_k(q, c.limit(0), 3, block_bytes=8).isEmpty()
 
 
 CHAT = [
@@ -159,3 +160,16 @@ def test_scorer_reports_failures(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "")], "transcript string, body string")
     rows = as_set(score.unpack(score.apply_scorer(df, scorer, "transcript", "body", "2024-01-01")).drop("body"))
     assert rows == {("a", "Success", None, "2024-01-01", "/out/a"), ("b", "Failed", "empty", "2024-01-01", None)}
+
+
+def test_questions_are_embedded_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def embedder(texts):
+        seen.add(len(texts))
+        return [[float(len(t)), 1.0] for t in texts]
+
+    chat = spark.createDataFrame([(1, 0, "user", "a bc"), (2, 0, "user", "d")], "conv_id long, turn long, role string, text string")
+    index = spark.createDataFrame([(7, "x", [1.0, 0.0]), (8, "y", [0.0, 1.0])], "chunk_id long, chunked_text string, embedding array<double>")
+    assert jobs.answer_prompts(chat, index, embedder, k=1).count() == 4
+    assert seen.value == 2
