@@ -171,3 +171,9 @@ def test_null_keys_and_labels_are_ranked_and_split(spark):
         assert ranking.hash_rank(df, "k", ["y"], digits=digits).count() == 900
     assert model.folds(df, "k", "y").count() == 900
     assert model.stratified_split(df, "k", "y").where("is_test is null").count() == 0
+
+
+def test_a_missed_bracket_is_widened(spark):
+    df = spark.range(0, 30000, 1, 5).selectExpr("cast(id as double) x")
+    found = ranking.quantile_values(df, ["x"], [0.25, 0.5], slack=1e-9, accuracy=100)
+    assert found == {"x": {0.25: 7499.0, 0.5: 14999.0}}
