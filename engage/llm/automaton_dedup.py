@@ -24,7 +24,7 @@ from engage.llm.repeats import Spec, remove_repeats
 WINDOW = 35
 GRAM = 8
 SHARD_WORDS = 60_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 SPACE = re.compile(rb"[\x20\x09-\x0D]+")
 
 

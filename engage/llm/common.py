@@ -47,3 +47,10 @@ def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
 def binary_lists(column) -> list[bytes]:
     """A string or binary Arrow column as bytes objects; nulls are empty."""
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]
+
+
+def in_parts(batches, rows: int = 256):
+    """Arrow batches cut into runs of a few rows, so that what Python makes of whole texts stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -36,6 +36,7 @@ PER_ENTRY = 2
 SIMILARITY = 0.8
 PAIRED = 12
 BINS = 64
+CACHED_WORDS = 200_000
 SEED = 1
 BLOCK = 1 << 14
 CELLS = 1 << 17
@@ -46,7 +47,7 @@ class WordHashes(dict):
     """32-bit hashes of words as four bytes; a bounded cache."""
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 500_000:
+        if len(self) > CACHED_WORDS:
             self.clear()
         self[word] = value = zlib.crc32(word).to_bytes(4, "little")
         return value

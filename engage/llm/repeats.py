@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from engage.llm.common import binary_lists
+from engage.llm.common import binary_lists, in_parts
 from engage.session import materialise
 
 BLOCK = 1 << 20
@@ -128,7 +128,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def occurrences(batches, spec: Spec):
     """Every document's different pieces: (doc, anchor, piece, windows, n, starts)."""
-    for batch in batches:
+    for batch in in_parts(batches):
         rows: list[list] = [[], [], [], [], [], []]
         docs = batch.column("doc").to_pylist()
         for doc, text in zip(docs, binary_lists(batch.column("text")), strict=True):
@@ -156,9 +156,9 @@ def occurrences(batches, spec: Spec):
 
 def opened(batches, spec: Spec):
     """Documents with their gated pieces: digest of the whole, and the text where there are any."""
-    for batch in batches:
+    for batch in in_parts(batches):
         n_units, digests, texts = [], [], []
-        for text, gated in zip(binary_lists(batch.column("text")), batch.column("gated").to_pylist(), strict=True):
+        for text, gated in zip(binary_lists(batch.column("text")), batch.column("gated").is_valid().to_pylist(), strict=True):
             symbols = spec.symbols(text)
             n_units.append(len(symbols))
             digests.append(hashlib.sha256(spec.joined(text, np.ones(len(symbols), bool))).hexdigest())
@@ -178,7 +178,7 @@ def opened(batches, spec: Spec):
 
 def contents(batches, spec: Spec):
     """The symbols of every piece that a shard needs, one copy each; of a unique piece with its document and place."""
-    for batch in batches:
+    for batch in in_parts(batches):
         rows: list[list] = [[], [], [], [], [], [], [], []]
         columns = [batch.column(c).to_pylist() for c in ("doc", "gated")]
         for doc, gated, text in zip(*columns, binary_lists(batch.column("text")), strict=True):
@@ -292,7 +292,7 @@ def located(key, members: pd.DataFrame, hits: pd.DataFrame, spec: Spec) -> pd.Da
 
 def cut(batches, spec: Spec):
     """The documents without what repeats."""
-    for batch in batches:
+    for batch in in_parts(batches):
         spans, kept, digests = [], [], []
         columns = [batch.column(c).to_pylist() for c in ("text", "gated", "marks", "n_units", "whole_sha256")]
         for text, gated, marks, n, whole in zip(*columns, strict=True):
