@@ -112,11 +112,37 @@ def pipeline(
     return Pipeline(stages=[*stages, learner])
 
 
-def train(df: DataFrame, features: Sequence[str], label: str, weighted: bool = True, **params: object) -> PipelineModel:
+def train(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    weighted: bool = True,
+    validate_by: str | None = None,
+    validate_share: float = 0.2,
+    **params: object,
+) -> PipelineModel:
+    """Fit the pipeline.  With ``validate_by``, a key, a share of each class is kept for validation, and boosting stops
+    where it improves no more there (``validationTol``)."""
     rows = with_class_weights(df, label, "_weight") if weighted else df
+    if validate_by:
+        split = stratified_split(rows.drop("is_test"), validate_by, label, validate_share)
+        # every round reads these rows again
+        rows = materialise(split.withColumn("_validation", F.col("is_test") == 1).drop("is_test"), "fit")
+        params = {"validationIndicatorCol": "_validation", **params}
     return pipeline(rows, features, label, "_weight" if weighted else None, **params).fit(rows)
 
 
+def best_params(trials: DataFrame) -> dict[str, object]:
+    """The learner's parameters of the trial with the best recall."""
+    best = trials.orderBy(F.desc("recall"), "trial").first()
+    return {
+        "maxDepth": int(best["max_depth"]),
+        "stepSize": best["step_size"],
+        "maxIter": int(best["max_iter"]),
+        "maxBins": int(best["max_bins"]),
+    }
+
+
 def score(model: PipelineModel, df: DataFrame, name: str = "p") -> DataFrame:
     """Add the probability of class 1."""
     scored = model.transform(df)

@@ -118,18 +118,41 @@ def trim_and_derive(features: DataFrame) -> DataFrame:
 
 
 def train_and_backtest(
-    table: DataFrame, features: Sequence[str], key: str, cycle: str, train_cycle: object, label: str = "churn_flag", **params: object
+    table: DataFrame,
+    features: Sequence[str],
+    key: str,
+    cycle: str,
+    train_cycle: object,
+    label: str = "churn_flag",
+    trials: int = 0,
+    rounds: tuple[int, int] = (500, 1000),
+    folds: int = 0,
+    **params: object,
 ) -> tuple[PipelineModel, dict[str, DataFrame]]:
-    """Fit on the training cycle, keep the best 30 features, evaluate on its held-out rows and on other cycles."""
+    """Search, fit on the training cycle, keep the best 30 features, evaluate on held-out rows and other cycles.
+
+    ``trials`` parameter sets of ``rounds`` boosting rounds are compared on a validation share of the training rows (0: the
+    given parameters stand); the fit weighs the classes and stops early on a share of its own; ``folds`` > 0 adds
+    the mean AUC over so many folds.  Columns that name geography or providers are left out.
+    """
+    usable = set(prep.drop_matching(table.select(*features)).columns)
+    features = [f for f in features if f in usable]
     current, others = model.split_cycles(table, cycle, train_cycle)
     split = materialise(model.stratified_split(current, key, label), "split")
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
+    reports = {}
+    if trials:
+        reports["trials"] = model.tune(train, features, label, trials, rounds)[1]
+        params = {**params, **model.best_params(reports["trials"])}
     ranking = model.importance(model.train(train, features, label, weighted=False, **params), train, features)
     best = [r["feature"] for r in model.top_features(ranking).collect()]
-    fitted = model.train(train, best, label, **params)
+    fitted = model.train(train, best, label, validate_by=key, **params)
+    if folds:
+        mean = model.cross_validate(train, best, label, key, folds, **params)
+        reports["folds"] = table.sparkSession.createDataFrame([(mean,)], "mean_auc double")
     holdout = materialise(model.score(fitted, test).select(key, label, "p"), "holdout")
     earlier = materialise(model.score(fitted, others).select(key, cycle, label, "p"), "backtest")
-    reports = {"importance": ranking, "tiers": model.tier_counts(model.risk_tier(earlier))}
+    reports |= {"importance": ranking, "tiers": model.tier_counts(model.risk_tier(earlier))}
     for name, rows, threshold in (("holdout", holdout, 0.5), ("backtest", earlier, 0.8)):
         reports[f"{name}_auc"] = evaluate.auc(rows, label)
         reports[f"{name}_ks"] = evaluate.ks(rows, label)
@@ -149,11 +172,16 @@ def answer_prompts(
 ) -> DataFrame:
     """Prompts for a batch of conversations over an index of embedded chunks.
 
-    ``rewriter`` turns ``rag.rewrite_prompt`` rows into (conv_id, question); without one the last message is asked.
+    ``rewriter`` turns the messages of ``rag.rewrite_prompt`` into (conv_id, question), one per conversation, or the job
+    fails; without one the last message is asked.
     """
     asked = rewriter(rag.rewrite_prompt(chat)) if rewriter else rag.split_chat(chat)
     # written once: a rewriter or embedder may be a paid call, or answer differently next time
-    asked = asked.select(F.col("conv_id").alias("query_id"), "question")
+    message = F.concat(F.lit("more than one question for conversation "), F.col("query_id").cast("string"))
+    once = F.when(F.col("n") > 1, F.raise_error(message).cast("string")).otherwise(F.col("question"))
+    asked = asked.groupBy(F.col("conv_id").alias("query_id")).agg(
+        F.any_value("question").alias("question"), F.count(F.lit(1)).alias("n")
+    ).select("query_id", once.alias("question"))
     questions = materialise(rag.embed(asked, "question", embedder), "questions")
     hits = rag.top_k(questions, index, k, digits=digits)
     return rag.prompt(chat, rag.context(hits, index))

@@ -73,8 +73,10 @@ def test_churn_job(spark):
     assert 0 < kept < 2 * n and {"pcp_distance", "tenure"} <= set(ready.columns)
     keyed = ready.withColumn("key", F.concat_ws("/", "member_id", "open_enrollment_cycle"))
     fitted, reports = jobs.train_and_backtest(
-        keyed, ["age", "income", "pcp_distance", "tenure", "zipcode"], "key", "open_enrollment_cycle", "2023", maxIter=3, maxDepth=3
+        keyed, ["age", "income", "pcp_distance", "tenure", "zipcode"], "key", "open_enrollment_cycle", "2023",
+        trials=2, rounds=(3, 4), folds=2,
     )
+    assert reports["trials"].count() == 2 and 0.5 < reports["folds"].first()[0] <= 1
     assert reports["holdout_auc"].first()[0] > 0.9 and reports["backtest_auc"].first()[0] > 0.9
     best = reports["importance"].orderBy(F.desc("importance")).first()["feature"]
     assert best in ("age", "tenure")
@@ -93,7 +95,7 @@ def test_answer_job(spark):
     rows = jobs.answer_prompts(chat, index, embedder, k=1).orderBy("position").collect()
     assert "Passage: claims denied again\n" in rows[0]["content"]
     assert [(r["role"], r["content"]) for r in rows[1:]] == [("user", "hi"), ("user", "claims denied")]
-    shout = lambda asked: asked.where("branch = 'rewrite'").select("conv_id", F.lit("premiums").alias("question"))
+    shout = lambda asked: asked.where("branch = 'rewrite'").groupBy("conv_id").agg(F.lit("premiums").alias("question"))
     rows = jobs.answer_prompts(chat, index, embedder, rewriter=shout, k=1).orderBy("position").collect()
     assert "Passage: plan premiums rise\n" in rows[0]["content"]
 

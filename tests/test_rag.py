@@ -93,24 +93,23 @@ def chat(spark):
 def test_split_and_history(spark):
     assert as_set(rag.split_chat(chat(spark))) == {(1, "why?", 3, 3), (2, "alone", 0, 0), (3, "what?", 1, 1)}
     assert as_set(rag.chat_history(chat(spark))) == {(1, 1, "user", "hi"), (1, 2, "assistant", "hello")}
-    assert as_set(rag.format_history(rag.chat_history(chat(spark)))) == {(1, 0, "user: hi\nassistant: hello")}
 
 
 def test_rewrite_branches(spark):
-    rows = {r["conv_id"]: (r["branch"], r["search_text"]) for r in rag.rewrite_prompt(chat(spark), template="H={chat_history};Q={question}").collect()}
+    rows = as_set(rag.rewrite_prompt(chat(spark), template="H={chat_history};Q={question}"))
     assert rows == {
-        1: ("rewrite", "H=user: hi\nassistant: hello;Q=why?"),
-        2: ("question", "alone"),
-        3: ("rewrite", "H=;Q=what?"),
+        (1, -1, "rewrite", "system", "H="), (1, 1, "rewrite", "user", "hi"), (1, 2, "rewrite", "assistant", "hello"),
+        (1, 3, "rewrite", "user", ";Q=why?"),
+        (2, 0, "question", "user", "alone"),
+        (3, -1, "rewrite", "system", "H="), (3, 1, "rewrite", "user", ";Q=what?"),
     }
 
 
-def test_long_history_continues_in_parts(spark):
-    rows = [(1, t, "user", f"m{t}") for t in range(10)]
+def test_long_chats_have_the_same_shape(spark):
+    rows = [(1, t, "user", f"m{t}") for t in range(2501)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    parts = rag.format_history(rag.chat_history(df), turns=4).orderBy("part").collect()
-    assert [r["part"] for r in parts] == [0, 1, 2]
-    assert "\n".join(r["history"] for r in parts) == "\n".join(f"user: m{t}" for t in range(9))
+    messages = rag.rewrite_prompt(df).orderBy("position").collect()
+    assert [r["content"] for r in messages[1:-1]] == [f"m{t}" for t in range(2500)] and messages[0]["role"] == "system"
 
 
 def test_context_and_prompt(spark):
