@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "engage", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library is tuned for; the cluster's own settings win where given."""
+    """A session with the settings the library is tuned for; what the cluster's own configuration sets stays as it is."""
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -23,8 +27,12 @@ def build_session(app: str = "engage", master: str | None = None, **conf: str) -
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    # what the launcher has put into spark-defaults or on the command line is in the system properties by now
+    running = SparkContext._active_spark_context
+    given = running.getConf() if running else None
     for key, value in settings.items():
-        builder = builder.config(key, value)
+        if key in conf or given is None or not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
@@ -42,8 +50,36 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever store it is in."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes in this block go when it ends; what is to stay must be written before that."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back, so later jobs start from the table."""
+    """Write a frame once to the shared folder and read it back, so later jobs start from the table.
+
+    The table stays until the session's shared folder is cleared, or until the end of a ``scratch`` block around it.
+    """
     path = shared_dir(df.sparkSession, name)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -119,3 +119,17 @@ def test_index_follows_the_chunks(spark, tmp_path):
     fresh = str(tmp_path / "fresh")
     index_sync.compact(spark, index, fresh)
     assert as_set(index_sync.read_index(spark, fresh).select("doc_id", "chunked_text")) == {(1, "a b"), (2, "longer"), (3, "d")}
+
+
+def test_scratch_tables_go_at_the_end(spark):
+    import os
+
+    from engage.session import materialise, scratch, shared_dir
+
+    with scratch(spark):
+        held = materialise(spark.range(3), "held")
+        path = held.inputFiles()[0].removeprefix("file://").removeprefix("file:").rsplit("/", 1)[0]
+        out = shared_dir(spark, "out")
+        held.write.parquet(out)
+        assert os.path.exists(path)
+    assert not os.path.exists(path) and spark.read.parquet(out).count() == 3
