@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.llm import exact_dedup, langid, mixing, near_dedup, packing
 from engage.llm.common import read
-from engage.session import materialise
+from engage.session import delete, scratch, shared_dir
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage wrote on the way goes when its result stands, and that with the next."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = shared_dir(spark, name.replace(" ", "-"))
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
