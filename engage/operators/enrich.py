@@ -154,15 +154,16 @@ def optional(
     return joined.select(*kept, *[F.coalesce(F.col(c), default(v)).alias(c) for c, v in defaults.items()])
 
 
-def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
+def flatten(df: DataFrame, sep: str = "_", explode: Sequence[str] | None = None) -> DataFrame:
     """Turn nested structs into columns and arrays into rows, level by level, until neither is left.
 
-    An empty or missing array keeps its row with NULLs.
+    An empty or missing array keeps its row with NULLs.  Arrays side by side multiply rows; ``explode`` names the ones
+    to turn into rows (by their flattened names), and the others stay arrays.
     """
     while True:
         nested = {f.name: f.dataType for f in df.schema.fields}
         structs = [n for n, t in nested.items() if isinstance(t, T.StructType)]
-        arrays = [n for n, t in nested.items() if isinstance(t, T.ArrayType)]
+        arrays = [n for n, t in nested.items() if isinstance(t, T.ArrayType) and (explode is None or n in explode)]
         if structs:
             columns = []
             for name, kind in nested.items():

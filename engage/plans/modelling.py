@@ -150,7 +150,15 @@ def churn_features(spark: SparkSession, folder: str) -> DataFrame:
     return features(spark, folder).withColumn("spent", F.round("spent", 2))
 
 
+def cycle_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Which rows train, and the features that a model would see of them."""
+    current, others = model.split_cycles(features(spark, folder), "cycle", TRAIN_CYCLE)
+    parts = current.withColumn("part", F.lit("train")).unionByName(others.withColumn("part", F.lit("backtest")))
+    return model.select_features(parts, ["n_orders", "segment"], ["key", "part"])
+
+
 QUERIES = {
+    "cycle_split": cycle_split,
     "churn_features": churn_features,
     "train_score": train_score,
     "saved_model_score": saved_model_score,
@@ -184,6 +192,8 @@ train AS (SELECT * FROM ranked WHERE rn > ceil(per_class * 0.2))
 NAMES = ", ".join(f"('{f}')" for f in FEATURES)
 
 ORACLE = {
+    "cycle_split": f"""WITH features AS ({CHURN_FEATURES})
+SELECT key, CASE WHEN cycle = {TRAIN_CYCLE} THEN 'train' ELSE 'backtest' END AS part, n_orders, segment FROM features""",
     "churn_features": CHURN_FEATURES,
     "train_score": CURRENT + "SELECT key, churn_flag, TRUE AS consistent FROM test",
     "saved_model_score": CURRENT + "SELECT key, TRUE AS same FROM test",

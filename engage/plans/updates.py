@@ -13,7 +13,7 @@ from engage.operators.ranking import one_row
 from engage.plans import jobs
 from engage.plans.fixtures import derive, table, with_ctes
 from engage.session import materialise, shared_dir
-from engage.sources import archives, documents, folders, sinks
+from engage.sources import archives, documents, folders, lookups, sinks
 from engage.streaming import index_sync, pickup
 
 TARGET = "SELECT CASE WHEN c_custkey % 40 = 1 THEN NULL ELSE c_custkey END AS k, c_acctbal AS bal, c_mktsegment AS seg FROM customer"
@@ -197,6 +197,27 @@ def work_list(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lookup_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """Skill and queue sheets written as csv from suppliers and customers, read back into one lookup."""
+    out = shared_dir(spark, "sheets")
+    supplier, customer = table(spark, folder, "supplier"), table(spark, folder, "customer")
+    skills = supplier.selectExpr("concat(' ', s_suppkey, '.0') Skill", "s_nationkey % 2 part")
+    skills.where("part = 0").select("Skill").write.option("header", True).csv(f"{out}/ma")
+    skills.where("part = 1").select("Skill").write.option("header", True).csv(f"{out}/medical")
+    customer.selectExpr("concat('Q', c_custkey) Queue_Name").write.option("header", True).csv(f"{out}/queues")
+    sheets = {lob: lookups.read_sheet(spark, f"{out}/{name}") for lob, name in (("MA", "ma"), ("MediCal", "medical"))}
+    found = lookups.skill_lookup(sheets)
+    return found.unionByName(lookups.queue_lookup(lookups.read_sheet(spark, f"{out}/queues"), found))
+
+
+def read_docs(spark: SparkSession, folder: str) -> DataFrame:
+    """Customer names written as text files, read as whole documents, and their lines."""
+    out = shared_dir(spark, "texts")
+    table(spark, folder, "customer").select("c_name").repartition(6, "c_name").write.text(out)
+    lines = rag.read_docs(spark, out).select(F.explode(F.split("text", "\n")).alias("line"))
+    return lines.where("line <> ''")
+
+
 def _score(name: int, text: str) -> str:
     if not text.isascii():
         raise ValueError(f"message {name} is not ascii")
@@ -245,6 +266,8 @@ QUERIES = {
     "routed_sink": routed_sink,
     "append_aligned": append_aligned,
     "read_archives": read_archives,
+    "lookup_sheets": lookup_sheets,
+    "read_docs": read_docs,
     "work_list": work_list,
     "apply_scorer": apply_scorer,
     "stage_log": stage_log,
@@ -307,6 +330,10 @@ FROM (SELECT doc_id, ix, array_to_string(list_slice(tok, ix * 96 + 1, ix * 96 +
     "append_aligned": """SELECT s_suppkey AS id, s_name AS full_name, s_acctbal AS bal FROM supplier
 UNION ALL SELECT c_custkey, NULL, c_acctbal FROM customer""",
     "read_archives": "SELECT conv_id, turn, role, text, CAST(NULL AS VARCHAR) AS error FROM conversations",
+    "lookup_sheets": """SELECT CASE WHEN s_nationkey % 2 = 0 THEN 1 ELSE 2 END AS ord, CASE WHEN s_nationkey % 2 = 0 THEN 'MA' ELSE 'MediCal' END AS lob,
+       'skill' AS kind, '106' || CAST(s_suppkey AS VARCHAR) AS key FROM supplier
+UNION ALL SELECT 2, 'MediCal', 'queue', 'Q' || CAST(c_custkey AS VARCHAR) FROM customer""",
+    "read_docs": "SELECT c_name AS line FROM customer",
     "work_list": "SELECT '2001-08-01' AS start_date, 1 AS retry_count, TRUE AS is_json, count(*) > 0 AS found FROM labels",
     "apply_scorer": """SELECT id, CASE WHEN ok THEN 'Success' ELSE 'Failed' END AS status,
        CASE WHEN NOT ok THEN 'message ' || id || ' is not ascii' END AS error_message, '2001-08-01' AS processed_date,

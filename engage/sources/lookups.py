@@ -36,9 +36,17 @@ def skill_lookup(sheets: Mapping[str, DataFrame], column: str = "Skill", prefix:
     return out
 
 
-def queue_lookup(sheet: DataFrame, ord: int, lob: str = "MediCal", column: str = "Queue_Name") -> DataFrame:
+def queue_lookup(
+    sheet: DataFrame, ord: int | DataFrame, lob: str = "MediCal", column: str = "Queue_Name"
+) -> DataFrame:
+    """Queue names of one line of business: rows (ord, lob, kind, key).
+
+    ``ord`` is its place among the lines of business, or the skill lookup that gives it, so that a call found by both its skill and
+    its queue is one row.
+    """
+    place = F.lit(ord) if isinstance(ord, int) else ord.where(F.col("lob") == lob).agg(F.min("ord")).scalar()
     return sheet.where(F.col(column).isNotNull()).select(
-        F.lit(ord).alias("ord"), F.lit(lob).alias("lob"), F.lit("queue").alias("kind"), F.col(column).alias("key")
+        place.alias("ord"), F.lit(lob).alias("lob"), F.lit("queue").alias("kind"), clean_key(column).alias("key")
     )
 
 
