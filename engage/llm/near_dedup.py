@@ -314,7 +314,8 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity:
     near = sides.mapInArrow(lambda batches: possible(batches, similarity), "a long, b long")
     near = materialise(near, "pairs")
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    words = rows.join(ids, "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
+    # the ids are hashed and the texts not sorted, whatever the sizes
+    words = rows.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
     words = materialise(words, "words")
     both = near.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
     return both.mapInArrow(lambda batches: verified(batches, similarity), "a long, b long").distinct()
