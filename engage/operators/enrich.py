@@ -103,11 +103,12 @@ def join_dim(
     right_key: str | None = None,
     unique: bool = False,
     matched: str | None = None,
+    max_rows: int = 100_000,
 ) -> DataFrame:
     """Left join a dimension on a shared or a differently named key.
 
     Repeated dimension keys fan rows out unless ``unique`` keeps one row per key.  The dimension is broadcast
-    only after its rows were counted.  ``matched`` names an optional hit flag.
+    only after its rows were counted, up to ``max_rows``.  ``matched`` names an optional hit flag.
     """
     right_key = right_key or left_key
     side = dim.where(F.col(right_key).isNotNull())
@@ -117,7 +118,7 @@ def join_dim(
         side = side.withColumn(left_key, F.col(right_key))
     if matched:
         side = side.withColumn(matched, F.lit(1))
-    out = join_lookup(df, side, left_key, "left")
+    out = join_lookup(df, side, left_key, "left", max_rows)
     return out.withColumn(matched, F.coalesce(matched, F.lit(0))) if matched else out
 
 

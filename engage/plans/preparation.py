@@ -69,6 +69,34 @@ def drop_matching(spark: SparkSession, folder: str) -> DataFrame:
     return prep.drop_matching(upper, also=["TAX"])
 
 
+def join_dims_large(spark: SparkSession, folder: str) -> DataFrame:
+    """An int key against a bigint dimension beyond the bound for broadcasts."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("c_custkey"))
+    customer = table(spark, folder, "customer").select("c_custkey", "c_name")
+    return enrich.join_dim(orders, customer, "c_custkey", matched="known", max_rows=10).withColumn(
+        "c_custkey", F.col("c_custkey").cast("long")
+    )
+
+
+def quantiles_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketched quantiles with rank error 0.01: whether the share of values up to each lies that near."""
+    rows = table(spark, folder, "orders").select("o_totalprice")
+    found = prep.approx_quantile(rows, ["o_totalprice"], [0.05, 0.25, 0.5, 0.95])
+    value = F.col("o_totalprice")
+    near = [
+        F.struct(
+            F.lit(r["column"]).alias("column"),
+            F.lit(r["prob"]).alias("prob"),
+            (
+                (F.avg((value <= r["value"]).cast("int")) >= r["prob"] - 0.01)
+                & (F.avg((value < r["value"]).cast("int")) <= r["prob"] + 0.01)
+            ).alias("near"),
+        )
+        for r in found.collect()  # one row per probability
+    ]
+    return rows.agg(F.array(*near).alias("n")).select(F.inline("n"))
+
+
 def join_dims(spark: SparkSession, folder: str) -> DataFrame:
     """Area dims by shared and differing keys; the provider side repeats its keys, so rows fan out."""
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
@@ -207,6 +235,8 @@ QUERIES = {
     "drop_all_duplicate_columns": drop_all_duplicate_columns,
     "drop_matching": drop_matching,
     "join_dims": join_dims,
+    "join_dims_large": join_dims_large,
+    "quantiles_sketch": quantiles_sketch,
     "union_by_name": union_by_name,
     "fill_constant": fill_constant,
     "fill_blank": fill_blank,
@@ -241,6 +271,9 @@ ORACLE = {
     "join_dims": """SELECT c_custkey, n_name, r_name, s_suppkey, CASE WHEN s_suppkey IS NULL THEN 0 ELSE 1 END AS has_supplier
 FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey
 LEFT JOIN supplier ON s_nationkey = c_nationkey""",
+    "join_dims_large": """SELECT o_orderkey, o_custkey AS c_custkey, c_name, CASE WHEN c_name IS NULL THEN 0 ELSE 1 END AS known
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
+    "quantiles_sketch": "SELECT 'o_totalprice' AS \"column\", p AS prob, TRUE AS near FROM (VALUES (0.05::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.95::DOUBLE)) v(p)",
     "union_by_name": """SELECT s_suppkey AS key, s_name AS name, s_acctbal AS bal FROM supplier
 UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier""",
     "fill_constant": with_ctes(
