@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from engage.llm.common import WHITE, binary_lists, texts
+from engage.llm.common import WHITE, binary_lists, in_parts, texts
 
 TRIE_BYTES = 64 << 20
 
@@ -125,7 +125,7 @@ def digest(key: bytes, hash_bits: int) -> tuple[int, str]:
 
 def digests(batches, hash_bits: int = 64):
     """(doc_id, n_bytes, content_hash, text_sha256) of every row."""
-    for batch in batches:
+    for batch in in_parts(batches):
         keys = [t.translate(None, WHITE) for t in binary_lists(batch.column("text"))]
         hashes = [digest(k, hash_bits) for k in keys]
         yield pa.RecordBatch.from_arrays(
@@ -156,7 +156,7 @@ def terminals(batches, hash_bits: int = 64, budget: int = TRIE_BYTES):
 
     def rows():
         trie = Patricia()
-        for batch in batches:
+        for batch in in_parts(batches):
             ids, lengths = batch.column("doc_id").to_pylist(), batch.column("n_chars").to_pylist()
             for text, doc_id, n in zip(binary_lists(batch.column("text")), ids, lengths, strict=True):
                 trie.insert(text.translate(None, WHITE), rank(n, doc_id), 1)
@@ -186,7 +186,7 @@ def merged(batches, hash_bits: int = 64, budget: int = TRIE_BYTES):
 
     def rows():
         trie = Patricia()
-        for batch in batches:
+        for batch in in_parts(batches):
             values = [batch.column(c).to_pylist() for c in ("key", "n_chars", "keep_id", "n")]
             for key, n_chars, keep_id, n in zip(*values, strict=True):
                 trie.insert(key, rank(n_chars, keep_id), n)

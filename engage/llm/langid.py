@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from engage.llm.common import FOLDS, HELD_OUT, column_bytes, fold_of, held_out
+from engage.llm.common import column_bytes, fold_of, held_out, in_parts
 
 BITS = 15
 DIM = 16
@@ -34,7 +34,7 @@ MAX_LANGS = 200
 CALIBRATION_FOLD = 3
 REJECT = 0.5
 # Bytes of text that are hashed at a time.
-BLOCK = 2 << 20
+BLOCK = 512 << 10
 
 # Lower-case ASCII letters and all bytes of other scripts stay; everything else is a word end.
 KEEP = np.zeros(256, np.uint8)
@@ -73,7 +73,7 @@ def framed(text: bytes) -> np.ndarray:
 
 def features(batches, bits: int = BITS):
     """(doc_id, lang, buckets, counts) of sampled rows."""
-    for batch in batches:
+    for batch in in_parts(batches):
         data, at = column_bytes(batch.column("text"))
         found = [np.unique(grams(framed(data[a:b].tobytes()), bits)[1], return_counts=True) for a, b in zip(at[:-1], at[1:])]
         yield pa.RecordBatch.from_arrays(
@@ -202,7 +202,7 @@ def predicted(text, letters: np.ndarray, model: Model, bits: int = BITS) -> tupl
 
 def scored(batches, model: Model, bits: int = BITS):
     """(doc_id, lang_pred, score) of every row."""
-    for batch in batches:
+    for batch in in_parts(batches):
         letters = np.array(batch.column("letters").to_pylist(), bool)
         langs, score = predicted(batch.column("text"), letters, model, bits)
         yield pa.RecordBatch.from_arrays(
@@ -213,7 +213,7 @@ def scored(batches, model: Model, bits: int = BITS):
 
 def filtered(batches, model: Model, bits: int, reject: float):
     """The rows, as they are, that are not rejected; column ``text`` is the second last, ``letters`` the last."""
-    for batch in batches:
+    for batch in in_parts(batches):
         n = batch.num_columns
         letters = np.array(batch.column(n - 1).to_pylist(), bool)
         _, score = predicted(batch.column(n - 2), letters, model, bits)

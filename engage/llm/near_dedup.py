@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from engage.llm.common import binary_lists, texts
+from engage.llm.common import binary_lists, in_parts, texts
 from engage.llm.components import components
 from engage.session import materialise
 
@@ -127,7 +127,7 @@ def histogram(words: np.ndarray, bins: int = BINS) -> bytes:
 def sketched(batches, k: int, entries: int, per_entry: int):
     factors, shifts = seeds(entries)
     cache = WordHashes()
-    for batch in batches:
+    for batch in in_parts(batches):
         words = [words_of(t, cache) for t in binary_lists(batch.column("text"))]
         classes = [hashlib.blake2b(w.tobytes(), digest_size=8).digest() for w in words]
         yield pa.RecordBatch.from_arrays(
@@ -144,7 +144,7 @@ def sketched(batches, k: int, entries: int, per_entry: int):
 
 def worded(batches):
     cache = WordHashes()
-    for batch in batches:
+    for batch in in_parts(batches):
         words = [words_of(t, cache).tobytes() for t in binary_lists(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.binary())], names=["id", "words"])
 

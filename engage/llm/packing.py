@@ -16,8 +16,6 @@ import gc
 import math
 import os
 import re
-import sys
-import types
 import unicodedata
 import zlib
 
@@ -27,15 +25,15 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from engage.llm.common import texts
+from engage.llm.common import in_parts, texts
 
 CAPACITY = 4096
 END = 2
 LINEAR = 1.0
 QUADRATIC = 1.0 / 2048
 SHARD_BYTES = 8 << 20
-CACHED_WORDS = 400_000
-CACHED_PARTS = 600_000
+CACHED_WORDS = 150_000
+CACHED_PARTS = 200_000
 TEXTS_AT_ONCE = 64
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -60,8 +58,11 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.markers = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        # what was used since the last turnover, and before it
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.old_parts: dict[bytes, bytes] = {}
 
     def cut(self, word: bytes) -> list[bytes]:
         if word.isascii():
@@ -75,17 +76,22 @@ class Words:
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.words) > CACHED_WORDS:
-            self.words.clear()
+            self.words, self.old_words = {}, self.words
         if len(self.parts) > CACHED_PARTS:
-            self.parts.clear()
-        cuts = {w: self.cut(w) for w in words if w not in self.words}
-        new = list({p for parts in cuts.values() for p in parts if p not in self.parts})
+            self.parts, self.old_parts = {}, self.parts
+        words = words - self.words.keys()
+        known = words & self.old_words.keys()
+        self.words.update({w: self.old_words[w] for w in known})
+        cuts = {w: self.cut(w) for w in words - known}
+        parts = {p for found in cuts.values() for p in found} - self.parts.keys()
+        known = parts & self.old_parts.keys()
+        self.parts.update({p: self.old_parts[p] for p in known})
+        new = list(parts - known)
         for part, found in zip(
             new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False), strict=True
         ):
             self.parts[part] = np.array(found.ids, self.kind).tobytes()
-        for word, parts in cuts.items():
-            self.words[word] = b"".join([self.parts[p] for p in parts])
+        self.words.update({w: b"".join([self.parts[p] for p in found]) for w, found in cuts.items()})
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of a few texts."""
@@ -100,15 +106,10 @@ class Words:
 
 
 def tokenised(batches, path: str):
-    # this function travels by value, so what a worker keeps between tasks has a name of its own
-    held = sys.modules.setdefault("_engage_words", types.ModuleType("_engage_words"))
-    words = vars(held).setdefault(path, None) or Words(path)
-    setattr(held, path, words)
+    words = Words(path)
     gc.disable()  # the caches hold no cycles, and walking them costs more than the work
-    for batch in batches:
-        texts_, ids = batch.column("text").to_pylist(), []
-        for start in range(0, len(texts_), TEXTS_AT_ONCE):
-            ids += words.ids(texts_[start : start + TEXTS_AT_ONCE])
+    for batch in in_parts(batches, TEXTS_AT_ONCE):
+        ids = words.ids(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("shard"), pa.array(ids, pa.binary())], names=["doc_id", "shard", "ids"]
         )

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from engage.llm.common import FOLDS, binary_lists, fold_of, held_out, texts
+from engage.llm.common import binary_lists, fold_of, held_out, in_parts, texts
 from engage.session import materialise
 
 FEATURES = 256
@@ -128,7 +128,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def described(batches):
     """(doc_id, stats) of whole texts, and ``label`` where the rows have one."""
-    for batch in batches:
+    for batch in in_parts(batches):
         stats = [np.asarray(describe(t), "<f8").tobytes() for t in binary_lists(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(stats, pa.binary()), batch.column("label")], names=["doc_id", "stats", "label"]
@@ -210,7 +210,7 @@ def quality(docs: DataFrame, labels: DataFrame, model: Scorer | None = None, thr
     model = fit(docs, labels) if model is None else model
 
     def scored(batches):
-        for batch in batches:
+        for batch in in_parts(batches):
             x = np.array([describe(t) for t in binary_lists(batch.column("text"))]).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(model.score(x), pa.float64())], names=["doc_id", "score"]
