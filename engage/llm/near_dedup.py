@@ -4,9 +4,8 @@ Texts are word sequences.  A k-mer is five consecutive words together with how o
 text.  Each of ``ENTRIES`` sketch entries draws the ``PER_ENTRY`` k-mers with the smallest hashes under its seed and
 keeps them in text order, so two texts agree in an entry only where k-mers and their order agree.  Texts with equal
 word sequences are one class from the start.  Classes that agree in an entry are compared, first with the smallest of
-them; of what is then still unconnected, all pairs where up to ``PAIRED`` agreed, and in larger buckets each
-with the smallest of the unconnected, until a round links nothing new.  So a bucket with a third of the corpus costs rows
-in proportion to its size.  A pair is linked when its edit similarity, 1 - distance / longer length in
+them, then all pairs of what is not yet connected: buckets of up to ``PAIRED`` classes by a join, larger ones cut into
+blocks, each pair of blocks compared in one task, which answers with links, never with its pairs.  A pair is linked when its edit similarity, 1 - distance / longer length in
 words, is at least ``SIMILARITY``: histograms of hashed words rule out most pairs by a bound on the distance before any
 text is moved, a chain of common k-mers proves most others, the rest are aligned within a band that widens until the
 distance or its limit fits in it.
@@ -23,6 +22,7 @@ import zlib
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -35,7 +35,10 @@ ENTRIES = 48
 PER_ENTRY = 2
 SIMILARITY = 0.8
 PAIRED = 12
+BLOCK_ROWS = 512
+BLOCK_BYTES = 1 << 22
 BINS = 64
+FINE_BINS = 1024
 CACHED_WORDS = 200_000
 SEED = 1
 BLOCK = 1 << 14
@@ -321,6 +324,55 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity:
     return both.mapInArrow(lambda batches: verified(batches, similarity), "a long, b long").distinct()
 
 
+def within(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Links between two blocks of a bucket, or within one; what is connected is compared no further.
+
+    A pair that meets in several buckets is compared in that of its first common entry only.
+    """
+    entry, i, j = (int(group[c].iloc[0]) for c in ("entry", "i", "j"))
+    ids, block = group["id"].to_numpy(np.int64), group["block"].to_numpy()
+    words = [np.frombuffer(w, "<u4") for w in group["words"]]
+    n = np.array([len(w) for w in words], np.int64)
+    entries = np.array(group["entries"].tolist(), np.int64)
+    root = np.unique(group["c"].to_numpy(np.int64), return_inverse=True)[1]
+    fine = np.stack([np.bincount(w % np.uint32(FINE_BINS), minlength=FINE_BINS) for w in words]).astype(np.int32)
+    coarse = fine.reshape(len(words), -1, BINS).sum(axis=1, dtype=np.int32)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    links = []
+    for at, row in enumerate(left):
+        others = right[at + 1 :] if i == j else right
+        limits = allowed(np.maximum(n[others], n[row]), similarity)
+        others = others[(root[others] != root[row]) & (np.abs(n[others] - n[row]) <= limits)]
+        for counts in (coarse, fine):
+            change = counts[others] - counts[row]
+            least = np.maximum(np.maximum(change, 0).sum(axis=1), np.maximum(-change, 0).sum(axis=1))
+            others = others[least <= allowed(np.maximum(n[others], n[row]), similarity)]
+        shared = (entries[others] == entries[row]).argmax(axis=1)
+        others = others[entries[row][shared] == entry]
+        close = others[similar([(words[row], words[o]) for o in others], similarity)]
+        links += [(ids[row], ids[o]) for o in close]
+        root[np.isin(root, root[close])] = root[row]
+    a, b = np.array(links, np.int64).reshape(-1, 2).T
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def links_within(large: DataFrame, classes: DataFrame, rows: DataFrame, similarity: float, block: int) -> DataFrame:
+    """The links of buckets too large for all their pairs to be rows: (entry, id, n_words, c) in blocks, paired in tasks."""
+    ids = large.select(F.col("id").alias("doc_id")).distinct()
+    words = rows.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
+    facts = materialise(words.join(classes.select("id", "entries"), "id"), "facts")
+    counts = large.groupBy("entry").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n_words") * 4 / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
+    dealt = large.join(counts, "entry").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "entry", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "c"
+    )
+    return dealt.join(facts, "id").groupBy("entry", "i", "j").applyInPandas(
+        lambda group: within(group, similarity), "a long, b long"
+    )
+
+
 def near_dedup(
     docs: DataFrame,
     similarity: float = SIMILARITY,
@@ -328,6 +380,7 @@ def near_dedup(
     entries: int = ENTRIES,
     per_entry: int = PER_ENTRY,
     paired: int = PAIRED,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per document: doc_id, class_id (equal word sequences), component_id, n_words, kept."""
     rows = texts(docs)
@@ -358,34 +411,22 @@ def near_dedup(
     stars = stars.withColumnRenamed("id", "b").where("a <> b").where(fits).select(*pair).distinct()
     tested = materialise(stars, "stars")
     links = materialise(links_of(tested, classes, rows, similarity), "verified")
-    groups = components(links)
-    open_, first = members.select("entry", "id", "n_words", "n"), True
-    while True:
-        # what of a bucket is still apart: its components, less the smallest where only that one is new
-        named = open_.join(groups.withColumnRenamed("node", "id"), "id", "left")
-        named = materialise(named.withColumn("c", F.coalesce("component_id", "id")).drop("component_id"), "named")
-        spans = named.groupBy("entry").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
-        apart = materialise(named.join(spans, "entry").drop("most"), "apart")
-        large = apart.where((F.col("n") > paired) & (F.col("c") > F.col("least")))
-        hubs = large.groupBy("entry").agg(F.min(F.struct("c", "id", "n_words")).alias("hub"))
-        pairs = large.join(hubs, "entry").where("c <> hub.c").select(
-            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n_words").alias("n_a"), F.col("n_words").alias("n_b")
-        )
-        if first:
-            small = apart.where(F.col("n") <= paired)
-            side = lambda s: small.select("entry", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n_words", "c")])
-            both = side("a").join(side("b"), "entry").where("id_a < id_b and c_a <> c_b")
-            pairs = pairs.union(both.selectExpr("id_a a", "id_b b", "n_words_a n_a", "n_words_b n_b"))
-        pairs = pairs.where(fits).select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "rest")
-        if pairs.isEmpty():
-            break
-        more = materialise(links_of(pairs, classes, rows, similarity), "verified")
-        if not first and more.isEmpty():
-            break
-        tested, links = tested.union(pairs), links.union(more)
-        groups = components(links)
-        open_, first = large.select("entry", "id", "n_words", "n"), False
+    groups = components(links).withColumnRenamed("node", "id")
+    # what of a bucket is still apart
+    named = members.select("entry", "id", "n_words", "n").join(groups, "id", "left")
+    named = materialise(named.withColumn("c", F.coalesce("component_id", "id")).drop("component_id"), "named")
+    spans = named.groupBy("entry").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
+    apart = materialise(named.join(spans.select("entry"), "entry"), "apart")
+    small = apart.where(F.col("n") <= paired)
+    side = lambda s: small.select("entry", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n_words", "c")])
+    both = side("a").join(side("b"), "entry").where("id_a < id_b and c_a <> c_b")
+    pairs = both.selectExpr("id_a a", "id_b b", "n_words_a n_a", "n_words_b n_b")
+    pairs = pairs.where(fits).select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
+    more = materialise(links_of(materialise(pairs, "rest"), classes, rows, similarity), "verified")
+    large = apart.where(F.col("n") > paired)
+    if not large.isEmpty():
+        more = more.union(materialise(links_within(large, classes, rows, similarity, block), "within"))
+    groups = components(links.union(more))
     named = classes.select("class", "n_words", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
     return sketches.select("doc_id", "class", "n_words").join(
         named.select("class", "n_words", F.col("id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")),

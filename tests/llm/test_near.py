@@ -131,6 +131,29 @@ def test_groups_equal_brute_force(documents, paired):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("block", [op.BLOCK_ROWS, 50])
+def test_near_copies_around_a_common_passage(documents, block):
+    rng = random.Random(14)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    passage = [rng.choice(vocabulary) for _ in range(140)]
+    rows = [passage + [rng.choice(vocabulary) for _ in range(60)] for _ in range(300)]
+    # copies that differ from their text in 36 of 200 words, most of them in the passage, and near no other text
+    spots = [sorted(rng.sample(range(140), 30)) + sorted(rng.sample(range(140, 200), 6)) for _ in range(40)]
+    for base, places in enumerate(spots):
+        words = list(rows[base])
+        for at in places:
+            words[at] = rng.choice(vocabulary)
+        rows.append(words)
+    got = {r["doc_id"]: r["component_id"] for r in op.near_dedup(documents([(i, " ".join(w)) for i, w in enumerate(rows)]), block=block).collect()}
+    factors, shifts = op.seeds(op.ENTRIES)
+    words = [np.frombuffer(b"".join(map(op.WordHashes().__getitem__, " ".join(w).encode().split())), "<u4") for w in rows]
+    sketches = [set(op.sketch(w, op.K, op.PER_ENTRY, factors, shifts).tolist()) for w in words]
+    meet = [(a, 300 + a) for a in range(40) if sketches[a] & sketches[300 + a]]
+    assert len(meet) >= 15
+    assert all(got[a] == got[b] == a for a, b in meet)
+    assert [i for i in range(40, 300) if got[i] != i] == []
+
+
 def test_special_rows(documents):
     rows = [(1, "a b c d e f g h i j"), (1, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (None, "q r s")]
     got = sorted([(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_dedup(documents(rows)).collect()], key=str)
