@@ -13,6 +13,7 @@ repeated rows are scanned each; an empty table gives an empty result.
 from __future__ import annotations
 
 import string
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,9 +27,6 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Literals of which a text must hold one for any rule or phrase to match.
-GATE = r"(?i)licen|gpl|(?<![a-z0-9])cc(?![a-z0-9])"
-
 # label, literal, name and SPDX words.  In names, ? ends an optional word, / separates choices.
 LICENCES = """
 gpl-1.0        | gnu      | gnu general public license/licence version/v/v1? 1            | gpl 1 0
@@ -119,9 +117,21 @@ def words_pattern(words: str) -> str:
     return "".join(parts)
 
 
-def rule_table() -> list[tuple[str, str, str, str, int, float]]:
-    """(label, literal, literal, pattern, priority, confidence) of every rule, in order.
+def literals(words: str) -> list[str]:
+    """What a text wrapped in spaces must hold for ``words`` to match: fixed words and common beginnings of choices, longest first."""
+    found = []
+    for word in words.split():
+        choices = word.split("/")
+        start = "" if word.endswith("?") else commonprefix(choices)
+        if start:
+            found.append(f" {start} " if len(choices) == 1 else f" {start}")
+    return sorted(dict.fromkeys(found), key=len, reverse=True)
+
+
+def rule_table() -> list[tuple[str, str, str, str, int, float, str]]:
+    """(label, literal, literal, pattern, priority, confidence, words) of every rule, in order.
 
+    The two literals are those of the SQL; the scan goes by ``literals`` of the words.
     A pattern has its first word's leading space cut off where that word is fixed; rules whose first word is optional are
     written out with and without it.
     """
@@ -142,13 +152,26 @@ def rule_table() -> list[tuple[str, str, str, str, int, float]]:
             whole = f"{before} {name}".split()
             while whole[0].endswith("?"):
                 fixed = [whole[0].rstrip("?"), *whole[1:]]
-                rules.append((label, literal, second, words_pattern(" ".join(fixed))[1:], int(priority), float(confidence)))
+                rules.append((label, literal, second, words_pattern(" ".join(fixed))[1:], int(priority), float(confidence), " ".join(fixed)))
                 whole = whole[1:]
-            rules.append((label, literal, second, words_pattern(" ".join(whole))[1:], int(priority), float(confidence)))
+            rules.append((label, literal, second, words_pattern(" ".join(whole))[1:], int(priority), float(confidence), " ".join(whole)))
     return rules
 
 
 RULES = rule_table()
+
+
+def gate() -> str:
+    """Literals of which a text must hold one for any rule or phrase to match."""
+    parts = {"licen": "licen", "gpl": "gpl", " cc ": "(?<![a-z0-9])cc(?![a-z0-9])"}
+    for words in sorted([r[6] for r in RULES] + [phrase for phrase, _ in BASE], key=len):
+        own = literals(words)
+        if not any(part in literal for part in parts for literal in own):
+            parts[own[0].strip()] = own[0].strip()
+    return "(?i)" + "|".join(parts.values())
+
+
+GATE = gate()
 MARK = "\x02"
 
 
@@ -189,14 +212,14 @@ def detections(words: Column) -> Column:
         *[
             F.struct(
                 F.lit(label).alias("label"),
-                F.lit(a).alias("a"),
-                F.lit(b).alias("b"),
+                F.lit(literals(rule_words)[0]).alias("a"),
+                F.lit(literals(rule_words)[:2][-1]).alias("b"),
                 F.lit(pattern).alias("pattern"),
                 F.lit(priority).alias("priority"),
                 F.lit(confidence).alias("confidence"),
                 F.lit(i).alias("rule"),
             )
-            for i, (label, a, b, pattern, priority, confidence) in enumerate(RULES)
+            for i, (label, _, _, pattern, priority, confidence, rule_words) in enumerate(RULES)
         ]
     )
     gated = F.filter(table, lambda r: F.contains(words, r["a"]) & F.contains(words, r["b"]))

@@ -44,6 +44,23 @@ def test_rules_are_many_and_gated():
     assert all(b in ("licen", "gpl", "cc", "spdx") for _, _, b, *_ in op.RULES)
 
 
+def test_rules_match_without_the_word_license(documents):
+    got = scan(
+        documents,
+        "distributed under the Creative Commons Attribution 4.0 International",
+        "released under the two clause BSD",
+        "provided under zero-clause BSD",
+        "subject to the terms of the MIT no attribution",
+    )
+    assert [g[5] for g in got] == ["cc-by", "bsd-2-clause", "0bsd", "mit-0"]
+
+
+def test_every_rule_finds_its_own_words(documents):
+    samples = [" ".join(w.split("/")[0] for w in r[6].split() if not w.endswith("?")) for r in op.RULES]
+    rows = op.scan(documents(list(enumerate(samples)))).select("doc_id", "kept").collect()
+    assert all(r["kept"] and r["kept"][0]["label"] for r in rows) and len(rows) == len(samples)
+
+
 def test_repeated_rows_and_empty_table(documents):
     rows = op.licence_scan(documents([(1, "mit license"), (1, "mit license"), (None, "mit license")])).collect()
     assert len(rows) == 3 and {r["n_base"] for r in rows} == {1}
