@@ -11,6 +11,7 @@ from engage.llm import (
     exact_dedup,
     langid,
     licenses,
+    line_dedup,
     mixing,
     near_dedup,
     packing,
@@ -60,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return automaton_dedup.digest(automaton_dedup.automaton_dedup(read(spark, folder, "documents")))
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.line_dedup(read(spark, folder, "documents")))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -72,9 +77,11 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_line_dedup": op12_line_dedup,
 }
 ORACLE = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op6_licenses": licenses.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
