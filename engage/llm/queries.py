@@ -15,6 +15,7 @@ from engage.llm import (
     mixing,
     near_dedup,
     packing,
+    periodic,
     quality,
     suffix_dedup,
 )
@@ -65,6 +66,10 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(read(spark, folder, "documents")))
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.with_runs(read(spark, folder, "documents"))))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
@@ -78,6 +83,7 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
     "op5_exact_dedup": exact_dedup.ORACLE,
