@@ -16,6 +16,7 @@ from engage.llm import (
     near_dedup,
     packing,
     periodic,
+    prefix_trie,
     quality,
     suffix_dedup,
 )
@@ -62,6 +63,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return automaton_dedup.digest(automaton_dedup.automaton_dedup(read(spark, folder, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.digest(prefix_trie.prefix_trie(prefix_trie.rebuilt(read(spark, folder, "conversations"))))
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(line_dedup.line_dedup(read(spark, folder, "documents")))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_line_dedup": op12_line_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -89,5 +95,6 @@ ORACLE = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op6_licenses": licenses.ORACLE,
     "op8_mixing": mixing.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
 }
