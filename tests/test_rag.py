@@ -5,8 +5,9 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from engage.operators import rag, score
+from engage.operators import nearest, rag, score
 from engage.plans import jobs
+from engage.session import shared_dir
 from tests.conftest import as_set
 
 
@@ -69,6 +70,12 @@ def test_top_k_both_ways_equal_brute_force(spark, kind, skip):
     many = rag.top_k(q, c, 3, skip_self=skip, block_bytes=2000)
     assert as_set(few.select("query_id", "rank", "chunk_id")) == want
     assert as_set(many.select("query_id", "rank", "chunk_id")) == want
+    path = shared_dir(spark, "index")
+    nearest.build_index(c, path, cells=12, block_bytes=2000)
+    found, looked = nearest.search_index(spark, path, q, 3, skip_self=skip, block_bytes=4000)
+    assert as_set(found) == as_set(few)
+    if kind == "clustered":
+        assert looked.count() < 300 * 12 / 2
 
 
 def test_top_k_with_fewer_chunks_than_k_and_with_none(spark):
@@ -79,6 +86,32 @@ def test_top_k_with_fewer_chunks_than_k_and_with_none(spark):
     assert rag.top_k(q, c.limit(0), 3, block_bytes=8).isEmpty()
 
 
+def test_index_reads_few_cells_and_covers_odd_vectors(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(20, 6))[rng.integers(0, 20, 2000)] * 9 + rng.normal(size=(2000, 6)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(3000, [0.0] * 6), (3001, [0.0] * 6), (3002, None)]
+    rows += [(3003, [float("nan")] * 6)]
+    c = spark.createDataFrame(rows, "chunk_id long, embedding array<double>").repartition(4)
+    q = c.where("chunk_id in (5, 6, 3000, 3002, 3003)").withColumnRenamed("chunk_id", "query_id")
+    path = shared_dir(spark, "index")
+    nearest.build_index(c, path, cells=20)
+    found, looked = nearest.search_index(spark, path, q.where("query_id < 10"), 3)
+    assert as_set(found) == as_set(rag.top_k(q.where("query_id < 10"), c, 3))
+    assert looked.count() <= 8
+    found, _ = nearest.search_index(spark, path, q, 3)
+    assert as_set(found) == as_set(rag.top_k(q, c, 3))
+
+
+def test_plan_of_many_blocks_is_that_of_one(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "query_id long, embedding array<double>")
+    c = df.withColumnRenamed("query_id", "chunk_id")
+    nodes = [
+        [line.split("(")[0].strip(" +-:*|") for line in rag.top_k(df, c, block_bytes=b)._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+        for b in (80, 1 << 20)
+    ]
+    assert len(nodes[0]) == len(nodes[1])
+
+
 CHAT = [
     (1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "user", "why?"),
     (2, 0, "user", "alone"),
