@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from engage.operators import nearest, rag, score
+from engage.operators import nearest, rag, score, subwords
 from engage.plans import jobs
 from engage.session import shared_dir
 from tests.conftest import as_set
@@ -43,6 +43,37 @@ def test_chunk_ids_are_stable(spark):
     assert as_set(rag.chunk(df)) == as_set(rag.chunk(df.repartition(9)))
 
 
+ODD = ["", None, "a", "über naïve café", "日本語のテキスト " * 40, "e\u0301" * 90, "<|endoftext|> plain <|endoftext|>", " \n\t x  ", "word " * 500, "🙂🙃" * 80]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("size, overlap", [(128, 0), (128, 32), (5, 2)])
+def test_subword_windows_lie_in_the_text(spark, name, size, overlap):
+    tokenizers = pytest.importorskip("public_tokenizers")
+    vocabulary = open(tokenizers.path(name)).read()
+    df = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").repartition(2)
+    rows = subwords.subword_windows(df, vocabulary, size=size, overlap=overlap).orderBy("doc_id", "chunk_ix").collect()
+    for i, text in enumerate(ODD):
+        own = [r for r in rows if r["doc_id"] == i]
+        assert all(text[r["start"] : r["end"]] == r["chunked_text"] and 0 < r["n_tokens"] <= size for r in own)
+        if not text:
+            assert own == []
+            continue
+        assert own[0]["start"] == 0 and own[-1]["end"] == len(text)
+        # all but the last are full, and without overlap they are the text
+        assert all(r["n_tokens"] == size for r in own[:-1])
+        assert all(b["start"] <= a["end"] for a, b in zip(own, own[1:]))
+        if not overlap:
+            assert "".join(r["chunked_text"] for r in own) == text
+
+
+def test_subword_windows_follow_the_whitespace_rule():
+    for n in range(0, 400):
+        found = subwords.windows_of(n, 128, 32)
+        assert len(found) == (0 if n == 0 else 1 + max(0, -(-(n - 128) // 96)))
+        assert not found or found[-1][1] == n
+
+
 def brute(q, c, k, skip):
     unit = lambda m: m / np.where(np.linalg.norm(m, axis=1, keepdims=True) == 0, 1, np.linalg.norm(m, axis=1, keepdims=True))
     sims = np.round(unit(q) @ unit(c).T, 9)
