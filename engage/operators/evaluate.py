@@ -6,7 +6,7 @@ running totals, so ties are exact and no task sorts the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -209,7 +209,10 @@ def permutation_scores(
 def dependence(
     scored: DataFrame, feature: str, score: str = "p", bins: int = 10, accuracy: int = ACCURACY
 ) -> DataFrame:
-    """Mean score per quantile bin of a numeric feature."""
+    """Mean score of the rows in each quantile bin of a numeric feature.
+
+    Features that go with this one show in it; ``partial_dependence`` and ``accumulated_effects`` ask the model instead.
+    """
     binned = deciles(scored, feature, bins, "bin", accuracy).where("bin is not null")
     return binned.groupBy("bin").agg(
         F.lit(feature).alias("feature"),
@@ -218,3 +221,67 @@ def dependence(
         F.avg(score).alias("avg_score"),
         F.count(F.lit(1)).alias("n"),
     )
+
+
+Scorer = Callable[[DataFrame], DataFrame]
+
+
+def _mean(value: Column, weight: str | None) -> Column:
+    if weight is None:
+        return F.avg(value)
+    return F.try_divide(F.sum(value * F.col(weight)), F.sum(F.when(value.isNotNull(), F.col(weight))))
+
+
+def partial_dependence(
+    scorer: Scorer, df: DataFrame, feature: str, grid: Sequence[float], score: str = "p", weight: str | None = None
+) -> DataFrame:
+    """The mean score if every row had each value of ``grid``: rows (feature, value, avg_score, n).
+
+    ``scorer`` adds the score to a frame, as ``model.score`` or ``boost.score`` do.  Every row is scored once per grid value and
+    means are combined before they are shuffled; a grid is a few dozen values.  ``weight`` weighs the rows.
+    """
+    kind = df.schema[feature].dataType
+    points = F.explode(F.array(*[F.lit(float(v)) for v in grid]))
+    each = df.withColumn("_value", points).withColumn(feature, F.col("_value").cast(kind))
+    found = scorer(each).groupBy(F.col("_value").alias("value")).agg(
+        _mean(F.col(score), weight).alias("avg_score"), F.count(F.lit(1)).alias("n")
+    )
+    return found.select(F.lit(feature).alias("feature"), "value", "avg_score", "n")
+
+
+def accumulated_effects(
+    scorer: Scorer, df: DataFrame, feature: str, edges: Sequence[float], score: str = "p", weight: str | None = None
+) -> DataFrame:
+    """Accumulated local effects: rows (feature, bin, low, high, n, effect).
+
+    A row counts in the bin (low, high] that holds its own value, and is scored at both ends of it; the mean differences, summed from the
+    first bin on, are the effect at ``high``, less its mean over all rows (taken at the middle of bins).  So a feature that goes with this
+    one never meets values it does not go with.  Rows outside the edges or without a value count nowhere.
+    """
+    edges = sorted(float(e) for e in edges)
+    bins = list(zip(edges, edges[1:], strict=False))
+    kind = df.schema[feature].dataType
+    value = F.col(feature).cast("double")
+    # bins are few; the first one holds its lower edge
+    at = F.coalesce(
+        *[F.when((value >= a if i == 0 else value > a) & (value <= b), F.lit(i)) for i, (a, b) in enumerate(bins)]
+    )
+    ends = F.element_at(F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in bins]), F.col("_bin") + 1)
+    rows = df.withColumn("_bin", at).where("_bin is not null").select("*", F.posexplode(ends).alias("_end", "_value"))
+    scored = scorer(rows.withColumn(feature, F.col("_value").cast(kind)))
+    signed = F.col(score) * (2 * F.col("_end") - 1)
+    share = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    found = scored.groupBy(F.col("_bin").alias("bin")).agg(
+        (2 * _mean(signed, weight)).alias("_step"), F.count_if(F.col("_end") == 1).alias("n"), (F.sum(share) / 2).alias("_w")
+    )
+    # one row per bin reaches these windows
+    order = Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    sums = found.withColumn("_sum", F.sum("_step").over(order))
+    middle = (F.col("_sum") - F.col("_step") / 2) * F.col("_w")
+    whole = Window.partitionBy(F.lit(0))
+    effect = F.col("_sum") - F.sum(middle).over(whole) / F.sum("_w").over(whole)
+    table = F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("high")) for a, b in bins])
+    return sums.select(
+        F.lit(feature).alias("feature"), "bin", F.element_at(table, F.col("bin") + 1)["low"].alias("low"),
+        F.element_at(table, F.col("bin") + 1)["high"].alias("high"), "n", effect.alias("effect"),
+    )

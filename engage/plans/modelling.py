@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from engage.operators import evaluate, labels, model
+from engage.operators import boost, evaluate, labels, model, targets
 from engage.plans.fixtures import table
 from engage.session import materialise, shared_dir
 
@@ -146,6 +146,67 @@ def dependence(spark: SparkSession, folder: str) -> DataFrame:
     return bins.select("bin", "low", "high", "n", _probable("avg_score").alias("probable"))
 
 
+def ordered_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Two categories as running churn rates of the rows before."""
+    rows = materialise(features(spark, folder).select("key", "churn_flag", "segment", "nation"), "features")
+    found = targets.ordered_stats(targets.ordered_stats(rows, "segment", "churn_flag", "key"), "nation", "churn_flag", "key")
+    return found.select("key", *[F.round(f"{c}_target", 9).alias(c) for c in ("segment", "nation")])
+
+
+LEAF_ROUNDS, LEAF_STEP, LEAF_L2 = 3, 0.1, 3.0
+
+
+def boosted_leaves(spark: SparkSession, folder: str) -> DataFrame:
+    """Log odds after each of three trees over one flag, whose leaves have the L2 term."""
+    rows = features(spark, folder).select("key", "churn_flag", (F.col("n_orders") > 2).cast("double").alias("busy"))
+    rows = materialise(rows, "busy")
+    fitted = boost.boost(rows, ["busy"], "churn_flag", LEAF_ROUNDS, LEAF_STEP, LEAF_L2, depth=1)
+    each = [
+        boost.score(fitted, rows.select("busy").distinct(), "p", rounds).select(
+            F.lit(rounds).alias("trees"), F.col("busy").cast("int").alias("busy"), F.round(F.log(F.col("p") / (1 - F.col("p"))), 9).alias("log_odds")
+        )
+        for rounds in range(1, LEAF_ROUNDS + 1)
+    ]
+    return each[0].union(each[1]).union(each[2])
+
+
+def halving_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Four trials of up to 8 trees: the trees they got, and the winner's recall counted again from its scores."""
+    train, test, _ = _split(spark, folder)
+    train, test = targets.encode_all(train, [test], TEXT, "churn_flag", "key")
+    names = NUMERIC + [f"{c}_target" for c in TEXT]
+    train = materialise(train.drop("is_test"), "encoded")
+    best, trials = boost.halving_search(train, names, "churn_flag", "key", boost.sample_space(4, (8, 8)))
+    held = model.stratified_split(train, "key", "churn_flag").where("is_test = 1")
+    again = boost.recall(boost.score(best, held), "churn_flag")
+    probable = boost.score(best, test).agg(F.every(_probable()).alias("ok")).scalar()
+    return trials.agg(
+        F.array_sort(F.collect_list("trees")).cast("string").alias("trees"),
+        F.bool_or(F.col("winner") & (F.abs(F.col("recall") - again) < 1e-12)).alias("recall_agrees"),
+        F.every(F.col("l2").between(3, 5)).alias("inside"),
+    ).withColumn("probable", probable)
+
+
+# A score that both engines can form, in which the two features act on each other.
+SCORE = "1 / (1 + exp(-(0.4 * n_orders * (CASE WHEN balance > 0 THEN 1 ELSE 0 END) - balance / 5000)))"
+GRID = (1, 2, 3, 5, 8)
+EDGES = (0, 1, 2, 4, 20)
+
+
+def _scored(df: DataFrame) -> DataFrame:
+    return df.withColumn("p", F.expr(SCORE))
+
+
+def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
+    found = evaluate.partial_dependence(_scored, features(spark, folder), "n_orders", GRID)
+    return found.select("feature", "value", F.round("avg_score", 9).alias("avg_score"), "n")
+
+
+def accumulated_effects(spark: SparkSession, folder: str) -> DataFrame:
+    found = evaluate.accumulated_effects(_scored, features(spark, folder), "n_orders", EDGES)
+    return found.withColumn("effect", F.round("effect", 9))
+
+
 def churn_features(spark: SparkSession, folder: str) -> DataFrame:
     return features(spark, folder).withColumn("spent", F.round("spent", 2))
 
@@ -160,6 +221,11 @@ def cycle_split(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "cycle_split": cycle_split,
     "churn_features": churn_features,
+    "ordered_stats": ordered_stats,
+    "boosted_leaves": boosted_leaves,
+    "halving_search": halving_search,
+    "partial_dependence": partial_dependence,
+    "accumulated_effects": accumulated_effects,
     "train_score": train_score,
     "saved_model_score": saved_model_score,
     "feature_importance": feature_importance,
@@ -189,12 +255,43 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY churn_flag ORDER BY md5(key
 test AS (SELECT * FROM ranked WHERE rn <= ceil(per_class * 0.2)),
 train AS (SELECT * FROM ranked WHERE rn > ceil(per_class * 0.2))
 """
+
+
+def _newton(rounds: int) -> str:
+    """Log odds after so many Newton steps per leaf, as nested SQL over (busy, n, pos)."""
+    if not rounds:
+        return "SELECT 0 AS trees, busy, n, pos, 0.0::DOUBLE AS raw FROM leaf"
+    return f"""SELECT {rounds} AS trees, busy, n, pos, raw + {LEAF_STEP} * (pos - n * p) / (n * p * (1 - p) + {LEAF_L2}) AS raw
+FROM (SELECT *, 1 / (1 + exp(-raw)) AS p FROM ({_newton(rounds - 1)}) r{rounds}) s{rounds}"""
+
+
 NAMES = ", ".join(f"('{f}')" for f in FEATURES)
 
 ORACLE = {
     "cycle_split": f"""WITH features AS ({CHURN_FEATURES})
 SELECT key, CASE WHEN cycle = {TRAIN_CYCLE} THEN 'train' ELSE 'backtest' END AS part, n_orders, segment FROM features""",
     "churn_features": CHURN_FEATURES,
+    "ordered_stats": f"""WITH features AS ({CHURN_FEATURES}),
+s AS (SELECT *, sum(churn_flag) OVER (PARTITION BY segment ORDER BY md5(key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ss,
+  count(*) OVER (PARTITION BY segment ORDER BY md5(key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS sn,
+  sum(churn_flag) OVER (PARTITION BY nation ORDER BY md5(key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ns,
+  count(*) OVER (PARTITION BY nation ORDER BY md5(key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nn FROM features)
+SELECT key, round((coalesce(ss, 0) + 0.5::DOUBLE) / (sn + 1), 9) AS segment, round((coalesce(ns, 0) + 0.5::DOUBLE) / (nn + 1), 9) AS nation FROM s""",
+    "boosted_leaves": f"""WITH features AS ({CHURN_FEATURES}),
+leaf AS (SELECT CASE WHEN n_orders > 2 THEN 1 ELSE 0 END AS busy, count(*) AS n, sum(churn_flag) AS pos FROM features GROUP BY 1)
+"""
+    + " UNION ALL ".join(f"SELECT trees, busy, round(raw, 9) AS log_odds FROM ({_newton(r)}) t{r}" for r in range(1, LEAF_ROUNDS + 1)),
+    "halving_search": "SELECT '[2, 2, 4, 8]' AS trees, TRUE AS recall_agrees, TRUE AS inside, TRUE AS probable",
+    "partial_dependence": f"""WITH features AS ({CHURN_FEATURES})
+SELECT 'n_orders' AS feature, CAST(value AS DOUBLE) AS value, round(avg({SCORE.replace('n_orders', 'value')}), 9) AS avg_score, count(*) AS n
+FROM features, (SELECT unnest({list(GRID)}) AS value) g GROUP BY value""",
+    "accumulated_effects": f"""WITH features AS ({CHURN_FEATURES}),
+edges AS (SELECT unnest(range(0, {len(EDGES) - 1})) AS bin, unnest({list(EDGES[:-1])}) AS low, unnest({list(EDGES[1:])}) AS high),
+steps AS (SELECT bin, low, high, count(*) AS n, avg({SCORE.replace('n_orders', 'high')} - {SCORE.replace('n_orders', 'low')}) AS step
+  FROM features JOIN edges ON n_orders <= high AND (n_orders > low OR bin = 0 AND n_orders = low) GROUP BY 1, 2, 3),
+sums AS (SELECT *, sum(step) OVER (ORDER BY bin) AS total FROM steps)
+SELECT 'n_orders' AS feature, CAST(bin AS INT) AS bin, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, n,
+       round(total - (SELECT sum((total - step / 2) * n) / sum(n) FROM sums), 9) AS effect FROM sums""",
     "train_score": CURRENT + "SELECT key, churn_flag, TRUE AS consistent FROM test",
     "saved_model_score": CURRENT + "SELECT key, TRUE AS same FROM test",
     "feature_importance": f"SELECT *, 1.0::DOUBLE AS total FROM (VALUES {NAMES}) v(feature)",
