@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from engage.operators import labels
 from engage.operators.enrich import join_dim
 from engage.plans.fixtures import MEMBER_SNAPSHOTS, derive, table, with_ctes
+from engage.session import materialise
 
 YEARS = range(1995, 2001)
 
@@ -22,6 +23,27 @@ def member_survival(spark: SparkSession, folder: str) -> DataFrame:
     return labels.survival(derive(spark, folder, MEMBER_SNAPSHOTS), [labels.year_cycle(y) for y in YEARS])
 
 
+# A cycle per month that has snapshots: labelled at its end, decided a month later.
+CYCLES = """
+SELECT CAST(study_end_dt AS STRING) AS label, study_end_dt AS study_end, last_day(study_end_dt + 1) AS future_study_end, study_end_dt + 1 AS active_on
+FROM (SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS study_end_dt FROM orders) m
+"""
+
+
+def survival_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Survival over every month of the snapshots, the months being a table."""
+    cycles = materialise(derive(spark, folder, CYCLES), "cycles")
+    return labels.survival_by_table(derive(spark, folder, MEMBER_SNAPSHOTS), cycles)
+
+
+def cycles_covered(spark: SparkSession, folder: str) -> DataFrame:
+    """How many months' first days lie in each snapshot's eligibility span."""
+    spans = derive(spark, folder, MEMBER_SNAPSHOTS).select("member_id", "study_end_dt", "first_elig_month_start_dt", "last_elig_month_end_dt")
+    cycles = materialise(derive(spark, folder, CYCLES), "cycles")
+    found = labels.contained(spans, cycles, "first_elig_month_start_dt", "last_elig_month_end_dt", "active_on")
+    return found.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("first_elig_month_start_dt").alias("earliest"))
+
+
 def churn_counts(spark: SparkSession, folder: str) -> DataFrame:
     return labels.counts(survival_labels(spark, folder), "cycle").orderBy("cycle", "survival_flag")
 
@@ -63,6 +85,8 @@ FROM labelled GROUP BY cycle
 QUERIES = {
     "survival_labels": survival_labels,
     "member_survival": member_survival,
+    "survival_table": survival_table,
+    "cycles_covered": cycles_covered,
     "churn_counts": churn_counts,
     "churn_rate_by_cycle": churn_rate_by_cycle,
     "avg_churn_rate": avg_churn_rate,
@@ -82,6 +106,22 @@ WHERE markets_lob LIKE '%IFP%' AND study_end_dt = DATE '{y}-12-31'"""
 ORACLE = {
     "survival_labels": with_ctes(LABELS, pairs=PAIRS),
     "member_survival": with_ctes(_UNION, members=MEMBER_SNAPSHOTS),
+    "survival_table": with_ctes(
+        """SELECT DISTINCT m.*, c.label AS open_enrollment_cycle, CAST(CASE WHEN x.member_id IS NULL THEN 0 ELSE 1 END AS INT) AS survival_flag,
+       CAST(CASE WHEN x.member_id IS NULL THEN 1 ELSE 0 END AS INT) AS churn_flag
+FROM members m JOIN cycles c ON m.study_end_dt = c.study_end
+LEFT JOIN (SELECT DISTINCT l.member_id, k.label FROM members l JOIN cycles k ON l.study_end_dt = k.future_study_end
+  AND l.first_elig_month_start_dt <= k.active_on AND l.last_elig_month_end_dt >= k.active_on) x ON x.member_id = m.member_id AND x.label = c.label
+WHERE m.markets_lob LIKE '%IFP%'""",
+        members=MEMBER_SNAPSHOTS,
+        cycles=CYCLES,
+    ),
+    "cycles_covered": with_ctes(
+        """SELECT label, count(*) AS n, min(first_elig_month_start_dt) AS earliest FROM members JOIN cycles
+ON first_elig_month_start_dt <= active_on AND last_elig_month_end_dt >= active_on GROUP BY label""",
+        members=MEMBER_SNAPSHOTS,
+        cycles=CYCLES,
+    ),
     "churn_counts": with_ctes(
         "SELECT cycle, survival_flag, count(*) AS n FROM labelled GROUP BY 1, 2", pairs=PAIRS, labelled=LABELS
     ),

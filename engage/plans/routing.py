@@ -119,6 +119,18 @@ def processed_counts(spark: SparkSession, folder: str) -> DataFrame:
     return audit.processed_counts(scored, "purchase")
 
 
+def united_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct ids per org over all days, from the days' sketches, against the exact count: within 5 %."""
+    scored = table(spark, folder, "events").select(
+        F.col("user_id").alias("id"), F.col("event_type").alias("org_id"), F.to_date("ts").alias("day")
+    )
+    daily = materialise(audit.count_sketches(scored, ["org_id", "day"]), "sketches")
+    exact = scored.groupBy("org_id").agg(F.count_distinct("id").alias("exact"))
+    days = daily.groupBy("org_id").agg(F.count(F.lit(1)).alias("days"))
+    found = audit.united_counts(daily, ["org_id"]).join(exact, "org_id").join(days, "org_id")
+    return found.select("org_id", "days", "exact", (F.abs(F.col("n") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
+
+
 def document_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Calls written as JSON documents, every eleventh one broken, parsed back to their codes."""
     calls = derive(spark, folder, CALLS)
@@ -317,6 +329,7 @@ QUERIES = {
     "routed_counts": routed_counts,
     "daily_log": daily_log,
     "processed_counts": processed_counts,
+    "united_counts": united_counts,
     "document_scan": document_scan,
     "route_feed_audit": route_feed_audit,
     "route_feed_documents": route_feed_documents,
@@ -376,6 +389,8 @@ UNION ALL SELECT '/in/bad.zip', 'not a zip file', DATE '2024-05-06', 'feed-a'"""
 SELECT CAST(ts AS DATE) AS processed_date, count(DISTINCT user_id) FILTER (event_type = 'purchase') AS special_count,
        count(DISTINCT user_id) FILTER (event_type NOT IN ('purchase', 'view')) AS other_count
 FROM events WHERE event_type <> 'view' GROUP BY 1""",
+    "united_counts": """SELECT event_type AS org_id, count(DISTINCT CAST(ts AS DATE)) AS days, count(DISTINCT user_id) AS exact, TRUE AS close
+FROM events GROUP BY 1""",
     "document_scan": with_ctes(
         """SELECT call_id, path, 'en-GB' AS language, '[{"n":' || CAST(call_id AS STRING) || '}]' AS channels, cd10, cd48,
        CAST(NULL AS STRING) AS cd93, duration, CAST(call_id AS STRING) AS extra FROM calls WHERE call_id % 11 <> 0""",

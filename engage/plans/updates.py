@@ -8,13 +8,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from engage.operators import audit, merge, rag, score
+from engage.operators import audit, keyed_table, merge, rag, score
 from engage.operators.ranking import one_row
 from engage.plans import jobs
 from engage.plans.fixtures import derive, table, with_ctes
 from engage.session import materialise, shared_dir
 from engage.sources import archives, documents, folders, lookups, sinks
-from engage.streaming import index_sync, pickup
+from engage.streaming import changes, index_sync, pickup
 
 TARGET = "SELECT CASE WHEN c_custkey % 40 = 1 THEN NULL ELSE c_custkey END AS k, c_acctbal AS bal, c_mktsegment AS seg FROM customer"
 SOURCE = """
@@ -59,6 +59,43 @@ def upsert_large(spark: SparkSession, folder: str) -> DataFrame:
     return merge.upsert(target, derive(spark, folder, SOURCE), "k").withColumn("k", F.col("k").cast("long"))
 
 
+def merge_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """A merge of a few customers' orders into a table of 64 parts, and how few of them it replaced."""
+    path = shared_dir(spark, "parts")
+    keyed_table.create(derive(spark, folder, TARGET), path, "k", 64)
+    source = derive(spark, folder, SOURCE).where("k % 50 = 7 and k < 500")
+    replaced = keyed_table.merge_into(spark, path, source)
+    return keyed_table.read(spark, path).withColumn("few", F.lit(0 < len(replaced) <= 10))
+
+
+def stream_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """An index fed by a stream: all documents; then those cut, gone or back, and no others."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    cut = docs.withColumn("text", F.array_join(F.slice(words, 1, 100), " "))
+    waves = [docs, cut.where("doc_id % 5 = 0 and doc_id % 7 <> 0"), docs.where("doc_id = 7")]
+    gone = [None, "doc_id % 7 = 0", None]
+    source, index, ledger = (shared_dir(spark, n) for n in ("versions", "index", "ledger"))
+    columns = [c.split()[0] for c in changes.VERSIONED.split(", ")]
+    for version, (wave, lost) in enumerate(zip(waves, gone)):
+        rows = rag.chunk(wave).withColumn("version", F.lit(version).cast("long"))
+        if lost:
+            tombs = docs.where(lost).select("doc_id", F.lit(version).cast("long").alias("version"))
+            rows = rows.unionByName(tombs, allowMissingColumns=True)
+        rows.select(*columns).write.mode("append").parquet(source)
+        found = changes.sync_stream(spark, source, index, ledger, _word_counts)
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("chunk_ix", "chunked_text"))), lambda c: c["chunked_text"])
+    return found.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("chunks"),
+        F.sum(F.element_at("embedding", 1)).alias("words"),
+        F.md5(F.array_join(texts, "|")).alias("text_hash"),
+    )
+
+
+def _word_counts(texts: pd.Series) -> list[list[float]]:
+    return [[float(len(text.split())), 1.0] for text in texts]
+
+
 def update_log(spark: SparkSession, folder: str) -> DataFrame:
     """A day's log per line of business and feed, the counts of scored documents merged into the rows they belong to."""
     daily = derive(spark, folder, DAILY)
@@ -256,6 +293,8 @@ QUERIES = {
     "upsert_matched": upsert_matched,
     "upsert_insert": upsert_insert,
     "upsert_large": upsert_large,
+    "merge_parts": merge_parts,
+    "stream_changes": stream_changes,
     "update_log": update_log,
     "change_feed": change_feed,
     "unprocessed": unprocessed,
@@ -292,6 +331,21 @@ FROM (SELECT *, TRUE AS in_t FROM target) t FULL JOIN (SELECT *, TRUE AS in_s FR
         target=TARGET,
         source=SOURCE,
     ),
+    "merge_parts": with_ctes(
+        """SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.in_s THEN s.bal ELSE t.bal END AS bal, CASE WHEN s.in_s THEN s.seg ELSE t.seg END AS seg,
+       TRUE AS few
+FROM (SELECT *, TRUE AS in_t FROM target) t FULL JOIN (SELECT *, TRUE AS in_s FROM source WHERE k % 50 = 7 AND k < 500) s ON s.k = t.k""",
+        target=TARGET,
+        source=SOURCE,
+    ),
+    "stream_changes": with_ctes(
+        """SELECT doc_id, count(*) AS chunks, sum(CAST(n AS DOUBLE)) AS words, md5(string_agg(chunk, '|' ORDER BY ix)) AS text_hash
+FROM (SELECT doc_id, ix, len(list_slice(tok, ix * 96 + 1, ix * 96 + 128)) AS n, array_to_string(list_slice(tok, ix * 96 + 1, ix * 96 + 128), ' ') AS chunk FROM windows) c
+GROUP BY doc_id""",
+        words="SELECT doc_id, list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '') AS tok FROM documents WHERE doc_id % 7 <> 0 OR doc_id = 7",
+        tokens="SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN tok[1:100] ELSE tok END AS tok FROM words",
+        windows="SELECT doc_id, tok, unnest(range(0, 1 + CAST(greatest(0, ceil((len(tok) - 128) / 96.0)) AS BIGINT))) AS ix FROM tokens WHERE len(tok) > 0",
+    ),
     "update_log": with_ctes(
         """SELECT d.lob, d.run_date, d.feed, d.total_transcript_count,
        CASE WHEN d.lob = 'Core Premier' AND c.run_date IS NOT NULL THEN CAST(CASE d.feed WHEN 'S' THEN c.s ELSE c.o END AS VARCHAR) END AS llm_processed_transcript_count,
