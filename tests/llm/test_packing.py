@@ -22,6 +22,21 @@ def test_ids_by_word_equal_ids_of_the_text():
         assert ids == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_runs_equal_ids_of_the_texts(monkeypatch):
+    path = op.default_tokenizer()
+    words, whole = op.Words(path), Tokenizer.from_file(path)
+    rng = random.Random(7)
+    letters = ["́", "̈", "q", "z0", "0", "'", "''s", "ǆ", "ΑΣ", "Ⅷ", "٣", " ", "\r\n", "-", "_", "o'clock", "<|startoftext|>"]
+    texts = ["".join(rng.choice(PIECES + letters) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    # 40 bytes a run cut nearly every text in pieces; 7 parts a call try every border between parts
+    for run, parts in ((8 << 20, 2048), (40, 2048), (8 << 20, 7)):
+        monkeypatch.setattr(op, "RUN_BYTES", run)
+        monkeypatch.setattr(op, "PARTS_AT_ONCE", parts)
+        got = words.ids(texts if run > 40 else texts[:400])
+        assert [np.frombuffer(x, words.kind).tolist() for x in got] == want[: len(got)]
+
+
 def check(rows, pieces, capacity):
     whole = Tokenizer.from_file(op.default_tokenizer())
     want = sorted([(i, [*whole.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows], key=str)
