@@ -127,9 +127,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(batches, spec: Spec):
-    """Every document's different pieces: (doc, anchor, piece, windows, n, starts)."""
+    """Every document's different pieces: (doc, anchor, piece, windows, n, first, starts)."""
     for batch in in_parts(batches):
-        rows: list[list] = [[], [], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], [], []]
         docs = batch.column("doc").to_pylist()
         for doc, text in zip(docs, binary_lists(batch.column("text")), strict=True):
             symbols = spec.symbols(text)
@@ -142,37 +142,15 @@ def occurrences(batches, spec: Spec):
                 piece = signed(xxhash.xxh3_64_intdigest(content[first * width : end]))
                 seen.setdefault((anchor, piece, size), []).append(first)
             for (anchor, piece, size), starts in seen.items():
-                for column, value in zip(rows, (doc, anchor, piece, size, len(starts), np.array(starts, "<i8").tobytes()), strict=True):
+                for column, value in zip(rows, (doc, anchor, piece, size, len(starts), starts[0], np.array(starts, "<i8").tobytes()), strict=True):
                     column.append(value)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(rows[0], pa.struct([("id", pa.string()), ("hash", pa.int64())])),
-                *[pa.array(c, pa.int64()) for c in rows[1:5]],
-                pa.array(rows[5], pa.binary()),
+                *[pa.array(c, pa.int64()) for c in rows[1:6]],
+                pa.array(rows[6], pa.binary()),
             ],
-            names=["doc", "anchor", "piece", "windows", "n", "starts"],
-        )
-
-
-def opened(batches, spec: Spec):
-    """Documents with their gated pieces: digest of the whole, and the text where there are any."""
-    for batch in in_parts(batches):
-        n_units, digests, texts = [], [], []
-        for text, gated in zip(binary_lists(batch.column("text")), batch.column("gated").is_valid().to_pylist(), strict=True):
-            symbols = spec.symbols(text)
-            n_units.append(len(symbols))
-            digests.append(hashlib.sha256(spec.joined(text, np.ones(len(symbols), bool))).hexdigest())
-            texts.append(text if gated else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("doc"),
-                pa.array(n_units, pa.int64()),
-                pa.array(digests, pa.string()),
-                pa.array(texts, pa.binary()),
-                batch.column("gated"),
-            ],
-            names=["doc_id", "doc", "n_units", "whole_sha256", "text", "gated"],
+            names=["doc", "anchor", "piece", "windows", "n", "first", "starts"],
         )
 
 
@@ -180,14 +158,11 @@ def contents(batches, spec: Spec):
     """The symbols of every piece that a shard needs, one copy each; of a unique piece with its document and place."""
     for batch in in_parts(batches):
         rows: list[list] = [[], [], [], [], [], [], [], []]
-        columns = [batch.column(c).to_pylist() for c in ("doc", "gated")]
-        for doc, gated, text in zip(*columns, binary_lists(batch.column("text")), strict=True):
-            wanted = [g for g in gated if g["different"] > 1 and g["sample"]]
-            if not wanted:
-                continue
+        columns = [batch.column(c).to_pylist() for c in ("doc", "wanted")]
+        for doc, wanted, text in zip(*columns, binary_lists(batch.column("text")), strict=True):
             symbols = spec.symbols(text)
             for g in wanted:
-                first = int(np.frombuffer(g["starts"], "<i8")[0])
+                first = g["first"]
                 part = symbols[first : first + g["windows"] - 1 + spec.window]
                 for column, value in zip(
                     rows,
@@ -293,32 +268,31 @@ def located(key, members: pd.DataFrame, hits: pd.DataFrame, spec: Spec) -> pd.Da
 def cut(batches, spec: Spec):
     """The documents without what repeats."""
     for batch in in_parts(batches):
-        spans, kept, digests = [], [], []
-        columns = [batch.column(c).to_pylist() for c in ("text", "gated", "marks", "n_units", "whole_sha256")]
-        for text, gated, marks, n, whole in zip(*columns, strict=True):
-            runs = np.zeros((0, 2), np.int64)
-            if text is not None:
-                change = np.zeros(n + 1, np.int32)
-                for g in gated:
-                    if g["total"] > 1:
-                        starts = np.frombuffer(g["starts"], "<i8")
-                        np.add.at(change, starts, 1)
-                        np.add.at(change, starts + g["windows"] - 1 + spec.window, -1)
-                for mark in marks or ():
-                    starts = np.flatnonzero(np.unpackbits(np.frombuffer(mark["bits"], np.uint8))) + mark["first"]
-                    np.add.at(change, starts, 1)
-                    np.add.at(change, starts + spec.window, -1)
-                removed = np.cumsum(change[:n]) > 0
-                edges = np.flatnonzero(np.diff(np.r_[False, removed, False]))
-                runs = edges.reshape(-1, 2)
+        n_units, spans, kept, digests = [], [], [], []
+        columns = [batch.column(c).to_pylist() for c in ("gone", "marks")]
+        for text, gone, marks in zip(binary_lists(batch.column("text")), *columns, strict=True):
+            symbols = spec.symbols(text)
+            n = len(symbols)
+            n_units.append(n)
+            change = np.zeros(n + 1, np.int32)
+            for g in gone or ():
+                starts = np.frombuffer(g["starts"], "<i8")
+                np.add.at(change, starts, 1)
+                np.add.at(change, starts + g["windows"] - 1 + spec.window, -1)
+            for mark in marks or ():
+                starts = np.flatnonzero(np.unpackbits(np.frombuffer(mark["bits"], np.uint8))) + mark["first"]
+                np.add.at(change, starts, 1)
+                np.add.at(change, starts + spec.window, -1)
+            removed = np.cumsum(change[:n]) > 0
+            runs = np.flatnonzero(np.diff(np.r_[False, removed, False])).reshape(-1, 2)
             spans.append([{"start": int(a), "end": int(b)} for a, b in runs])
-            rest = spec.joined(text, ~removed) if len(runs) else None
-            kept.append(rest)
-            digests.append(whole if rest is None else hashlib.sha256(rest).hexdigest())
+            rest = spec.joined(text, ~removed)
+            kept.append(rest if len(runs) else None)
+            digests.append(hashlib.sha256(rest).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
-                batch.column("n_units"),
+                pa.array(n_units, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array(kept, pa.binary()),
                 pa.array(digests, pa.string()),
@@ -335,44 +309,39 @@ def remove_repeats(docs: DataFrame, spec: Spec) -> DataFrame:
     """One row per document: doc_id, n_units, spans removed, kept (null: all of it) and kept_sha256."""
     rows = keyed(docs)
     doc = "doc struct<id:string,hash:bigint>"
+    keys = ["anchor", "piece", "windows"]
     found = materialise(
         rows.select("doc", "text").mapInArrow(
-            lambda b: occurrences(b, spec), f"{doc}, anchor long, piece long, windows long, n long, starts binary"
+            lambda b: occurrences(b, spec),
+            f"{doc}, anchor long, piece long, windows long, n long, first long, starts binary",
         ),
         "pieces",
     )
-    pieces = found.groupBy("anchor", "piece", "windows").agg(F.sum("n").alias("total"), F.min("doc").alias("holder"))
-    pieces = materialise(pieces, "counts")
+    # read twice in one job, for the pieces and for their anchors, but shuffled once
+    counted = found.groupBy(*keys).agg(F.sum("n").alias("total"), F.min(F.struct("doc", "first")).alias("holder"))
     anchors = (
-        pieces.groupBy("anchor")
+        counted.groupBy("anchor")
         .agg(F.sum("total").alias("seen"), F.count(F.lit(1)).alias("different"))
         .where("seen > 1")
         .drop("seen")
     )
-    repeated = materialise(pieces.join(anchors, "anchor"), "gated")
-    gated = found.join(repeated, ["anchor", "piece", "windows"]).select(
-        "doc", "anchor", "piece", "windows", "starts", "total", "different", (F.col("doc") == F.col("holder")).alias("sample")
-    )
-    lists = gated.groupBy("doc").agg(F.collect_set(F.struct(*gated.columns[1:])).alias("gated"))
-    lists = lists.select(F.col("doc").alias("d"), "gated")
-    kind = lists.schema["gated"].dataType.simpleString()
-    opened_ = materialise(
-        rows.join(lists, F.col("doc") == F.col("d"), "left")
-        .drop("d")
-        .mapInArrow(
-            lambda b: opened(b, spec),
-            f"doc_id long, {doc}, n_units long, whole_sha256 string, text binary, gated {kind}",
-        ),
-        "documents",
+    gated = materialise(counted.join(anchors, "anchor"), "gated")
+    # what goes without a further look, by document
+    gone = found.join(gated.where("total > 1").select(*keys), keys, "left_semi")
+    gone = gone.groupBy(F.col("doc").alias("g")).agg(F.collect_set(F.struct("windows", "starts")).alias("gone"))
+    # and one copy of each piece that shares its anchor with others, from its holder
+    wanted = gated.where("different > 1").groupBy(F.col("holder.doc").alias("w")).agg(
+        F.collect_list(F.struct(*keys, "total", "different", "holder.first")).alias("wanted")
     )
     needed = materialise(
-        opened_.where("text is not null")
+        rows.join(wanted, F.col("doc") == F.col("w"))
+        .drop("w")
         .mapInArrow(
             lambda b: contents(b, spec),
             f"{doc}, anchor long, piece long, windows long, total long, different long, first long, symbols binary",
         )
         # equal rows of one document would give a piece twice
-        .dropDuplicates(["anchor", "piece", "windows"]),
+        .dropDuplicates(keys),
         "contents",
     )
     size = F.col("windows") + spec.window - 1
@@ -404,8 +373,9 @@ def remove_repeats(docs: DataFrame, spec: Spec) -> DataFrame:
         inside = inside.union(outside)
     by_doc = inside.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("first", "bits")).alias("marks"))
     return (
-        opened_.join(by_doc, F.col("doc") == F.col("d"), "left")
-        .drop("d", "doc")
+        rows.join(gone, F.col("doc") == F.col("g"), "left")
+        .join(by_doc, F.col("doc") == F.col("d"), "left")
+        .select("doc_id", "text", "gone", "marks")
         .mapInArrow(
             lambda b: cut(b, spec),
             "doc_id long, n_units long, spans array<struct<start:bigint,end:bigint>>, kept binary, kept_sha256 string",
