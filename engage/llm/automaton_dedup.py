@@ -129,6 +129,10 @@ def as_words(text: bytes) -> np.ndarray:
     return np.frombuffer(b"".join(map(HASHES.__getitem__, text.split())), "<u8")
 
 
+def n_words(text: bytes) -> int:
+    return len(text.split())
+
+
 def kept_words(text: bytes, keep: np.ndarray) -> bytes:
     words = text.split()
     return b" ".join(words if keep.all() else [w for w, k in zip(words, keep.tolist(), strict=True) if k])
@@ -136,7 +140,7 @@ def kept_words(text: bytes, keep: np.ndarray) -> bytes:
 
 def spec(window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, group: int = 1000) -> Spec:
     """The settings for windows of ``window`` words."""
-    return Spec(window, gram, shard_words, as_words, kept_words, repeated, "<u8", group)
+    return Spec(window, gram, shard_words, as_words, n_words, kept_words, repeated, "<u8", group)
 
 
 SPEC = spec()

@@ -41,12 +41,13 @@ RANGE_WINDOWS = 1 << 20
 
 @dataclass(frozen=True)
 class Spec:
-    """What a repeat is: ``symbols`` of a text, ``joined`` turns kept ones back to bytes, ``local`` finds repeats in a shard."""
+    """What a repeat is: ``symbols`` of a text and their ``count``, ``joined`` turns kept ones back to bytes, ``local`` finds repeats in a shard."""
 
     window: int
     gram: int
     shard_symbols: int
     symbols: Callable[[bytes], np.ndarray]
+    count: Callable[[bytes], int]
     joined: Callable[[bytes, np.ndarray], bytes]
     local: Callable[[list[np.ndarray], list[int], int], list[np.ndarray]]
     kind: str
@@ -271,8 +272,7 @@ def cut(batches, spec: Spec):
         n_units, spans, kept, digests = [], [], [], []
         columns = [batch.column(c).to_pylist() for c in ("gone", "marks")]
         for text, gone, marks in zip(binary_lists(batch.column("text")), *columns, strict=True):
-            symbols = spec.symbols(text)
-            n = len(symbols)
+            n = spec.count(text)
             n_units.append(n)
             change = np.zeros(n + 1, np.int32)
             for g in gone or ():

@@ -111,12 +111,12 @@ def kept_bytes(text: bytes, keep: np.ndarray) -> bytes:
     return text if keep.all() else as_bytes(text)[keep].tobytes()
 
 
-SPEC = Spec(WINDOW, GRAM, SHARD_BYTES, as_bytes, kept_bytes, repeated, "u1")
+SPEC = Spec(WINDOW, GRAM, SHARD_BYTES, as_bytes, len, kept_bytes, repeated, "u1")
 
 
 def spec(window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, group: int | None = None) -> Spec:
     """The settings for windows of ``window`` bytes."""
-    return Spec(window, gram, shard_bytes, as_bytes, kept_bytes, repeated, "u1", SPEC.group if group is None else group)
+    return Spec(window, gram, shard_bytes, as_bytes, len, kept_bytes, repeated, "u1", SPEC.group if group is None else group)
 
 
 def suffix_dedup(docs: DataFrame, settings: Spec = SPEC) -> DataFrame:
