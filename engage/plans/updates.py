@@ -13,7 +13,7 @@ from engage.operators.ranking import one_row
 from engage.plans import jobs
 from engage.plans.fixtures import derive, table, with_ctes
 from engage.session import materialise, shared_dir
-from engage.sources import archives, documents, folders, lookups, sinks
+from engage.sources import archive_source, archives, documents, folders, lookups, sinks
 from engage.streaming import changes, index_sync, pickup
 
 TARGET = "SELECT CASE WHEN c_custkey % 40 = 1 THEN NULL ELSE c_custkey END AS k, c_acctbal AS bal, c_mktsegment AS seg FROM customer"
@@ -202,8 +202,8 @@ def _write_zips(entries: DataFrame, folder: str) -> None:
     located.mapInPandas(run, "written long").agg(F.sum("written")).collect()
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations zipped by the tasks into the shared folder, one entry per message, and read back."""
+def _zipped_chat(spark: SparkSession, folder: str) -> str:
+    """Conversations zipped by the tasks into the shared folder, one entry per message."""
     out = shared_dir(spark, "archives")
     chat = table(spark, folder, "conversations")
     _write_zips(
@@ -214,7 +214,21 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         ),
         out,
     )
-    entries = archives.read_archives(archives.list_archives(spark, out, "feed_"))
+    return out
+
+
+def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+    out = _zipped_chat(spark, folder)
+    return _messages(archives.read_archives(archives.list_archives(spark, out, "feed_")))
+
+
+def load_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through the data source."""
+    archive_source.register(spark)
+    return _messages(spark.read.format("archives").option("contains", "feed_").load(_zipped_chat(spark, folder)))
+
+
+def _messages(entries: DataFrame) -> DataFrame:
     parts = F.split("entry", "/")
     return entries.select(
         parts[0].cast("long").alias("conv_id"),
@@ -305,6 +319,7 @@ QUERIES = {
     "routed_sink": routed_sink,
     "append_aligned": append_aligned,
     "read_archives": read_archives,
+    "load_archives": load_archives,
     "lookup_sheets": lookup_sheets,
     "read_docs": read_docs,
     "work_list": work_list,
@@ -383,6 +398,7 @@ FROM (SELECT doc_id, ix, array_to_string(list_slice(tok, ix * 96 + 1, ix * 96 +
     "routed_sink": "SELECT event_type AS lob, CAST(ts AS DATE) AS run_date, 'A' AS feed, count(*) AS n FROM events GROUP BY 1, 2",
     "append_aligned": """SELECT s_suppkey AS id, s_name AS full_name, s_acctbal AS bal FROM supplier
 UNION ALL SELECT c_custkey, NULL, c_acctbal FROM customer""",
+    "load_archives": "SELECT conv_id, turn, role, text, CAST(NULL AS VARCHAR) AS error FROM conversations",
     "read_archives": "SELECT conv_id, turn, role, text, CAST(NULL AS VARCHAR) AS error FROM conversations",
     "lookup_sheets": """SELECT CASE WHEN s_nationkey % 2 = 0 THEN 1 ELSE 2 END AS ord, CASE WHEN s_nationkey % 2 = 0 THEN 'MA' ELSE 'MediCal' END AS lob,
        'skill' AS kind, '106' || CAST(s_suppkey AS VARCHAR) AS key FROM supplier
