@@ -2,15 +2,17 @@
 
 Texts are word sequences.  A k-mer is five consecutive words together with how often it occurred before in the
 text.  Each of ``ENTRIES`` sketch entries draws the ``PER_ENTRY`` k-mers with the smallest hashes under its seed and
-keeps them in text order, so two texts agree in an entry only where k-mers and their order agree.  Texts with equal
-word sequences are one class from the start.  Classes that agree in an entry are compared, first with the smallest of
+keeps them in text order, so two texts agree in an entry only where k-mers and their order agree.  ``SHORTER`` adds
+entries of shorter k-mers, drawn the same way: at the similarity itself, few k-mers of five words survive the edits, and
+in short texts perhaps none.  Texts with equal word sequences are one class from the start.  Classes that agree in an entry are compared, first with the smallest of
 them, then all pairs of what is not yet connected: buckets of up to ``PAIRED`` classes by a join, larger ones cut into
 blocks, each pair of blocks compared in one task, which answers with links, never with its pairs.  A pair is linked when its edit similarity, 1 - distance / longer length in
 words, is at least ``SIMILARITY``: histograms of hashed words rule out most pairs by a bound on the distance before any
 text is moved, a chain of common k-mers proves most others, the rest are aligned within a band that widens until the
 distance or its limit fits in it.
 
-Defined results: null text is empty; empty texts are one class; texts shorter than a k-mer have one, themselves;
+Defined results: null text is empty; empty texts are one class; texts shorter than a k-mer have one, themselves; texts
+of fewer words than any link allows have no entries and are linked by their class alone;
 rows that share a doc_id count as one document; rows without doc_id are not linked beyond their class; an empty
 table gives an empty result.
 """
@@ -33,6 +35,9 @@ from engage.session import materialise
 K = 5
 ENTRIES = 48
 PER_ENTRY = 2
+# (k, entries, longest): entries of shorter k-mers, for texts of at most so many words; the last bound is 60 words over the
+# similarity, so that both texts of a pair have them where one has at most 60.
+SHORTER = ((3, 16, 1 << 62), (2, 32, 75))
 SIMILARITY = 0.8
 PAIRED = 12
 BLOCK_ROWS = 512
@@ -123,22 +128,35 @@ def sketch(words: np.ndarray, k: int, per_entry: int, factors: np.ndarray, shift
     return entry.view(np.int64)
 
 
+def drawn(k: int, entries: int, shorter=SHORTER) -> list:
+    """(k, longest text, factors, shifts) of every kind of entry, in the order in which a text's entries stand."""
+    return [(size, longest, *seeds(n)) for size, n, longest in [(k, entries, 1 << 62), *shorter]]
+
+
+def entries_of(words: np.ndarray, kinds: list, per_entry: int = PER_ENTRY, similarity: float = SIMILARITY) -> np.ndarray:
+    """All sketch entries of a text; one too short to be linked with any other text has none."""
+    n = len(words)
+    if allowed(n + 1, similarity) < 1:
+        return np.zeros(0, np.int64)
+    return np.concatenate([sketch(words, k, per_entry, *draw) for k, longest, *draw in kinds if n <= longest])
+
+
 def histogram(words: np.ndarray, bins: int = BINS) -> bytes:
     return np.minimum(np.bincount(words % np.uint32(bins), minlength=bins), 65535).astype("<u2").tobytes()
 
 
-def sketched(batches, k: int, entries: int, per_entry: int):
-    factors, shifts = seeds(entries)
+def sketched(batches, kinds: list, per_entry: int, similarity: float):
     cache = WordHashes()
     for batch in in_parts(batches):
-        words = [words_of(t, cache) for t in binary_lists(batch.column("text"))]
-        classes = [hashlib.blake2b(w.tobytes(), digest_size=8).digest() for w in words]
+        whole = binary_lists(batch.column("text"))
+        words = [words_of(t, cache) for t in whole]
+        classes = [hashlib.blake2b(b" ".join(t.split()), digest_size=8).digest() for t in whole]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 pa.array([int.from_bytes(c, "big", signed=True) for c in classes], pa.int64()),
                 pa.array([len(w) for w in words], pa.int64()),
-                pa.array([sketch(w, k, per_entry, factors, shifts) for w in words], pa.list_(pa.int64())),
+                pa.array([entries_of(w, kinds, per_entry, similarity) for w in words], pa.list_(pa.int64())),
                 pa.array([histogram(w) for w in words], pa.binary()),
             ],
             names=["doc_id", "class", "n_words", "entries", "bins"],
@@ -333,7 +351,10 @@ def within(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
     ids, block = group["id"].to_numpy(np.int64), group["block"].to_numpy()
     words = [np.frombuffer(w, "<u4") for w in group["words"]]
     n = np.array([len(w) for w in words], np.int64)
-    entries = np.array(group["entries"].tolist(), np.int64)
+    # only texts that stand in no bucket of a later kind end early
+    entries = np.zeros((len(ids), max(map(len, group["entries"]))), np.int64)
+    for row, own in zip(entries, group["entries"], strict=True):
+        row[: len(own)] = own
     root = np.unique(group["c"].to_numpy(np.int64), return_inverse=True)[1]
     fine = np.stack([np.bincount(w % np.uint32(FINE_BINS), minlength=FINE_BINS) for w in words]).astype(np.int32)
     coarse = fine.reshape(len(words), -1, BINS).sum(axis=1, dtype=np.int32)
@@ -379,14 +400,16 @@ def near_dedup(
     k: int = K,
     entries: int = ENTRIES,
     per_entry: int = PER_ENTRY,
+    shorter=SHORTER,
     paired: int = PAIRED,
     block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per document: doc_id, class_id (equal word sequences), component_id, n_words, kept."""
     rows = texts(docs)
+    kinds = drawn(k, entries, shorter)
     sketches = materialise(
         rows.mapInArrow(
-            lambda batches: sketched(batches, k, entries, per_entry),
+            lambda batches: sketched(batches, kinds, per_entry, similarity),
             "doc_id long, class long, n_words long, entries array<long>, bins binary",
         ),
         "sketches",

@@ -48,6 +48,30 @@ def test_repeats_do_not_change_first_occurrences():
     assert set(op.kmers(x).tolist()) <= set(op.kmers(y).tolist())
 
 
+@pytest.mark.parametrize("n, edits", [(5, 1), (8, 1), (10, 1), (10, 2), (15, 3), (20, 4), (30, 6), (60, 12), (75, 15), (76, 15), (120, 24), (200, 40), (1000, 200)])
+def test_entries_meet_at_the_threshold(n, edits):
+    """The largest number of changed words that the similarity allows."""
+    rng = random.Random(n)
+    kinds, met = op.drawn(op.K, op.ENTRIES), 0
+    for _ in range(200):
+        x = [rng.randrange(20_000) for _ in range(n)]
+        y = list(x)
+        for at in rng.sample(range(n), edits):
+            y[at] = 20_000 + rng.randrange(20_000)
+        x, y = np.array(x, np.uint32), np.array(y, np.uint32)
+        assert op.similar([(x, y)]).all()
+        met += bool(set(op.entries_of(x, kinds).tolist()) & set(op.entries_of(y, kinds).tolist()))
+    assert met >= 180
+
+
+def test_every_linkable_length_has_entries():
+    kinds = op.drawn(op.K, op.ENTRIES)
+    sizes = [len(op.entries_of(np.arange(n, dtype=np.uint32), kinds)) for n in range(80)]
+    assert sizes[:4] == [0] * 4 and all(sizes[4:])
+    # "a b c d" and "a b c d e" reach 0.8, no text of three words reaches it with another
+    assert op.similar([(np.arange(4, dtype=np.uint32), np.arange(5, dtype=np.uint32))]).all()
+
+
 def test_sketches_meet_at_the_similarity():
     rng = random.Random(3)
     factors, shifts = op.seeds(op.ENTRIES)
@@ -154,6 +178,26 @@ def test_near_copies_around_a_common_passage(documents, block):
     assert [i for i in range(40, 300) if got[i] != i] == []
 
 
+def test_short_texts_with_a_changed_word(documents):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    rows = []
+    for base in range(60):
+        words = [rng.choice(vocabulary) for _ in range(10 + base % 40)]
+        near = list(words)
+        near[len(words) // 2] = "changed"
+        rows += [(2 * base, " ".join(words)), (2 * base + 1, " ".join(near))]
+    got = {r["doc_id"]: r["component_id"] for r in op.near_dedup(documents(rows)).collect()}
+    assert got == expected(rows)
+
+
+def test_words_whose_checksums_agree_are_different_texts(documents):
+    # a fixed pair of words with the same CRC-32
+    assert op.WordHashes()[b"plumless"] == op.WordHashes()[b"buckeroo"]
+    got = op.near_dedup(documents([(1, "plumless"), (2, "buckeroo"), (3, "plumless ")])).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
 def test_special_rows(documents):
     rows = [(1, "a b c d e f g h i j"), (1, "a b c d e f g h i j"), (None, "a b c d e f g h i j"), (None, "q r s")]
     got = sorted([(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_dedup(documents(rows)).collect()], key=str)
