@@ -6,8 +6,10 @@ classes that share a cell are compared: a cell is cut into blocks of about ``BLO
 blocks is one group, and its cosines are one matrix product in double precision.  A pair that shares several
 cells counts in the first of them only.  A group answers with counts and one link per row, never with its pairs.
 
-Recall was 1.0 against brute force on the test tables (tests/llm); it is not exact by construction, because two
-vectors may share none of their nearest cells.  ``MAX_CELLS`` and ``FIT_ROWS`` bound the centres and the sample.
+Recall is not exact by construction, because two vectors may share none of their nearest cells.  Of random pairs at
+cosine 0.90 to 0.92, the hardest, in random vectors, which have no groups, 99.9 % or more share one of their ``PROBES``
+at 256 and 1,024 cells, with 64 and 384 dimensions (tests/llm).  ``MAX_CELLS`` and ``FIT_ROWS`` bound the centres and
+the sample.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do
 vectors of different lengths; rows that share a vec_id count as one vector's rows; an empty table gives an empty result.
@@ -20,6 +22,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from engage.llm.components import components
@@ -30,7 +33,7 @@ CELL_ROWS = 256
 MAX_CELLS = 2048
 FIT_ROWS = 20_000
 ROUNDS = 6
-PROBES = 4
+PROBES = 8
 APART = 0.8
 BLOCK = 1024
 SEED = 11
@@ -41,15 +44,18 @@ def usable(rows: DataFrame) -> DataFrame:
 
     def keys(batches):
         for batch in batches:
-            out = []
-            for v in batch.column("v").to_pylist():
-                x = None if v is None or any(c is None for c in v) else np.array(v, "<f8")
-                good = x is not None and len(x) and np.isfinite(x).all() and np.any(x != 0)
-                # -0.0 and 0.0 are one number
-                out.append((x + 0.0).tobytes() if good else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array(out, pa.binary())], names=["vec_id", "key"]
-            )
+            v = batch.column("v")
+            sizes = pc.fill_null(pc.list_value_length(v), 0).to_numpy(zero_copy_only=False)
+            at = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+            flat = pc.fill_null(v.flatten().cast(pa.float64()), np.nan)
+            # -0.0 and 0.0 are one number
+            x = flat.to_numpy(zero_copy_only=False) + 0.0
+            total = lambda mask: np.diff(np.r_[0, np.cumsum(mask)][at])  # noqa: E731, B023
+            good = (total(~np.isfinite(x)) == 0) & (total(x != 0) > 0)
+            valid = pa.array(good.tolist(), pa.bool_()).buffers()[1]
+            places = pa.py_buffer((at * 8).astype(np.int64))
+            key = pa.Array.from_buffers(pa.large_binary(), len(good), [valid, places, pa.py_buffer(x.astype("<f8"))])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), key.cast(pa.binary())], names=["vec_id", "key"])
 
     return rows.mapInArrow(keys, "vec_id long, key binary")
 

@@ -57,3 +57,29 @@ def test_equals_all_pairs(spark, settings):
 
 def test_empty_table(spark):
     assert op.embed_dedup(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("width, cells", [(64, 256), (64, 1024), (384, 1024)])
+def test_pairs_at_the_threshold_share_a_cell(width, cells):
+    rng = np.random.default_rng(width + cells)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centres = op.centres_of(unit(rng.normal(size=(8 * cells, width))), cells, rounds=3)
+    assert len(centres) > 0.9 * cells
+    v = unit(rng.normal(size=(2000, width)))
+    away = rng.normal(size=v.shape)
+    away = unit(away - (away * v).sum(axis=1, keepdims=True) * v)
+    cosine = rng.uniform(0.9, 0.92, (len(v), 1))
+    u = cosine * v + np.sqrt(1 - cosine**2) * away
+    near = [np.argsort(-(x @ centres.T), axis=1)[:, : op.PROBES] for x in (v, u)]
+    met = (near[0][:, :, None] == near[1][:, None, :]).any(axis=(1, 2))
+    assert met.mean() >= 0.995
+
+
+def test_all_pairs_with_many_cells(spark):
+    rows = vectors(900, 4)
+    df = spark.createDataFrame([(i, v, 0, "x", "y") for i, v in rows], SCHEMA)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in op.embed_dedup(df, cell_rows=8).collect()}
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((x @ x.T) >= 0.9).sum() - len(x)
+    assert 0.999 * want <= sum(g[0] for g in got.values()) <= want
