@@ -2,7 +2,8 @@
 
 Byte n-grams inside words, word ends included, are hashed into buckets; a text is the mean of its buckets' vectors, and a
 linear softmax on the mean gives the language.  Vectors and weights are trained together by stochastic gradient
-descent in NumPy on a bounded sample of the labelled rows (``FIT_PER_LANG`` texts of each language, whole).  The
+descent in NumPy on a bounded sample of the labelled rows (about ``FIT_PER_LANG`` whole texts of each language; fewer
+where ``FIT_ROWS`` is divided among more languages than that allows, 32 at least).  Every language is learned.  The
 fold that is not held out but not trained on either sets a temperature, so that the score is a probability, and texts
 whose score is below ``REJECT`` are rejected.  Scoring reads whole texts; since mean and softmax layer are both
 linear, the two tables are multiplied once and a text's logits are sums of table rows.
@@ -27,9 +28,9 @@ SIZES = (2, 3, 4)
 EPOCHS = 6
 RATE = 0.5
 SEED = 7
-# Bounds of the sample a model is fitted on.
+# Bounds of the sample a model is fitted on: rows of a language and of all.
 FIT_PER_LANG = 1200
-MAX_LANGS = 200
+FIT_ROWS = 240_000
 # Fold of the rows that set the temperature; with HELD_OUT aside, the others train.
 CALIBRATION_FOLD = 3
 REJECT = 0.5
@@ -152,13 +153,15 @@ def calibrate(model: Model, rows: list[tuple[str, np.ndarray, np.ndarray]]) -> M
     return model
 
 
-def fit(docs: DataFrame, bits: int = BITS, per_lang: int = FIT_PER_LANG, max_langs: int = MAX_LANGS) -> Model:
+def fit(docs: DataFrame, bits: int = BITS, per_lang: int = FIT_PER_LANG, fit_rows: int = FIT_ROWS) -> Model:
     """A model of the labelled rows that are not held out, from a sample of at most about ``per_lang`` each."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return Model([], np.zeros((1 << bits, 0), np.float32), np.zeros(0, np.float32))
+    # 32 rows of a language are drawn at least, so that none of them goes without
+    per_lang = min(per_lang, max(32, fit_rows // len(counts)))
     # a row is in the sample when its hash is below its language's share
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)

@@ -1,5 +1,7 @@
 """Language identification and quality: held-out accuracy and special cases."""
 
+import random
+
 import numpy as np
 import pytest
 
@@ -93,3 +95,12 @@ def test_sums_do_not_depend_on_partitions(spark, given):
     a = quality.fit(docs.repartition(5), labels)
     b = quality.fit(docs.repartition(2), labels)
     assert np.allclose(a.weights, b.weights, atol=1e-6) and np.isclose(a.level, b.level)
+
+
+def test_every_language_is_learned(documents):
+    """More languages than the whole sample's bound gives a full share to."""
+    rng = random.Random(12)
+    words = {f"l{k:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4)] for k in range(230)}
+    rows = [(20 * k + i, " ".join(rng.choice(w) for _ in range(12)), lang) for k, (lang, w) in enumerate(words.items()) for i in range(12)]
+    model = langid.fit(documents(rows), fit_rows=1000)
+    assert model.langs == sorted(words)
