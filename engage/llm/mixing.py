@@ -3,11 +3,13 @@
 A source's share of the mix follows from its weight, but no source gives more than ``MAX_PASSES`` times its own
 words; what a stopped source leaves is shared again by weight.  Every source has a weight schedule over training time
 t in [0, 1]; its integral is the cumulative token demand, and inverting it gives the time at which the source's c-th
-word is needed.  A source's documents stand in a fixed hash order, repeated in passes; a running sum of their sizes
-is c.  Documents are range-sorted by that time.
+word is needed.  A source's documents stand in the order of a hash of id and text, repeated in passes; a running sum of
+their sizes is c.  It is cut by prefixes of the hash: over coarse buckets of a source, fine buckets of a coarse one, and
+the rows of a fine one, so that no sort grows with the source (16.8 million fine buckets each).  Documents are
+range-sorted by that time.
 
-Defined results: null text has size 0 and is never taken; null sources are one source, last in order; ties and
-repeated rows keep their own places in the order; an empty table gives an empty result.
+Defined results: null text has size 0 and is never taken; null sources are one source, last in order; rows that share
+an id, or have none, stand by their texts; rows equal in both take neighbouring places in one bucket; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 # Weight schedule of each class: w(t) = 1 + slope * (2t - 1), integral 1.  Heavy sources fade, light ones grow.
 SLOPES = (-0.5, 0.0, 0.5)
-# Hex digits of the order hash that name a bucket of the running sum.
-BUCKET_DIGITS = 3
+# Hex digits of the order hash that name a coarse and a fine bucket of the running sum.
+COARSE = 3
+FINE = 6
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -64,7 +67,7 @@ def when_needed(share: Column, slope: Column) -> Column:
     return 2 * share / (linear + F.sqrt(linear * linear + 4 * slope * share))
 
 
-def placed(docs: DataFrame, carried: list[str], digits: int = BUCKET_DIGITS, **settings) -> DataFrame:
+def placed(docs: DataFrame, carried: list[str], coarse: int = COARSE, fine: int = FINE, **settings) -> DataFrame:
     """Every row's ``carried`` columns as struct ``row`` with size, source_size, target, taken and its passes."""
     row = F.struct(*[F.col(f"`{c}`") for c in carried])
     base = docs.select(
@@ -73,16 +76,30 @@ def placed(docs: DataFrame, carried: list[str], digits: int = BUCKET_DIGITS, **s
         # null is a source of its own; a key without nulls lets the join use the window's partitioning
         F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), F.col("source").cast("string"))).alias("key"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")).alias("place"),
-    ).withColumn("bucket", F.substring("place", 1, digits))
-    by_bucket = base.groupBy("key", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    chosen = targets(by_bucket.groupBy("key", "source").agg(F.sum("bucket_size").alias("source_size")), **settings)
-    earlier = W.partitionBy("key").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        by_bucket.withColumn("offset", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)))
-        .drop("source")
+        F.md5(
+            F.concat(
+                F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                F.lit(":"),
+                F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")),
+            ).cast("binary")
+        ).alias("place"),
+    ).withColumn("bucket", F.substring("place", 1, fine))
+    summed = lambda *keys: W.partitionBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    part = F.substring("bucket", 1, coarse).alias("part")
+    by_bucket = base.groupBy("key", "source", part, "bucket").agg(F.sum("size").alias("bucket_size"))
+    by_part = by_bucket.groupBy("key", "source", "part").agg(F.sum("bucket_size").alias("part_size"))
+    chosen = targets(by_part.groupBy("key", "source").agg(F.sum("part_size").alias("source_size")), **settings)
+    parts = (
+        by_part.select("key", "part", F.coalesce(F.sum("part_size").over(summed("key").orderBy("part")), none).alias("before"))
         .join(chosen.drop("source"), "key")
-        .select("key", "bucket", "offset", "source_size", "target", "slope")
+        .select("key", "part", "before", "source_size", "target", "slope")
+    )
+    inner = F.coalesce(F.sum("bucket_size").over(summed("key", "part").orderBy("bucket")), none)
+    offsets = (
+        by_bucket.select("key", "part", "bucket", inner.alias("inner"))
+        .join(parts, ["key", "part"])
+        .select("key", "bucket", (F.col("before") + F.col("inner")).alias("offset"), "source_size", "target", "slope")
     )
     within = W.partitionBy("key", "bucket").orderBy("place", "size").rowsBetween(W.unboundedPreceding, -1)
     at = base.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -151,7 +168,7 @@ def curriculum(docs: DataFrame, **settings) -> DataFrame:
 
 
 ORACLE = r"""
-WITH d AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, source, md5(CAST(doc_id AS VARCHAR)) AS place FROM documents),
+WITH d AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', md5(coalesce(text, '')))) AS place FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 c AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS class FROM s),
 w AS (SELECT *, CASE class WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, CAST(CASE class WHEN 0 THEN -0.5 WHEN 1 THEN 0 ELSE 0.5 END AS DOUBLE) AS slope FROM c),

@@ -67,3 +67,24 @@ def test_reruns_agree(documents):
 def test_empty_and_wordless_tables(documents):
     assert op.mix(documents([])).collect() == []
     assert [r["taken"] for r in op.mix(documents([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+def test_rows_that_share_an_id_stand_by_their_texts(documents):
+    """Null and repeated ids at volume: no bucket holds them all, and the words add up."""
+    data = [(None, f"w{i} " * (1 + i % 5), "en", "a") for i in range(3000)] + [(7, f"v{i} " * 3, "en", "b") for i in range(3000)]
+    docs = documents(data)
+    places = op.placed(docs, ["doc_id"]).select("place").collect()
+    assert len({p["place"][: op.COARSE] for p in places}) > 2000
+    got = op.mix(docs).collect()
+    sizes = {"a": sum(1 + i % 5 for i in range(3000)), "b": 9000}
+    want = filled(sizes)
+    for source, key in (("a", None), ("b", 7)):
+        assert abs(sum(r["taken"] for r in got if r["doc_id"] == key) - want[source]) <= 1
+
+
+def test_bucket_sizes_do_not_change_the_mix(documents):
+    docs = documents(rows())
+    want = op.placed(docs, ["doc_id"], coarse=0, fine=0).drop("row").collect()
+    for coarse, fine in ((1, 1), (1, 2), (3, 6)):
+        got = op.placed(docs, ["doc_id"], coarse=coarse, fine=fine).drop("row").collect()
+        assert sorted(map(str, got)) == sorted(map(str, want))
