@@ -5,8 +5,9 @@ each stage's result as Parquet to the shared folder and gives the table, read ag
 last return the columns of ``documents``.
 
 Each stage's result is defined for its operator's special cases: null and empty texts have no letter, so language
-identification removes them; repeated rows of one doc_id stand or fall together; other columns are carried along;
-an empty table passes through every stage as an empty table.
+identification removes them; exact dedup decides by row, so of repeated rows of one doc_id and text one stays, with or
+without an id; near dedup decides by doc_id, so different texts under one id stand or fall together; other columns are
+carried along; an empty table passes through every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from engage.llm import exact_dedup, langid, mixing, near_dedup, packing
-from engage.llm.common import read
-from engage.session import delete, scratch, shared_dir
+from engage.llm.common import WHITE, read
+from engage.session import delete, materialise, scratch, shared_dir
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,26 @@ def chosen(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return chosen(docs, exact_dedup.exact_dedup(docs))
+    """One row of each group of equal texts; where rows share the id that stays, one with the most code points."""
+    decided = exact_dedup.exact_dedup(docs).where("kept").groupBy("doc_id", "text_sha256")
+    # a table, so that its size is known where the few repeated ones are joined
+    kept = materialise(decided.agg(F.count(F.lit(1)).alias("n")), "kept")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("id"),
+        F.sha2(F.translate(text, WHITE.decode(), ""), 256).alias("sha"),
+        F.struct(F.length(text), F.xxhash64(text)).alias("rank"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    same = lambda right: rows["id"].eqNullSafe(right["doc_id"]) & (rows["sha"] == right["text_sha256"])
+    # the keys are the side that is hashed; the texts are not sorted
+    single = kept.where("n = 1").hint("shuffle_hash")
+    once = rows.join(single, same(single), "left_semi").select("row.*")
+    repeated = kept.where("n > 1")
+    if repeated.isEmpty():
+        return once
+    several = rows.join(repeated, same(repeated), "left_semi").groupBy("id", "sha").agg(F.max_by("row", "rank").alias("row"))
+    return once.union(several.select("row.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

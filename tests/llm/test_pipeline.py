@@ -47,6 +47,20 @@ def test_decisions_take_effect(spark, documents):
     assert words_in == {i: n for i, n in taken.items() if n}
 
 
+def test_exact_stage_decides_by_row(spark, documents):
+    rows = [(1, "a b", "en", "a"), (1, "a b", "en", "a"), (1, "a  b", "en", "b"), (1, "c", "en", "a"), (2, "c d", "en", "a"), (3, "cd", "en", "a")]
+    rows += [(None, "e f", "en", "a"), (None, "e f", "en", "a"), (None, "g", "en", "a"), (None, "a b", "en", "a"), (4, None, "en", "a"), (5, "", "en", "a")]
+    kept = stage("exact dedup")(spark, documents(rows), FOLDER).select("doc_id", "text").collect()
+    want = [(1, "a  b"), (1, "c"), (2, "c d"), (4, None), (None, "e f"), (None, "g")]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
+def test_exact_stage_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x", 2.0), (1, "a b", 7, "x", 2.0), (2, "c", 8, "y", 3.0)], "doc_id int, text string, kept int, text_sha256 string, `n.1` double")
+    out = stage("exact dedup")(spark, docs, FOLDER)
+    assert out.columns == docs.columns and sorted(tuple(r) for r in out.collect()) == [(1, "a b", 7, "x", 2.0), (2, "c", 8, "y", 3.0)]
+
+
 def test_whole_run_equals_stages_by_hand(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     out = corpus_pipeline.run(spark, FOLDER).collect()
