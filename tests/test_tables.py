@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -207,6 +208,27 @@ def test_joins_refuse_keys_without_a_common_type(spark):
         skew.keyed_join(spark.range(3).selectExpr("id k"), spark.createDataFrame([("1",)], "k string"), "k")
 
 
+
+@pytest.mark.parametrize("max_rows", [100_000, 10])
+def test_rows_that_fan_out_are_dealt_over_the_tasks(spark, max_rows):
+    left = spark.range(400).selectExpr("id", "if(id % 5 = 4, null, id % 5) as k").coalesce(1)
+    dim = spark.range(900).selectExpr("id % 3 as d", "id as v")
+    out = enrich.join_dim(left, dim, "k", "d", matched="hit", max_rows=max_rows)
+    coalesce, broadcast = "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold"
+    try:  # as with tables too large to be read as one part or broadcast
+        spark.conf.set(coalesce, "false")
+        spark.conf.set(broadcast, "-1")
+        got = out.select("id", "k", "v", "hit", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset(coalesce)
+        spark.conf.unset(broadcast)
+    wanted = [(i, i % 5 if i % 5 < 4 else None, v, int(v is not None)) for i in range(400) for v in (range(i % 5, 900, 3) if i % 5 < 3 else [None])]
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted((tuple(r[:4]) for r in got), key=key) == sorted(wanted, key=key)
+    per_task = Counter(r["task"] for r in got)
+    assert len(per_task) > 3 and max(per_task.values()) < 0.3 * len(got)
+
+
 def test_join_lookup_beyond_the_bound(spark):
     left = spark.createDataFrame([(1,), (2,), (9,)], "k int")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
