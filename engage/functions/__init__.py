@@ -2,7 +2,7 @@
 
 from engage.functions.geo import haversine_miles
 from engage.functions.text import token_windows, tokens
-from engage.functions.values import basename, first_nonblank, is_blank, nonblank, to_int
+from engage.functions.values import basename, first_nonblank, is_blank, nonblank, rounded, to_int
 
 __all__ = [
     "basename",
@@ -10,6 +10,7 @@ __all__ = [
     "haversine_miles",
     "is_blank",
     "nonblank",
+    "rounded",
     "to_int",
     "token_windows",
     "tokens",

@@ -28,5 +28,14 @@ def to_int(c: Column | str) -> Column:
     return F.coalesce(_col(c).try_cast("int"), F.regexp_extract(_col(c), r"^(-?[0-9]+)[.][0-9]+$", 1).try_cast("int"))
 
 
+def rounded(c: Column | str, digits: int) -> Column:
+    """A double rounded as most engines do it: scaled, rounded half away from zero and scaled back.
+
+    Spark rounds the number's shortest decimal text, which differs where that ends in a 5 and the scaled double does not.
+    """
+    scale = F.lit(10.0**digits)
+    return F.round(_col(c).cast("double") * scale, 0) / scale
+
+
 def basename(path: Column | str) -> Column:
     return F.element_at(F.split(_col(path), "/"), -1)

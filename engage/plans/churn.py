@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from engage.functions import rounded
 from engage.operators import labels
 from engage.operators.enrich import join_dim
 from engage.plans.fixtures import MEMBER_SNAPSHOTS, derive, table, with_ctes
@@ -50,12 +51,12 @@ def churn_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def churn_rate_by_cycle(spark: SparkSession, folder: str) -> DataFrame:
     rates = labels.churn_rate(survival_labels(spark, folder), "cycle")
-    return rates.withColumn("churn_rate", F.round("churn_rate", 6)).orderBy("cycle")
+    return rates.withColumn("churn_rate", rounded("churn_rate", 6)).orderBy("cycle")
 
 
 def avg_churn_rate(spark: SparkSession, folder: str) -> DataFrame:
     rates = labels.churn_rate(survival_labels(spark, folder), "cycle")
-    return labels.avg_churn_rate(rates).select(F.round("avg_churn_rate", 6).alias("avg_churn_rate"))
+    return labels.avg_churn_rate(rates).select(rounded("avg_churn_rate", 6).alias("avg_churn_rate"))
 
 
 def provider_flags(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from engage.functions import rounded
 from engage.operators import evaluate, model
 from engage.plans.fixtures import SCORED, SCORED_RAW, derive, with_ctes
 
@@ -13,7 +14,7 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _round(df: DataFrame, *cols: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+    return df.withColumns({c: rounded(c, 6) for c in cols})
 
 
 def auc(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from engage.functions import rounded
 from engage.operators import boost, evaluate, labels, model, targets
 from engage.plans.fixtures import table
 from engage.session import materialise, shared_dir
@@ -141,7 +142,7 @@ def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
 def dependence(spark: SparkSession, folder: str) -> DataFrame:
     """Bins of a feature, and whether the mean scores in them are probabilities."""
     train, test, _ = _split(spark, folder)
-    scored = model.score(model.train(train, FEATURES, "churn_flag", **SMALL), test.withColumn("spent", F.round("spent", 2)))
+    scored = model.score(model.train(train, FEATURES, "churn_flag", **SMALL), test.withColumn("spent", rounded("spent", 2)))
     bins = evaluate.dependence(scored, "spent")
     return bins.select("bin", "low", "high", "n", _probable("avg_score").alias("probable"))
 
@@ -150,7 +151,7 @@ def ordered_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Two categories as running churn rates of the rows before."""
     rows = materialise(features(spark, folder).select("key", "churn_flag", "segment", "nation"), "features")
     found = targets.ordered_stats(targets.ordered_stats(rows, "segment", "churn_flag", "key"), "nation", "churn_flag", "key")
-    return found.select("key", *[F.round(f"{c}_target", 9).alias(c) for c in ("segment", "nation")])
+    return found.select("key", *[rounded(f"{c}_target", 9).alias(c) for c in ("segment", "nation")])
 
 
 LEAF_ROUNDS, LEAF_STEP, LEAF_L2 = 3, 0.1, 3.0
@@ -163,7 +164,7 @@ def boosted_leaves(spark: SparkSession, folder: str) -> DataFrame:
     fitted = boost.boost(rows, ["busy"], "churn_flag", LEAF_ROUNDS, LEAF_STEP, LEAF_L2, depth=1)
     each = [
         boost.score(fitted, rows.select("busy").distinct(), "p", rounds).select(
-            F.lit(rounds).alias("trees"), F.col("busy").cast("int").alias("busy"), F.round(F.log(F.col("p") / (1 - F.col("p"))), 9).alias("log_odds")
+            F.lit(rounds).alias("trees"), F.col("busy").cast("int").alias("busy"), rounded(F.log(F.col("p") / (1 - F.col("p"))), 9).alias("log_odds")
         )
         for rounds in range(1, LEAF_ROUNDS + 1)
     ]
@@ -199,16 +200,16 @@ def _scored(df: DataFrame) -> DataFrame:
 
 def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
     found = evaluate.partial_dependence(_scored, features(spark, folder), "n_orders", GRID)
-    return found.select("feature", "value", F.round("avg_score", 9).alias("avg_score"), "n")
+    return found.select("feature", "value", rounded("avg_score", 9).alias("avg_score"), "n")
 
 
 def accumulated_effects(spark: SparkSession, folder: str) -> DataFrame:
     found = evaluate.accumulated_effects(_scored, features(spark, folder), "n_orders", EDGES)
-    return found.withColumn("effect", F.round("effect", 9))
+    return found.withColumn("effect", rounded("effect", 9))
 
 
 def churn_features(spark: SparkSession, folder: str) -> DataFrame:
-    return features(spark, folder).withColumn("spent", F.round("spent", 2))
+    return features(spark, folder).withColumn("spent", rounded("spent", 2))
 
 
 def cycle_split(spark: SparkSession, folder: str) -> DataFrame:

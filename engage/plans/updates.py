@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from engage.functions import rounded
 from engage.operators import audit, keyed_table, merge, rag, score
 from engage.operators.ranking import one_row
 from engage.plans import jobs
@@ -124,7 +125,7 @@ def stream_new(spark: SparkSession, folder: str) -> DataFrame:
     out, ledger = shared_dir(spark, "picked"), shared_dir(spark, "ledger")
     for _ in range(2):
         rows = pickup.stream_new(spark, folder, out, ledger, EVENT_SCHEMA, glob="events.parquet")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), rounded(F.sum("value"), 2).alias("total"))
 
 
 def sync_index(spark: SparkSession, folder: str) -> DataFrame:

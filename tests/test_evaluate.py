@@ -3,12 +3,14 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from engage.operators import evaluate, model, ranking
+from engage.plans import evaluation
 
 
 def scored(spark, n=3000, seed=1, digits=2, skew=1):
@@ -177,3 +179,16 @@ def test_a_missed_bracket_is_widened(spark):
     df = spark.range(0, 30000, 1, 5).selectExpr("cast(id as double) x")
     found = ranking.quantile_values(df, ["x"], [0.25, 0.5], slack=1e-9, accuracy=100)
     assert found == {"x": {0.25: 7499.0, 0.5: 14999.0}}
+
+
+def test_rates_that_end_in_a_five_are_rounded_as_sql_does(spark, tmp_path):
+    # 804 of 12,800 rows without churn lie above the lower score: 0.0628125, whose scaled double is just below the half
+    rows = spark.range(12_802).selectExpr(
+        "id as c_custkey", "if(id < 804, 7890.0d, if(id < 12800, -1000.0d, 9000.0d)) as c_acctbal"
+    )
+    rows.withColumn("c_custkey", F.col("c_custkey") * 10).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    got = sorted(evaluation.roc_points(spark, str(tmp_path)).select("fp", "fpr").collect())
+    con = duckdb.connect()
+    con.execute(f"create view customer as select * from '{tmp_path}/customer.parquet/*.parquet'")
+    wanted = con.execute(f"select fp, fpr from ({evaluation.ORACLE['roc_points']})").fetchall()
+    assert got == sorted(wanted)
