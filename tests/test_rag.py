@@ -236,3 +236,32 @@ def test_questions_are_embedded_once(spark):
     index = spark.createDataFrame([(7, "x", [1.0, 0.0]), (8, "y", [0.0, 1.0])], "chunk_id long, chunked_text string, embedding array<double>")
     assert jobs.answer_prompts(chat, index, embedder, k=1).count() == 4
     assert seen.value == 2
+
+
+def test_many_vectors_are_cut_into_blocks_for_every_core(spark):
+    rows = nearest._vectors(spark.range(3 * nearest.LEAST_ROWS).select("id", F.array(F.lit(1.0)).alias("v")), "id", "v")
+    assert nearest._n_blocks(rows, nearest.BLOCK_BYTES) == 3
+
+
+@pytest.mark.parametrize("skip_self", [False, True])
+def test_best_of_a_block_equals_sorting_all_with_copies_ties_and_odd_vectors(skip_self):
+    rng = np.random.default_rng(3)
+    for whole in (False, True):
+        rows = rng.integers(0, 3, (5000, 6)).astype(float) if whole else rng.normal(size=(5000, 6))
+        rows[100:400], rows[7], rows[8, 2] = rows[3], 0, np.nan
+        ids, units = rng.permutation(9000)[:5000], nearest.unit_rows(rows)
+        asked = np.r_[np.arange(12), np.arange(95, 105), np.arange(4000, 4300)]
+        got = nearest._best(ids[asked], units[asked], ids, units, 3, skip_self, 9)
+        sims = np.round(units[asked] @ units.T, 9)
+        sims[np.isnan(sims)] = -np.inf
+        if skip_self:
+            sims[np.arange(len(asked)), asked] = -np.inf
+        wanted = []
+        for i, row in zip(ids[asked], sims):
+            best = [j for j in np.lexsort((ids, -row))[:3] if np.isfinite(row[j])]
+            wanted += [(i, ids[j], row[j]) for j in best]
+        found = [tuple(r) for r in got.itertuples(index=False)]
+        assert [f[:2] for f in sorted(found)] == [w[:2] for w in sorted(wanted)]
+        assert max(abs(f[2] - w[2]) for f, w in zip(sorted(found), sorted(wanted))) < 2e-9
+    # a large group of copies costs a few candidates, not all of them
+    assert len(nearest._copies(np.arange(5000), np.ones((5000, 4)), 4)[0]) == 4
