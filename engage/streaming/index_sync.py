@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from engage.operators.merge import change_feed
 from engage.operators.rag import embed
+from engage.operators.skew import join_lookup
 from engage.session import materialise
 from engage.sources.sinks import path_exists
 from engage.streaming.pickup import BATCH, new_files, run_available, write_batch
 
 GONE = "is_deleted"
+# Changed ids that are sent to every task, so that the texts stay where they are.
+MOST_SENT = 1_000_000
 CHUNK_SCHEMA = "chunk_id long, doc_id long, chunk_ix int, chunked_text string"
 
 
@@ -49,15 +52,23 @@ def sync_changes(
 ) -> DataFrame:
     """Bring the index from one snapshot of the chunk table to the next and return its current rows.
 
-    Only chunks that are new or changed are embedded; chunks that are gone leave a tombstone.  ``batch_id`` numbers the
-    snapshot: a rerun replaces its own batch.
+    Only chunks that are new or changed are embedded; chunks that are gone leave a tombstone without text.  ``batch_id``
+    numbers the snapshot: a rerun replaces its own batch.  Snapshots meet by ids and 128-bit hashes of the text; a text is
+    read again only where it is new, and of a first snapshot that is all of them.
     """
-    old = after.limit(0) if before is None else before
-    changes = materialise(change_feed(old, after, "chunk_id"), "changes")
-    kept = embed(changes.where("change_type <> 'delete'"), "chunked_text", embedder).withColumn(GONE, F.lit(False))
+    if before is None:
+        write_batch(index)(embed(after, "chunked_text", embedder).withColumn(GONE, F.lit(False)), batch_id)
+        return read_index(spark, index)
+    text = F.col("chunked_text")
+    hashes = [F.xxhash64(text).alias("_h"), F.xxhash64(F.lit(1), text).alias("_i"), text.isNull().alias("_n")]
+    old, new = (d.select(*[c for c in after.columns if c != "chunked_text"], *hashes) for d in (before, after))
+    changes = materialise(change_feed(old, new, "chunk_id").drop("_h", "_i", "_n"), "changes")
+    fresh = changes.where("change_type <> 'delete'").select("chunk_id")
+    # a row without an id is new in every snapshot
+    rows = join_lookup(after, fresh, "chunk_id", "left_semi", MOST_SENT).unionByName(after.where("chunk_id is null"))
+    kept = embed(rows, "chunked_text", embedder).withColumn(GONE, F.lit(False))
     gone = changes.where("change_type = 'delete'").withColumn(GONE, F.lit(True))
-    both = kept.drop("change_type").unionByName(gone.drop("change_type"), allowMissingColumns=True)
-    write_batch(index)(both, batch_id)
+    write_batch(index)(kept.unionByName(gone.drop("change_type"), allowMissingColumns=True), batch_id)
     return read_index(spark, index)
 
 

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from engage.operators import audit, keyed_table, labels, merge
-from engage.session import shared_dir
-from engage.streaming import changes, pickup
+from engage.session import materialise, shared_dir
+from engage.streaming import changes, index_sync, pickup
 from tests.conftest import as_set
 
 
@@ -120,3 +120,20 @@ def test_sketches_unite(spark):
     exact = df.where("day < 2").select("id").distinct().count()
     assert abs(n - exact) < 0.05 * exact
     assert audit.united_counts(daily.limit(0)).first()[0] == 0
+
+
+def test_snapshots_meet_by_hashes_and_texts_are_written_once(spark, monkeypatch):
+    schema = "chunk_id long, doc_id long, chunk_ix int, chunked_text string"
+    first = [(1, 1, 0, "a"), (2, 1, 1, None), (3, 2, 0, ""), (4, 2, 1, "gone"), (5, 3, 0, "same")]
+    second = [(1, 1, 0, "b"), (2, 1, 1, ""), (3, 2, 0, None), (5, 3, 0, "same"), (6, 4, 0, "new")]
+    before, after = (spark.createDataFrame(rows, schema) for rows in (first, second))
+    written = []
+    monkeypatch.setattr(index_sync, "materialise", lambda df, name: written.append(df.columns) or materialise(df, name))
+    index = shared_dir(spark, "index")
+    embedder = lambda texts: [[float(len(t or ""))] for t in texts]
+    index_sync.sync_changes(spark, None, before, index, 0, embedder)
+    rows = index_sync.sync_changes(spark, before, after, index, 1, embedder)
+    assert as_set(rows.drop("embedding")) == set(second)
+    stored = spark.read.option("mergeSchema", "true").parquet(index).where("batch_id = 1")
+    assert {r["chunk_id"]: r[index_sync.GONE] for r in stored.collect()} == {1: False, 2: False, 3: False, 4: True, 6: False}
+    assert written and not any("chunked_text" in columns for columns in written)
