@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from engage.operators import audit, keyed_table, labels, merge
 from engage.session import materialise, shared_dir
@@ -137,3 +137,26 @@ def test_snapshots_meet_by_hashes_and_texts_are_written_once(spark, monkeypatch)
     stored = spark.read.option("mergeSchema", "true").parquet(index).where("batch_id = 1")
     assert {r["chunk_id"]: r[index_sync.GONE] for r in stored.collect()} == {1: False, 2: False, 3: False, 4: True, 6: False}
     assert written and not any("chunked_text" in columns for columns in written)
+
+
+def test_changes_of_a_document_are_rows_and_its_state_is_read_once():
+    class Known:
+        value, reads = None, 0
+
+        def get(self):
+            self.reads += 1
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    row = Row("chunk_id", "chunk_ix", "chunked_text", "version", "gone", "hash")
+    state = changes._Changes()
+    state.known = Known()
+    run = lambda *rows: [tuple(r) for r in state.handleInputRows((7,), iter(rows), None)]
+    old, twice = row(1, 0, "old", 0, False, 9), row(1, 0, "a", 1, False, 5)
+    assert run(old, twice, twice, row(2, 1, "b", 1, False, 6)) == [(1, 7, 0, "a", "insert"), (2, 7, 1, "b", "insert")]
+    assert run(row(1, 0, "c", 2, False, 8)) == [(1, 7, 0, "c", "update"), (2, 7, None, None, "delete")]
+    assert run(row(1, 0, "z", 2, False, 3)) == []
+    assert run(row(0, 0, None, 3, True, 42)) == [(1, 7, None, None, "delete")]
+    assert state.known.reads == 4
