@@ -5,8 +5,10 @@ text.  Each of ``ENTRIES`` sketch entries draws the ``PER_ENTRY`` k-mers with th
 keeps them in text order, so two texts agree in an entry only where k-mers and their order agree.  ``SHORTER`` adds
 entries of shorter k-mers, drawn the same way: at the similarity itself, few k-mers of five words survive the edits, and
 in short texts perhaps none.  Texts with equal word sequences are one class from the start.  Classes that agree in an entry are compared, first with the smallest of
-them, then all pairs of what is not yet connected: buckets of up to ``PAIRED`` classes by a join, larger ones cut into
-blocks, each pair of blocks compared in one task, which answers with links, never with its pairs.  A pair is linked when its edit similarity, 1 - distance / longer length in
+them, then all pairs of what is not yet connected.  Buckets of up to ``PAIRED`` classes are paired by a join.  The classes of
+larger ones, which share a common passage perhaps, meet by rare words instead: two texts that reach the similarity share one
+of their ``allowed`` + 1 rarest words, whatever the rest, so no link between classes of large buckets is lost, and they are again compared
+with the smallest text of a word first, then with all that are not yet connected.  A pair is linked when its edit similarity, 1 - distance / longer length in
 words, is at least ``SIMILARITY``: histograms of hashed words rule out most pairs by a bound on the distance before any
 text is moved, a chain of common k-mers proves most others, the rest are aligned within a band that widens until the
 distance or its limit fits in it.
@@ -24,7 +26,6 @@ import zlib
 from bisect import bisect_left
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -40,14 +41,18 @@ PER_ENTRY = 2
 SHORTER = ((3, 16, 1 << 62), (2, 32, 75))
 SIMILARITY = 0.8
 PAIRED = 12
-BLOCK_ROWS = 512
-BLOCK_BYTES = 1 << 22
+BLOCK_ROWS = 4096
+SHARD_ROWS = 8192
 BINS = 64
-FINE_BINS = 1024
+FINE_BINS = 256
+# Bins in which words are counted to tell rare ones, as a power of two.
+RARE_BITS = 17
 CACHED_WORDS = 200_000
 SEED = 1
 BLOCK = 1 << 14
 CELLS = 1 << 17
+# Pairs of a shard that are looked at at a time.
+PAIRS = 1 << 15
 FAR = np.int32(1 << 29)
 
 
@@ -333,65 +338,136 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, similarity:
     facts = classes.select("id", "n_words", "bins")
     sides = pairs.join(facts.toDF("a", "n_a", "bins_a"), "a").join(facts.toDF("b", "n_b", "bins_b"), "b")
     near = sides.mapInArrow(lambda batches: possible(batches, similarity), "a long, b long")
-    near = materialise(near, "pairs")
-    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    return verified_links(materialise(near, "pairs"), rows, similarity)
+
+
+def words_by_id(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, words) of the texts with these doc_ids."""
     # the ids are hashed and the texts not sorted, whatever the sizes
-    words = rows.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
-    words = materialise(words, "words")
+    return rows.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
+
+
+def verified_links(near: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    words = materialise(words_by_id(rows, ids), "words")
     both = near.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
     return both.mapInArrow(lambda batches: verified(batches, similarity), "a long, b long").distinct()
 
 
-def within(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links between two blocks of a bucket, or within one; what is connected is compared no further.
+def rare_bins(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A text's words with their occurrence numbers, and the bins in which they are counted."""
+    values = kmers(words, 1)
+    return values, (values >> np.uint64(64 - RARE_BITS)).astype(np.int64)
+
 
-    A pair that meets in several buckets is compared in that of its first common entry only.
+def counted(batches):
+    """In how many texts each bin's words occur."""
+    total = np.zeros(1 << RARE_BITS, np.int64)
+    for batch in in_parts(batches):
+        for words in batch.column("words").to_pylist():
+            np.add.at(total, rare_bins(np.frombuffer(words, "<u4"))[1], 1)
+    bins = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(total[bins])], names=["bin", "n"])
+
+
+def rarest(words: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """Of a text's rarest words, one more than the edits it may have, those that may occur in another text too.
+
+    A text within ``allowed`` edits of the longer one of a pair lacks at most as many of its words; of the words that both
+    have, the rarest one is among these of either.
     """
-    entry, i, j = (int(group[c].iloc[0]) for c in ("entry", "i", "j"))
-    ids, block = group["id"].to_numpy(np.int64), group["block"].to_numpy()
-    words = [np.frombuffer(w, "<u4") for w in group["words"]]
-    n = np.array([len(w) for w in words], np.int64)
-    # only texts that stand in no bucket of a later kind end early
-    entries = np.zeros((len(ids), max(map(len, group["entries"]))), np.int64)
-    for row, own in zip(entries, group["entries"], strict=True):
-        row[: len(own)] = own
-    root = np.unique(group["c"].to_numpy(np.int64), return_inverse=True)[1]
-    fine = np.stack([np.bincount(w % np.uint32(FINE_BINS), minlength=FINE_BINS) for w in words]).astype(np.int32)
-    coarse = fine.reshape(len(words), -1, BINS).sum(axis=1, dtype=np.int32)
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    links = []
-    for at, row in enumerate(left):
-        others = right[at + 1 :] if i == j else right
-        limits = allowed(np.maximum(n[others], n[row]), similarity)
-        others = others[(root[others] != root[row]) & (np.abs(n[others] - n[row]) <= limits)]
+    values, bins = rare_bins(words)
+    first = np.lexsort((values, counts[bins]))[: int(allowed(len(words), similarity)) + 1]
+    return values[first][counts[bins[first]] > 1].view(np.int64)
+
+
+def prefixed(batches, counts: np.ndarray, similarity: float):
+    for batch in in_parts(batches):
+        words = [np.frombuffer(w, "<u4") for w in batch.column("words").to_pylist()]
+        fine = [np.minimum(np.bincount(w % np.uint32(FINE_BINS), minlength=FINE_BINS), 255).astype("u1") for w in words]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("id"),
+                pa.array([len(w) for w in words], pa.int64()),
+                pa.array([rarest(w, counts, similarity) for w in words], pa.list_(pa.int64())),
+                pa.array([f.tobytes() for f in fine], pa.binary()),
+            ],
+            names=["id", "n_words", "tokens", "bins"],
+        )
+
+
+def meeting(group: pa.Table, similarity: float) -> pa.Table:
+    """The pairs of a shard that share a token, are not yet connected, and whose lengths and histograms allow a link."""
+    group = group.sort_by([(k, "ascending") for k in ("token", "i", "j", "block")])
+    token, i, j, block, ids, n, c = (group.column(k).to_numpy() for k in ("token", "i", "j", "block", "id", "n_words", "c"))
+    fine = np.frombuffer(b"".join(group.column("bins").to_pylist()), "u1").reshape(-1, FINE_BINS).astype(np.int16)
+    coarse = fine.reshape(len(fine), -1, BINS).sum(axis=1, dtype=np.int32)
+    size = len(ids)
+    at = np.arange(size)
+    fresh = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+    starts = np.flatnonzero(fresh)
+    run = np.cumsum(fresh) - 1
+    end = np.r_[starts[1:], size][run]
+    # rows of a run's first block stand in front of those of its second, which look for no partner of their own
+    second = (starts + np.bincount(run, block == i).astype(np.int64))[run]
+    begin = np.where(i == j, at + 1, np.where(block == i, second, end))
+    partners = end - begin
+    total = np.r_[0, np.cumsum(partners)]
+    found = [np.zeros((0, 2), np.int64)]
+    for low in range(0, int(total[-1]), PAIRS):
+        pair = np.arange(low, min(low + PAIRS, int(total[-1])))
+        left = np.searchsorted(total, pair, side="right") - 1
+        right = begin[left] + pair - total[left]
+        keep = c[left] != c[right]
+        left, right = left[keep], right[keep]
+        limits = allowed(np.maximum(n[left], n[right]), similarity)
+        keep = np.abs(n[left] - n[right]) <= limits
+        left, right, limits = left[keep], right[keep], limits[keep]
         for counts in (coarse, fine):
-            change = counts[others] - counts[row]
-            least = np.maximum(np.maximum(change, 0).sum(axis=1), np.maximum(-change, 0).sum(axis=1))
-            others = others[least <= allowed(np.maximum(n[others], n[row]), similarity)]
-        shared = (entries[others] == entries[row]).argmax(axis=1)
-        others = others[entries[row][shared] == entry]
-        close = others[similar([(words[row], words[o]) for o in others], similarity)]
-        links += [(ids[row], ids[o]) for o in close]
-        root[np.isin(root, root[close])] = root[row]
-    a, b = np.array(links, np.int64).reshape(-1, 2).T
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-
-def links_within(large: DataFrame, classes: DataFrame, rows: DataFrame, similarity: float, block: int) -> DataFrame:
-    """The links of buckets too large for all their pairs to be rows: (entry, id, n_words, c) in blocks, paired in tasks."""
-    ids = large.select(F.col("id").alias("doc_id")).distinct()
-    words = rows.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").mapInArrow(worded, "id long, words binary").distinct()
-    facts = materialise(words.join(classes.select("id", "entries"), "id"), "facts")
-    counts = large.groupBy("entry").agg(
-        F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("n_words") * 4 / BLOCK_BYTES)).cast("int").alias("blocks")
+            change = counts[left] - counts[right]
+            more = np.maximum(change, 0).sum(axis=1)
+            keep = np.maximum(more, more - change.sum(axis=1)) <= limits
+            left, right, limits = left[keep], right[keep], limits[keep]
+        found.append(np.unique(np.sort(np.stack([ids[left], ids[right]], 1), axis=1), axis=0))
+    a, b = np.unique(np.concatenate(found), axis=0).T
+    return pa.table({"a": a, "b": b})
+
+
+def apart_by(tokens: DataFrame) -> DataFrame:
+    """(token, hub, rows) of the tokens whose texts are not all connected."""
+    spans = tokens.groupBy("token").agg(
+        F.min("c").alias("least"), F.max("c").alias("most"), F.min(F.struct("id", "n_words")).alias("hub"), F.count(F.lit(1)).alias("rows")
     )
-    dealt = large.join(counts, "entry").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "entry", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "c"
+    return spans.where("least < most").drop("least", "most")
+
+
+def rare_words(members: DataFrame, rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Of the members (id, c): (id, n_words, bins) and (id, n_words, token)."""
+    words = materialise(words_by_id(rows, members.select(F.col("id").alias("doc_id"))), "words")
+    # one number per bin, however many texts there are
+    found = words.mapInArrow(counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << RARE_BITS, np.int64)
+    counts[found.column("bin").to_numpy()] = found.column("n").to_numpy()
+    facts = materialise(
+        words.mapInArrow(
+            lambda batches: prefixed(batches, counts, similarity), "id long, n_words long, tokens array<long>, bins binary"
+        ),
+        "facts",
     )
-    return dealt.join(facts, "id").groupBy("entry", "i", "j").applyInPandas(
-        lambda group: within(group, similarity), "a long, b long"
+    return facts.select("id", "n_words", "bins"), facts.select("id", "n_words", F.explode("tokens").alias("token"))
+
+
+def pairs_within(facts: DataFrame, tokens: DataFrame, similarity: float, block: int) -> DataFrame:
+    """The pairs that share a token (token, id, n_words, c) and may be similar, found in tasks of bounded size."""
+    apart = apart_by(tokens).select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+    dealt = tokens.join(apart, "token").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n_words", "c"
     )
+    dealt = materialise(dealt, "dealt")
+    shards = 1 + dealt.count() // SHARD_ROWS
+    sharded = dealt.join(facts, ["id", "n_words"]).withColumn("shard", F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards)))
+    return sharded.groupBy("shard").applyInArrow(lambda group: meeting(group, similarity), "a long, b long").distinct()
 
 
 def near_dedup(
@@ -434,22 +510,32 @@ def near_dedup(
     stars = stars.withColumnRenamed("id", "b").where("a <> b").where(fits).select(*pair).distinct()
     tested = materialise(stars, "stars")
     links = materialise(links_of(tested, classes, rows, similarity), "verified")
-    groups = components(links).withColumnRenamed("node", "id")
+    groups = components(links)
     # what of a bucket is still apart
-    named = members.select("entry", "id", "n_words", "n").join(groups, "id", "left")
+    named = members.select("entry", "id", "n_words", "n").join(groups.withColumnRenamed("node", "id"), "id", "left")
     named = materialise(named.withColumn("c", F.coalesce("component_id", "id")).drop("component_id"), "named")
     spans = named.groupBy("entry").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most")
     apart = materialise(named.join(spans.select("entry"), "entry"), "apart")
     small = apart.where(F.col("n") <= paired)
     side = lambda s: small.select("entry", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n_words", "c")])
     both = side("a").join(side("b"), "entry").where("id_a < id_b and c_a <> c_b")
-    pairs = both.selectExpr("id_a a", "id_b b", "n_words_a n_a", "n_words_b n_b")
-    pairs = pairs.where(fits).select(*pair).distinct().join(tested, ["a", "b"], "left_anti")
-    more = materialise(links_of(materialise(pairs, "rest"), classes, rows, similarity), "verified")
-    large = apart.where(F.col("n") > paired)
-    if not large.isEmpty():
-        more = more.union(materialise(links_within(large, classes, rows, similarity, block), "within"))
-    groups = components(links.union(more))
+    pairs = both.selectExpr("id_a a", "id_b b", "n_words_a n_a", "n_words_b n_b").where(fits).select(*pair)
+    large = materialise(apart.where(F.col("n") > paired).select("id", "c").distinct(), "large")
+    crowded = not large.isEmpty()
+    if crowded:
+        facts, tokens = rare_words(large, rows, similarity)
+        near = tokens.join(large, "id")
+        hubs = near.join(apart_by(near), "token").where("id <> hub.id")
+        hubs = hubs.select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n_words").alias("n_a"), F.col("n_words").alias("n_b"))
+        pairs = pairs.union(hubs.where(fits).select(*pair))
+    pairs = materialise(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
+    more = links_of(pairs, classes, rows, similarity)
+    groups = components(groups.toDF("a", "b").union(more))
+    if crowded:
+        now = large.join(groups.withColumnRenamed("node", "id"), "id", "left")
+        now = tokens.join(now.select("id", F.coalesce("component_id", "c").alias("c")), "id")
+        near = materialise(pairs_within(facts, now, similarity, block), "pairs")
+        groups = components(groups.toDF("a", "b").union(verified_links(near, rows, similarity)))
     named = classes.select("class", "n_words", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
     return sketches.select("doc_id", "class", "n_words").join(
         named.select("class", "n_words", F.col("id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id")),

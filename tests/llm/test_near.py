@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from engage.llm import near_dedup as op
@@ -203,3 +204,45 @@ def test_special_rows(documents):
     got = sorted([(r["doc_id"], r["component_id"], r["kept"]) for r in op.near_dedup(documents(rows)).collect()], key=str)
     assert got == sorted([(1, 1, True), (1, 1, True), (None, 1, False), (None, None, True)], key=str)
     assert op.near_dedup(documents([])).collect() == []
+
+
+def test_similar_texts_share_one_of_their_rarest_words():
+    rng = random.Random(31)
+    vocabulary = range(400)
+    texts = []
+    for _ in range(60):
+        x = [rng.randrange(400) for _ in range(rng.randint(5, 90))]
+        texts += [x, changed(rng, x, 0.15, vocabulary) or x, x[: -(-len(x) * 4 // 5)]]
+    texts = [np.array(x, np.uint32) for x in texts]
+    counts = np.zeros(1 << op.RARE_BITS, np.int64)
+    for x in texts:
+        np.add.at(counts, op.rare_bins(x)[1], 1)
+    tokens = [set(op.rarest(x, counts, 0.8).tolist()) for x in texts]
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a)]
+    close = [p for p, near in zip(pairs, op.similar([(texts[a], texts[b]) for a, b in pairs]), strict=True) if near]
+    assert len(close) > 60
+    assert all(tokens[a] & tokens[b] for a, b in close)
+
+
+def test_shards_find_the_pairs_of_a_token_in_blocks():
+    rng = np.random.default_rng(5)
+    rows = []
+    for token, blocks, size in ((1, 1, 7), (2, 3, 40), (3, 2, 1), (4, 1, 60)):
+        for at in range(size):
+            block = at % blocks
+            n, c, bins = 20 + at % 9, at % 4, rng.integers(0, 2, op.FINE_BINS).astype("u1").tobytes()
+            rows += [(token, min(block, o), max(block, o), block, 100 * token + at, n, c, bins) for o in range(blocks)]
+    names = ["token", "i", "j", "block", "id", "n_words", "c", "bins"]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    table = pa.table({name: [r[i] for r in rows] for i, name in enumerate(names)})
+    got = set(zip(*op.meeting(table, 0.0).to_pydict().values()))
+    facts = {r[4]: r for r in rows}
+    want = set()
+    for a, x in facts.items():
+        for b, y in facts.items():
+            change = np.frombuffer(x[7], "u1").astype(int) - np.frombuffer(y[7], "u1")
+            least = max(np.maximum(change, 0).sum(), np.maximum(-change, 0).sum())
+            if a < b and x[0] == y[0] and x[6] != y[6] and least <= max(x[5], y[5]):
+                want.add((a, b))
+    assert got == want
+    assert op.meeting(table.slice(0, 1), 0.8).num_rows == 0
