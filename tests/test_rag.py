@@ -1,6 +1,7 @@
 """Chunking, nearest chunks and prompts."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -265,3 +266,20 @@ def test_best_of_a_block_equals_sorting_all_with_copies_ties_and_odd_vectors(ski
         assert max(abs(f[2] - w[2]) for f, w in zip(sorted(found), sorted(wanted))) < 2e-9
     # a large group of copies costs a few candidates, not all of them
     assert len(nearest._copies(np.arange(5000), np.ones((5000, 4)), 4)[0]) == 4
+
+
+def test_a_query_is_sent_once_per_group_of_cells(spark):
+    """Not once per cell; wide cells lie in several groups, and every wanted cell arrives once in each of its groups."""
+    table = pd.DataFrame({"cell": [-1, 0, 1, 2, 3, 4, 5], "n": [1, 4, 4, 30, 4, 4, 4], "blocks": [1, 1, 1, 3, 1, 1, 1]})
+    groups = nearest._groups(table, 4)
+    assert groups.groupby("cell")["group"].nunique().to_dict() == {-1: 1, 0: 1, 1: 1, 2: 3, 3: 1, 4: 1, 5: 1}
+    cells = {1: [0, 1, 5, -1], 2: [3], 3: [2, 4], 4: [5, 4, 3, 2, 1, 0, -1]}
+    visits = spark.createDataFrame([(i, [float(i)], c) for i, c in cells.items()], "id long, v array<double>, cells array<int>")
+    sent = nearest._by_group(visits, groups).collect()
+    assert len({(r["id"], r["group"]) for r in sent}) == len(sent)
+    assert all(r["v"] == [r["id"]] for r in sent)
+    want = {(i, c, g) for i, own in cells.items() for c, g in zip(groups["cell"], groups["group"]) if c in own}
+    got = [(r["id"], c, r["group"]) for r in sent for c in r["cells"]]
+    assert set(got) == want and len(got) == len(want)
+    # seven cells, but fewer groups with a row each
+    assert sum(r["id"] == 4 for r in sent) == groups["group"].nunique() < len(groups)
