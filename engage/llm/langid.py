@@ -214,13 +214,13 @@ def scored(batches, model: Model, bits: int = BITS):
         )
 
 
-def filtered(batches, model: Model, bits: int, reject: float):
-    """The rows, as they are, that are not rejected; column ``text`` is the second last, ``letters`` the last."""
+def filtered(batches, text: int, model: Model, bits: int, reject: float):
+    """The rows, as they are, that are not rejected; ``letters`` is the last column, the one of number ``text`` the text."""
     for batch in in_parts(batches):
         n = batch.num_columns
         letters = np.array(batch.column(n - 1).to_pylist(), bool)
-        _, score = predicted(batch.column(n - 2), letters, model, bits)
-        yield batch.select(list(range(n - 2))).filter(pa.array(score >= reject))
+        _, score = predicted(batch.column(text), letters, model, bits)
+        yield batch.select(list(range(n - 1))).filter(pa.array(score >= reject))
 
 
 def blocks(data: np.ndarray, at: np.ndarray):
@@ -272,7 +272,8 @@ def accepted(docs: DataFrame, model: Model | None = None, bits: int = BITS, reje
     """The documents that are not rejected, with their own columns."""
     model = fit(docs, bits) if model is None else model
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("text"), letters)
-    rows = rows.toDF(*[f"c{i}" for i in range(len(docs.columns) + 2)])
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], letters)
+    rows = rows.toDF(*[f"c{i}" for i in range(len(docs.columns) + 1)])
+    text = [c.lower() for c in docs.columns].index("text")
     kept = T.StructType([T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(docs.schema.fields)])
-    return rows.mapInArrow(lambda b: filtered(b, model, bits, reject), kept).toDF(*docs.columns)
+    return rows.mapInArrow(lambda b: filtered(b, text, model, bits, reject), kept).toDF(*docs.columns)

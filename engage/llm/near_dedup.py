@@ -51,6 +51,9 @@ CACHED_WORDS = 200_000
 SEED = 1
 BLOCK = 1 << 14
 CELLS = 1 << 17
+# Words, after padding to the longest, that are aligned at a time, and pairs that are read at a time.
+PADDED = 1 << 20
+VERIFIED = 2048
 # Pairs of a shard that are looked at at a time.
 PAIRS = 1 << 15
 FAR = np.int32(1 << 29)
@@ -290,6 +293,17 @@ def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     return np.where(np.abs(m - n) <= band, final, FAR)
 
 
+def portions(pairs: list, band: int):
+    """Runs of pairs, which ascend by the length of their shorter side, of bounded cells and padded words."""
+    most, start = max(1, CELLS // (2 * band + 1)), 0
+    while start < len(pairs):
+        end = start + 1
+        while end < min(len(pairs), start + most) and (end + 1 - start) * len(pairs[end][1]) <= PADDED:
+            end += 1
+        yield pairs[start:end]
+        start = end
+
+
 def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMILARITY) -> np.ndarray:
     """Whether each pair of word sequences has the edit similarity."""
     out = np.zeros(len(pairs), bool)
@@ -313,9 +327,7 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMI
         now = [p for p, w in zip(open_, wait, strict=True) if not w]
         now.sort(key=lambda p: len(p[1]))
         later = [p for p, w in zip(open_, wait, strict=True) if w]
-        size = max(1, CELLS // (2 * band + 1))
-        for start in range(0, len(now), size):
-            part = now[start : start + size]
+        for part in portions(now, band):
             for pair, d in zip(part, banded([(p[1], p[2]) for p in part], band), strict=True):
                 if d <= band:
                     out[pair[0]] = d <= limits[pair[0]]
@@ -327,7 +339,7 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float = SIMI
 
 
 def verified(batches, similarity: float):
-    for batch in batches:
+    for batch in in_parts(batches, VERIFIED):
         a, b = ([np.frombuffer(w, "<u4") for w in batch.column(c).to_pylist()] for c in ("words_a", "words_b"))
         keep = similar(list(zip(a, b, strict=True)), similarity)
         yield batch.select(["a", "b"]).filter(pa.array(keep))

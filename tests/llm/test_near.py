@@ -246,3 +246,11 @@ def test_shards_find_the_pairs_of_a_token_in_blocks():
                 want.add((a, b))
     assert got == want
     assert op.meeting(table.slice(0, 1), 0.8).num_rows == 0
+
+
+def test_one_long_pair_does_not_widen_all_others():
+    short, long = np.arange(10), np.arange(20_000)
+    pairs = [(0, short, short, 0)] * 5000 + [(0, long, long, 0)]
+    parts = list(op.portions(pairs, 8))
+    assert sum(map(len, parts)) == 5001
+    assert all(len(p) * max(len(x[1]) for x in p) <= max(op.PADDED, 20_000) for p in parts)
