@@ -8,7 +8,8 @@ in short texts perhaps none.  Texts with equal word sequences are one class from
 them, then all pairs of what is not yet connected.  Buckets of up to ``PAIRED`` classes are paired by a join.  The classes of
 larger ones, which share a common passage perhaps, meet by rare words instead: two texts that reach the similarity share one
 of their ``allowed`` + 1 rarest words, whatever the rest, so no link between classes of large buckets is lost, and they are again compared
-with the smallest text of a word first, then with all that are not yet connected.  A pair is linked when its edit similarity, 1 - distance / longer length in
+with the smallest text of a word and length first, then with all that are not yet connected; a word whose texts of fitting lengths
+are connected is left out.  A pair is linked when its edit similarity, 1 - distance / longer length in
 words, is at least ``SIMILARITY``: histograms of hashed words rule out most pairs by a bound on the distance before any
 text is moved, a chain of common k-mers proves most others, the rest are aligned within a band that widens until the
 distance or its limit fits in it.
@@ -22,12 +23,13 @@ table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from engage.llm.common import binary_lists, in_parts, texts
 from engage.llm.components import components
@@ -47,6 +49,8 @@ BINS = 64
 FINE_BINS = 256
 # Bins in which words are counted to tell rare ones, as a power of two.
 RARE_BITS = 17
+# Bands of length in which a word's texts are told apart, to the ratio of lengths that the similarity allows.
+BANDS = 4
 CACHED_WORDS = 200_000
 SEED = 1
 BLOCK = 1 << 14
@@ -445,40 +449,60 @@ def meeting(group: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": a, "b": b})
 
 
+def in_bands(tokens: DataFrame, similarity: float) -> DataFrame:
+    """Rows with a ``band`` of their length: two lengths that allow the similarity are at most ``BANDS`` apart."""
+    # a little wider than the similarity, so that rounding parts no pair
+    width = math.log((1 + 1e-6) / similarity) / BANDS
+    return tokens.withColumn("band", F.floor(F.log("n_words") / width))
+
+
 def apart_by(tokens: DataFrame) -> DataFrame:
-    """(token, hub, rows) of the tokens whose texts are not all connected."""
-    spans = tokens.groupBy("token").agg(
-        F.min("c").alias("least"), F.max("c").alias("most"), F.min(F.struct("id", "n_words")).alias("hub"), F.count(F.lit(1)).alias("rows")
+    """(token, band, hub, rows) of the bands with a text within reach, among all of the token, that is not connected.
+
+    ``hub`` is the smallest of the band, ``rows`` counts the token's rows in all such bands.
+    """
+    spans = tokens.groupBy("token", "band").agg(
+        F.min("c").alias("least"), F.max("c").alias("most"), F.min(F.struct("id", "n_words")).alias("hub"), F.count(F.lit(1)).alias("n")
     )
-    return spans.where("least < most").drop("least", "most")
+    # a token has as many bands as lengths allow, however many texts hold it
+    reach = Window.partitionBy("token").orderBy("band").rangeBetween(-BANDS, BANDS)
+    apart = spans.withColumns({"least": F.min("least").over(reach), "most": F.max("most").over(reach)}).where("least < most")
+    return apart.select("token", "band", "hub", F.sum("n").over(Window.partitionBy("token")).alias("rows"))
 
 
-def rare_words(members: DataFrame, rows: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Of the members (id, c): (id, n_words, bins) and (id, n_words, token)."""
+def rare_words(members: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """Of the members' ids: (id, n_words, tokens, bins)."""
     words = materialise(words_by_id(rows, members.select(F.col("id").alias("doc_id"))), "words")
     # one number per bin, however many texts there are
     found = words.mapInArrow(counted, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << RARE_BITS, np.int64)
     counts[found.column("bin").to_numpy()] = found.column("n").to_numpy()
-    facts = materialise(
+    return materialise(
         words.mapInArrow(
             lambda batches: prefixed(batches, counts, similarity), "id long, n_words long, tokens array<long>, bins binary"
         ),
         "facts",
     )
-    return facts.select("id", "n_words", "bins"), facts.select("id", "n_words", F.explode("tokens").alias("token"))
+
+
+def tokens_of(facts: DataFrame, connected: DataFrame, similarity: float) -> DataFrame:
+    """(token, band, id, n_words, c) of the texts, each connected so far as (id, c) says."""
+    # texts meet what they are connected to before each becomes as many rows as it has tokens
+    named = facts.select("id", "n_words", "tokens").join(connected, "id")
+    return in_bands(named.select(F.explode("tokens").alias("token"), "id", "n_words", "c"), similarity)
 
 
 def pairs_within(facts: DataFrame, tokens: DataFrame, similarity: float, block: int) -> DataFrame:
-    """The pairs that share a token (token, id, n_words, c) and may be similar, found in tasks of bounded size."""
-    apart = apart_by(tokens).select("token", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
-    dealt = tokens.join(apart, "token").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    """The pairs that share a token (token, band, id, n_words, c) and may be similar, found in tasks of bounded size."""
+    apart = apart_by(tokens).select("token", "band", F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
+    dealt = tokens.join(apart, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "n_words", "c"
     )
     dealt = materialise(dealt, "dealt")
     shards = 1 + dealt.count() // SHARD_ROWS
-    sharded = dealt.join(facts, ["id", "n_words"]).withColumn("shard", F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards)))
+    bins = facts.select("id", "n_words", "bins")
+    sharded = dealt.join(bins, ["id", "n_words"]).withColumn("shard", F.pmod(F.xxhash64("token", "i", "j"), F.lit(shards)))
     return sharded.groupBy("shard").applyInArrow(lambda group: meeting(group, similarity), "a long, b long").distinct()
 
 
@@ -535,9 +559,9 @@ def near_dedup(
     large = materialise(apart.where(F.col("n") > paired).select("id", "c").distinct(), "large")
     crowded = not large.isEmpty()
     if crowded:
-        facts, tokens = rare_words(large, rows, similarity)
-        near = tokens.join(large, "id")
-        hubs = near.join(apart_by(near), "token").where("id <> hub.id")
+        facts = rare_words(large, rows, similarity)
+        near = tokens_of(facts, large, similarity)
+        hubs = near.join(apart_by(near), ["token", "band"]).where("id <> hub.id")
         hubs = hubs.select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n_words").alias("n_a"), F.col("n_words").alias("n_b"))
         pairs = pairs.union(hubs.where(fits).select(*pair))
     pairs = materialise(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "rest")
@@ -545,7 +569,7 @@ def near_dedup(
     groups = components(groups.toDF("a", "b").union(more))
     if crowded:
         now = large.join(groups.withColumnRenamed("node", "id"), "id", "left")
-        now = tokens.join(now.select("id", F.coalesce("component_id", "c").alias("c")), "id")
+        now = tokens_of(facts, now.select("id", F.coalesce("component_id", "c").alias("c")), similarity)
         near = materialise(pairs_within(facts, now, similarity, block), "pairs")
         groups = components(groups.toDF("a", "b").union(verified_links(near, rows, similarity)))
     named = classes.select("class", "n_words", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")

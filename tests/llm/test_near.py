@@ -254,3 +254,22 @@ def test_one_long_pair_does_not_widen_all_others():
     parts = list(op.portions(pairs, 8))
     assert sum(map(len, parts)) == 5001
     assert all(len(p) * max(len(x[1]) for x in p) <= max(op.PADDED, 20_000) for p in parts)
+
+
+def test_words_of_texts_of_unfit_lengths_are_left_out(spark):
+    # per token: unfit lengths; connected; the widest fit; a chain whose ends do not fit, and one far text
+    rows = [(1, 1, 100, 1), (1, 2, 200, 2), (1, 3, 900, 3), (2, 1, 100, 1), (2, 4, 101, 1), (3, 5, 80, 5), (3, 6, 100, 6)]
+    rows += [(4, 7, 70, 7), (4, 8, 85, 8), (4, 9, 100, 9), (4, 3, 900, 3)]
+    tokens = op.in_bands(spark.createDataFrame(rows, "token long, id long, n_words long, c long"), 0.8)
+    kept = tokens.join(op.apart_by(tokens), ["token", "band"])
+    assert {(r["token"], r["id"]) for r in kept.collect()} == {(3, 5), (3, 6), (4, 7), (4, 8), (4, 9)}
+    assert {(r["token"], r["rows"]) for r in kept.collect()} == {(3, 2), (4, 3)}
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 0.9, 1.0])
+def test_lengths_that_fit_are_within_reach(spark, similarity):
+    longer = list(range(1, 3000)) + [10**6, 12_500_000]
+    pairs = [(n, n - int(op.allowed(n, similarity))) for n in longer]
+    lengths = spark.createDataFrame([(n,) for p in pairs for n in p if n], "n_words long").distinct()
+    band = {r["n_words"]: r["band"] for r in op.in_bands(lengths, similarity).collect()}
+    assert all(0 <= band[a] - band[b] <= op.BANDS for a, b in pairs if b)
