@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Texts encoded at a time; what the encoder makes of one text is about fifty times its length.
 TEXTS_AT_ONCE = 64
@@ -18,16 +18,15 @@ def windows_of(n: int, size: int, overlap: int) -> list[tuple[int, int]]:
     return [(s, min(s + size, n)) for s in starts]
 
 
-def subword_windows(
+WINDOW = "struct<chunk_ix: int, n_tokens: int, start: long, end: long, chunked_text: string>"
+
+
+def window_lists(
     docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", size: int = 128, overlap: int = 32
 ) -> DataFrame:
-    """Windows of ``size`` subword tokens, ``overlap`` shared: rows (chunk_id, key, chunk_ix, n_tokens, start, end, chunked_text).
+    """One row per text: (key, text, windows), the windows as ``subword_windows`` has them, none of a null or empty text.
 
-    ``vocabulary`` is a tokenizer's JSON, as text: it travels with the tasks, so executors need no file.  No special tokens are
-    added or recognised.  ``start`` and ``end`` count code points; a window begins where the token before it ended and ends
-    with its last token, the first at the text's start and the last at its end, so without overlap the windows are the
-    text.  A window may begin inside a character of several tokens; the character is then the earlier window's.
-    ``chunk_id`` hashes (key, chunk_ix).  A null or empty text has no window; nothing is shuffled.
+    Who needs a text beside its windows has it here without a join.
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
@@ -43,34 +42,59 @@ def subword_windows(
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(at, TEXTS_AT_ONCE)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                rows: list[list] = [[], [], [], [], [], []]
-                for i, found in enumerate(tokenizer.encode_batch(texts, add_special_tokens=False)):
-                    ends = [end for _, end in found.offsets]
-                    windows = windows_of(len(ends), size, overlap)
+                rows: list[list] = [[], [], [], [], []]
+                counts = [0]
+                for value, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+                    n = len(found)
+                    windows = windows_of(n, size, overlap)
                     for ix, (first, last) in enumerate(windows):
-                        start = ends[first - 1] if first else 0
-                        end = len(texts[i]) if last == len(ends) else ends[last - 1]
-                        for column, value in zip(rows, (i, ix, last - first, start, end, texts[i][start:end]), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(rows[0], pa.int64())),
-                        pa.array(rows[1], pa.int32()),
-                        pa.array(rows[2], pa.int32()),
-                        pa.array(rows[3], pa.int64()),
-                        pa.array(rows[4], pa.int64()),
-                        pa.array(rows[5], pa.string()),
-                    ],
-                    names=[key, "chunk_ix", "n_tokens", "start", "end", "chunked_text"],
+                        # only the borders are asked for: a list of all tokens' places costs half as much as the tokens
+                        start = found.token_to_chars(first - 1)[1] if first else 0
+                        end = len(value) if last == n else found.token_to_chars(last - 1)[1]
+                        for column, cell in zip(rows, (ix, last - first, start, end, value[start:end]), strict=True):
+                            column.append(cell)
+                    counts.append(counts[-1] + len(windows))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string())
+                each = pa.StructArray.from_arrays(
+                    [pa.array(r, k) for r, k in zip(rows, kinds, strict=True)], ["chunk_ix", "n_tokens", "start", "end", "chunked_text"]
                 )
+                windows = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), each)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), windows], names=[key, text, "windows"])
 
     kind = docs.schema[key].dataType.simpleString()
-    found = docs.select(key, F.col(text).cast("string")).mapInArrow(
-        run, f"`{key}` {kind}, chunk_ix int, n_tokens int, start long, end long, chunked_text string"
-    )
+    return docs.select(key, F.col(text).cast("string")).mapInArrow(run, f"`{key}` {kind}, `{text}` string, windows array<{WINDOW}>")
+
+
+def subword_windows(
+    docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", size: int = 128, overlap: int = 32
+) -> DataFrame:
+    """Windows of ``size`` subword tokens, ``overlap`` shared: rows (chunk_id, key, chunk_ix, n_tokens, start, end, chunked_text).
+
+    ``vocabulary`` is a tokenizer's JSON, as text: it travels with the tasks, so executors need no file.  No special tokens are
+    added or recognised.  ``start`` and ``end`` count code points; a window begins where the token before it ended and ends
+    with its last token, the first at the text's start and the last at its end, so without overlap the windows are the
+    text.  A window may begin inside a character of several tokens; the character is then the earlier window's.
+    ``chunk_id`` hashes (key, chunk_ix).  A null or empty text has no window; nothing is shuffled.
+    """
+    found = window_lists(docs, vocabulary, key, text, size, overlap).select(key, F.inline("windows"))
     return found.select(F.xxhash64(key, "chunk_ix").alias("chunk_id"), *found.columns)
 
 
+def in_place(text: Column, start: Column, end: Column, piece: Column) -> tuple[Column, Column]:
+    """(cells, test): the text with every code point in equally many bytes, and whether the piece lies there from start to end.
+
+    ``test`` reads a column ``cells`` and only the piece's bytes of it, however far into a text the piece begins.
+    """
+    wide = lambda c: F.encode(c, "UTF-32")
+    narrow = lambda c: F.octet_length(c) == F.length(c)
+    cells = F.struct(
+        F.when(narrow(text), text.cast("binary")).otherwise(wide(text)).alias("bytes"), F.when(narrow(text), 1).otherwise(4).alias("width")
+    )
+    width = F.col("cells")["width"]
+    there = F.substr(F.col("cells")["bytes"], (start * width + 1).cast("int"), ((end - start) * width).cast("int"))
+    return cells, there == F.when(width == 1, piece.cast("binary")).otherwise(wide(piece))
+
+
 def count_vocabulary(merges: list[tuple[str, str]], characters: str) -> str:
     """A byte-pair vocabulary of single characters and a few merges, as JSON; all other characters are one unknown token each."""
     from tokenizers import Tokenizer, models

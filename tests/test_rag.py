@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from engage.operators import nearest, rag, score, subwords
-from engage.plans import jobs
+from engage.plans import jobs, retrieval
 from engage.session import shared_dir
 from tests.conftest import as_set
 
@@ -68,6 +68,24 @@ def test_subword_windows_lie_in_the_text(spark, name, size, overlap):
             assert "".join(r["chunked_text"] for r in own) == text
 
 
+def test_windows_are_held_against_the_text_beside_them(spark):
+    texts = [t for t in ODD if t] + ["ascii only " * 30]
+    rows = [(t, a, min(a + 7, len(t)), t[a : a + 7]) for t in texts for a in range(0, len(t), 50)]
+    rows += [(t, a + 1, b + 1, c) for t, a, b, c in rows if t[a + 1 : b + 1] != c]
+    df = spark.createDataFrame(rows, "text string, start long, end long, piece string")
+    cells, there = subwords.in_place(*map(F.col, df.columns))
+    got = df.withColumn("cells", cells).withColumn("there", there).collect()
+    assert all(r["there"] == (r["text"][r["start"] : r["end"]] == r["piece"]) for r in got)
+    assert {r["there"] for r in got} == {True, False}
+
+
+def test_chunk_subwords_moves_no_text(spark):
+    plan = retrieval.chunk_subwords(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    # what a text is made into is made once, before its windows become rows
+    assert plan.index("Generate") < plan.index("UTF-32", plan.index("Generate"))
+
+
 def test_subword_windows_follow_the_whitespace_rule():
     for n in range(0, 400):
         found = subwords.windows_of(n, 128, 32)
