@@ -46,9 +46,13 @@ PAIRED = 12
 BLOCK_ROWS = 4096
 SHARD_ROWS = 8192
 BINS = 64
-FINE_BINS = 256
+# Two steps of finer bins: texts around a long common passage differ in words that few bins do not tell apart.
+MIDDLE_BINS = 256
+FINE_BINS = 1024
 # Bins in which words are counted to tell rare ones, as a power of two.
 RARE_BITS = 17
+# Of a text's rare words, so many smallest hashes travel with its counts, so that a pair leaves only one shard.
+LEAST = 64
 # Bands of length in which a word's texts are told apart, to the ratio of lengths that the similarity allows.
 BANDS = 4
 CACHED_WORDS = 200_000
@@ -59,7 +63,7 @@ CELLS = 1 << 17
 PADDED = 1 << 20
 VERIFIED = 2048
 # Pairs of a shard that are looked at at a time.
-PAIRS = 1 << 15
+PAIRS = 1 << 13
 FAR = np.int32(1 << 29)
 
 
@@ -397,27 +401,53 @@ def rarest(words: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarr
     return values[first][counts[bins[first]] > 1].view(np.int64)
 
 
+def smallest_tokens(tokens: np.ndarray) -> np.ndarray:
+    """The ``LEAST`` smallest, filled up with the largest number."""
+    return np.r_[np.sort(tokens)[:LEAST], np.full(max(0, LEAST - len(tokens)), np.iinfo(np.int64).max)].astype("<i8")
+
+
 def prefixed(batches, counts: np.ndarray, similarity: float):
+    """Per text its tokens, and as ``bins`` the counts of hashed words, a byte each, and the smallest tokens."""
     for batch in in_parts(batches):
         words = [np.frombuffer(w, "<u4") for w in batch.column("words").to_pylist()]
         fine = [np.minimum(np.bincount(w % np.uint32(FINE_BINS), minlength=FINE_BINS), 255).astype("u1") for w in words]
+        tokens = [rarest(w, counts, similarity) for w in words]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
                 pa.array([len(w) for w in words], pa.int64()),
-                pa.array([rarest(w, counts, similarity) for w in words], pa.list_(pa.int64())),
-                pa.array([f.tobytes() for f in fine], pa.binary()),
+                pa.array(tokens, pa.list_(pa.int64())),
+                pa.array([f.tobytes() + smallest_tokens(t).tobytes() for f, t in zip(fine, tokens, strict=True)], pa.binary()),
             ],
             names=["id", "n_words", "tokens", "bins"],
         )
 
 
+def met_before(first: np.ndarray, second: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Whether the texts of a pair are known, by their smallest tokens, to share one smaller than this."""
+    out = np.zeros(len(token), bool)
+    for at in range(0, len(token), 1024):
+        x, y, t = (v[at : at + 1024] for v in (first, second, token))
+        out[at : at + 1024] = ((x[:, :, None] == y[:, None, :]) & (x < t[:, None])[:, :, None]).any(axis=(1, 2))
+    return out
+
+
+def first_rows(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of pairs of rows, the first of each pair of ids."""
+    _, at = np.unique(np.sort(ids[rows], axis=1), axis=0, return_index=True)
+    return rows[np.sort(at)]
+
+
 def meeting(group: pa.Table, similarity: float) -> pa.Table:
-    """The pairs of a shard that share a token, are not yet connected, and whose lengths and histograms allow a link."""
+    """The pairs of a shard that share a token, are not yet connected, and whose lengths and histograms allow a link.
+
+    A pair leaves where its smallest common token is, and again only if texts of many tokens do not tell that.
+    """
     group = group.sort_by([(k, "ascending") for k in ("token", "i", "j", "block")])
     token, i, j, block, ids, n, c = (group.column(k).to_numpy() for k in ("token", "i", "j", "block", "id", "n_words", "c"))
-    fine = np.frombuffer(b"".join(group.column("bins").to_pylist()), "u1").reshape(-1, FINE_BINS).astype(np.int16)
-    coarse = fine.reshape(len(fine), -1, BINS).sum(axis=1, dtype=np.int32)
+    facts = np.frombuffer(b"".join(group.column("bins").to_pylist()), "u1").reshape(len(ids), -1)
+    fine, least = facts[:, :FINE_BINS].astype(np.int16), np.ascontiguousarray(facts[:, FINE_BINS:]).view("<i8")
+    coarse, middle = (fine.reshape(len(fine), -1, bins).sum(axis=1, dtype=np.int32) for bins in (BINS, MIDDLE_BINS))
     size = len(ids)
     at = np.arange(size)
     fresh = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
@@ -439,14 +469,17 @@ def meeting(group: pa.Table, similarity: float) -> pa.Table:
         limits = allowed(np.maximum(n[left], n[right]), similarity)
         keep = np.abs(n[left] - n[right]) <= limits
         left, right, limits = left[keep], right[keep], limits[keep]
-        for counts in (coarse, fine):
+        for counts in (coarse, middle, fine):
             change = counts[left] - counts[right]
             more = np.maximum(change, 0).sum(axis=1)
             keep = np.maximum(more, more - change.sum(axis=1)) <= limits
             left, right, limits = left[keep], right[keep], limits[keep]
-        found.append(np.unique(np.sort(np.stack([ids[left], ids[right]], 1), axis=1), axis=0))
-    a, b = np.unique(np.concatenate(found), axis=0).T
-    return pa.table({"a": a, "b": b})
+        found.append(first_rows(ids, np.stack([left, right], 1)))
+    # the rows ascend by token, so these are of the smallest one here
+    left, right = first_rows(ids, np.concatenate(found)).T
+    fresh = ~met_before(least[left], least[right], token[left])
+    left, right = ids[left[fresh]], ids[right[fresh]]
+    return pa.table({"a": np.minimum(left, right), "b": np.maximum(left, right)})
 
 
 def in_bands(tokens: DataFrame, similarity: float) -> DataFrame:

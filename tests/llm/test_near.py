@@ -248,6 +248,31 @@ def test_shards_find_the_pairs_of_a_token_in_blocks():
     assert op.meeting(table.slice(0, 1), 0.8).num_rows == 0
 
 
+def test_texts_around_a_long_common_tail_are_told_apart_in_the_shard():
+    """Few of the pairs that the words rule out leave the shard, and none that they do not."""
+    rng = random.Random(17)
+    tail, common = [7, 9] * 95, range(100, 500)
+    texts = [np.array([rng.choice(common) for _ in range(60)] + tail, np.uint32) for _ in range(120)]
+    counts = np.full(1 << op.RARE_BITS, 2, np.int64)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(120)), "words": [t.tobytes() for t in texts]})
+    facts = [r for b in op.prefixed([batch], counts, 0.8) for r in b.to_pylist()]
+    shards = [[], [], [], []]
+    for f in facts:
+        for token in f["tokens"]:
+            row = {"token": token, "i": 0, "j": 0, "block": 0, "id": f["id"], "n_words": f["n_words"], "c": f["id"], "bins": f["bins"]}
+            shards[token % 4].append(row)
+    made = [pair for rows in shards for pair in zip(*op.meeting(pa.Table.from_pylist(rows), 0.8).to_pydict().values())]
+    got = set(made)
+    limit = int(op.allowed(np.int64(250), 0.8))
+    least = {(a, b): op.least_distance(texts[a], texts[b]) for b in range(120) for a in range(b)}
+    want = {pair for pair, d in least.items() if d <= limit}
+    assert 0 < len(want) < 0.5 * len(least)
+    # each pair that shares a token at all leaves one shard
+    share = {(a, b) for a, b in want if set(facts[a]["tokens"]) & set(facts[b]["tokens"])}
+    assert share <= got and len(got) <= 1.3 * len(want)
+    assert len(made) <= 1.05 * len(got)
+
+
 def test_one_long_pair_does_not_widen_all_others():
     short, long = np.arange(10), np.arange(20_000)
     pairs = [(0, short, short, 0)] * 5000 + [(0, long, long, 0)]
