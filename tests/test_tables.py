@@ -229,6 +229,37 @@ def test_rows_that_fan_out_are_dealt_over_the_tasks(spark, max_rows):
     assert len(per_task) > 3 and max(per_task.values()) < 0.3 * len(got)
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_rows_of_a_lookup_beyond_the_bound_fan_out_by_runs_over_the_tasks(spark, how, broadcast):
+    left = spark.range(64).selectExpr("id", "if(id % 4 = 3, null, id % 4) as k", "id % 2 as v").coalesce(1)
+    # more than a run of key 0, rows that are equal, a key with one row, and none of key 2; a name of the left side
+    rows = [(0, i, {"a": i}) for i in range(2500)] + [(0, 7, {"a": 7})] * 20 + [(1, None, None), (None, 1, None)]
+    lookup = spark.createDataFrame(rows, "k long, v long, m map<string, long>")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": broadcast, "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        out = skew.join_repeated(left, lookup, "k", how, max_rows=10)
+        assert out.columns == ["k", "id", "v", "v", "m"]
+        out = out.toDF("k", "id", "l", "v", "m").withColumn("task", F.spark_partition_id())
+        got = out.select("k", "id", "l", "v", F.col("m")["a"].alias("a"), "task").collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+    wanted = Counter()
+    for i in range(64):
+        found = [(v, m and m["a"]) for k, v, m in rows if k is not None and k == i % 4]
+        for v, a in found or [(None, None)] * (how == "left"):
+            wanted[(i % 4 if i % 4 < 3 else None, i, i % 2, v, a)] += 1
+    assert Counter(tuple(r[:5]) for r in got) == wanted
+    per_task = Counter(r["task"] for r in got)
+    assert len(per_task) > 3 and max(per_task.values()) < 0.4 * len(got)
+    # a row meets runs, not rows
+    assert plan.index("Generate inline") < plan.index("Join")
+
+
 def test_join_lookup_beyond_the_bound(spark):
     left = spark.createDataFrame([(1,), (2,), (9,)], "k int")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
