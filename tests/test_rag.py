@@ -162,6 +162,29 @@ def test_plan_of_many_blocks_is_that_of_one(spark):
     assert len(nodes[0]) == len(nodes[1])
 
 
+def test_many_blocks_of_a_table_are_read_and_not_written_for_each_other(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(400, 6))
+    base[:40], base[50] = base[0], 0
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    spark.createDataFrame(rows, "chunk_id long, embedding array<double>").repartition(8).write.parquet(str(tmp_path / "c"))
+    c = spark.read.parquet(str(tmp_path / "c"))
+    # an id that comes twice, and vectors that ask for nothing
+    odd = [(3, rows[90][1]), (500, None), (501, []), (502, [float("nan")] * 6), (None, rows[1][1])]
+    q = spark.createDataFrame(rows[:60] + odd, "query_id long, embedding array<double>")
+    found = rag.top_k(q, c, 3, block_bytes=480)
+    unit = nearest.unit_rows(base)
+    wanted = {}
+    for i, v in [(i, v) for i, v in rows[:60] + odd[:1]]:
+        sims = np.round(nearest.unit_rows(np.array([v]))[0] @ unit.T, 9)
+        wanted[i] = sorted(wanted.get(i, []) + [(-s, j) for j, s in enumerate(sims)])[:3]
+    got = found.select("query_id", "rank", "chunk_id").orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == [(i, n, j) for i in range(60) for n, (_, j) in enumerate(wanted[i], 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # the queries once, and the hits; no row is copied per block of the other side
+    assert plan.count("Exchange") == 2 and "CartesianProduct" in plan and "Generate" not in plan
+
+
 CHAT = [
     (1, 0, "system", "be kind"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "user", "why?"),
     (2, 0, "user", "alone"),
